@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomstat.operators.partitions import held
+
 CLASS_IMPURITIES = ("Gini", "Entropy")
 VALUE_IMPURITIES = ("Variance",)
 
@@ -31,14 +33,16 @@ def fit_logistic(
     """Binary logistic regression by L-BFGS without intercept; ``reg_type`` is L1 or L2."""
     if reg_type not in ("L1", "L2"):
         raise ValueError(f"unknown reg_type {reg_type}: use L1 or L2")
-    return LogisticRegression(
+    model = LogisticRegression(
         maxIter=num_iterations,
         regParam=reg_param,
         elasticNetParam=1.0 if reg_type == "L1" else 0.0,
         fitIntercept=False,
         standardization=standardization,
         tol=tolerance,
-    ).fit(rows)
+    )
+    with held(rows) as data:
+        return model.fit(data)
 
 
 def probability_of_one(model, rows: DataFrame, name: str = "prediction") -> DataFrame:
@@ -113,7 +117,9 @@ def fit_tree(
     """A decision tree on ``label, features``; parameters are checked before any job starts."""
     check_tree(algo, impurity)
     kind = DecisionTreeClassifier if algo == "Classification" else DecisionTreeRegressor
-    return kind(maxDepth=max_depth, impurity=impurity.lower(), maxBins=max_bins).fit(rows)
+    model = kind(maxDepth=max_depth, impurity=impurity.lower(), maxBins=max_bins)
+    with held(rows) as data:
+        return model.fit(data)
 
 
 def _impurity(kind: str, n: Column, s: Column, s2: Column) -> Column:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstat.operators.partitions import held
+
 INIT_MODES = {"Random": "random", "Parallel": "k-means||"}
 # Distances this close count as equal, and the lower cluster number wins.
 TIE_DIGITS = 9
@@ -23,7 +24,8 @@ def fit_kmeans(
     if init_mode not in INIT_MODES:
         raise ValueError(f"unknown init_mode {init_mode}: use Random or Parallel")
     model = KMeans(k=k, maxIter=num_iterations, initMode=INIT_MODES[init_mode])
-    return (model.setSeed(seed) if seed is not None else model).fit(rows)
+    with held(rows) as data:
+        return (model.setSeed(seed) if seed is not None else model).fit(data)
 
 
 def _squared_distance(dims: Sequence[str], center: Sequence[float]) -> Column:
@@ -66,17 +68,14 @@ def lloyd(
     rows costs no more than a small one.
     """
     centers = [[float(c) for c in center] for center in start]
-    held = rows.select(*[F.col(d).cast("double").alias(d) for d in dims])
-    held = held.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    points = rows.select(*[F.col(d).cast("double").alias(d) for d in dims])
+    with held(points) as points:
         for _ in range(num_iterations):
-            step = assign(held, dims, centers).groupBy("cluster").agg(*[F.avg(d).alias(d) for d in dims])
+            step = assign(points, dims, centers).groupBy("cluster").agg(*[F.avg(d).alias(d) for d in dims])
             moved = [list(c) for c in centers]
             for row in step.collect():
                 moved[row["cluster"]] = [row[d] for d in dims]
             if moved == centers:
                 break
             centers = moved
-    finally:
-        held.unpersist()
     return centers

@@ -12,10 +12,10 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstat.operators.partitions import held
 from loomstat.operators.sampling import in_share
 
 # (label, features, weights) -> (one gradient column per weight, loss column)
@@ -49,8 +49,8 @@ def hinge(label: Column, features: list[Column], weights: list[float]):
     """Labels 0 and 1; the loss is zero once a row lies on its side of the margin."""
     side = label * F.lit(2.0) - F.lit(1.0)
     room = F.lit(1.0) - side * dot(features, weights)
-    inside = room > 0
-    return [F.when(inside, -side * x).otherwise(0.0) for x in features], F.greatest(room, F.lit(0.0))
+    pull = F.when(room > 0, -side).otherwise(0.0)
+    return [pull * x for x in features], F.greatest(room, F.lit(0.0))
 
 
 def no_penalty(weights: np.ndarray, gradient: np.ndarray, step: float, reg_param: float):
@@ -101,13 +101,15 @@ def descend(
     if batch_share < 1.0 and batch_key is None:
         raise ValueError("a sample per step needs batch_key")
     if gradient is least_squares and batch_share >= 1.0 and len(features) <= GRAM_LIMIT:
-        measure, done = _from_products(rows, label, features), lambda: None
-    else:
-        measure, done = _from_rows(rows, label, features, gradient, batch_share, batch_key)
-    try:
+        measure = _from_products(rows, label, features)
+        return _loop(measure, update, weights, step_size, num_iterations, reg_param, tolerance)
+    columns = [F.col(label).cast("double").alias("_label")]
+    columns += [F.col(f).cast("double").alias(f"_x{j}") for j, f in enumerate(features)]
+    if batch_share < 1.0:
+        columns.append(F.col(batch_key).alias("_key"))
+    with held(rows.select(*columns)) as data:
+        measure = _from_rows(data, len(features), gradient, batch_share)
         return _loop(measure, update, weights, step_size, num_iterations, reg_param, tolerance)
-    finally:
-        done()
 
 
 def _loop(measure, update, weights, step_size, num_iterations, reg_param, tolerance) -> Descent:
@@ -127,26 +129,21 @@ def _loop(measure, update, weights, step_size, num_iterations, reg_param, tolera
     return Descent([float(w) for w in weights], losses)
 
 
-def _from_rows(rows, label, features, gradient, batch_share, batch_key):
-    columns = [F.col(label).cast("double").alias("_label")]
-    columns += [F.col(f).cast("double").alias(f"_x{j}") for j, f in enumerate(features)]
-    if batch_share < 1.0:
-        columns.append(F.col(batch_key).alias("_key"))
-    held = rows.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    xs = [F.col(f"_x{j}") for j in range(len(features))]
+def _from_rows(data, width, gradient, batch_share):
+    xs = [F.col(f"_x{j}") for j in range(width)]
 
     def measure(weights: np.ndarray, i: int):
-        batch = held
+        batch = data
         if batch_share < 1.0:
-            batch = held.filter(in_share(batch_share, F.col("_key"), F.lit(i)))
+            batch = data.filter(in_share(batch_share, F.col("_key"), F.lit(i)))
         parts, loss = gradient(F.col("_label"), xs, [float(w) for w in weights])
-        named = [F.avg(g).alias(f"g{j}") for j, g in enumerate(parts)]
-        row = batch.agg(F.count("*").alias("n"), F.avg(loss).alias("loss"), *named).first()
+        named = [F.sum(g).alias(f"g{j}") for j, g in enumerate(parts)]
+        row = batch.agg(F.count(loss).alias("n"), F.sum(loss).alias("loss"), *named).collect()[0]
         if row["n"] == 0:
             return None
-        return np.array([row[f"g{j}"] for j in range(len(parts))]), row["loss"]
+        return np.array([row[f"g{j}"] for j in range(len(parts))]) / row["n"], row["loss"] / row["n"]
 
-    return measure, held.unpersist
+    return measure
 
 
 def _from_products(rows, label, features):
@@ -154,7 +151,7 @@ def _from_products(rows, label, features):
     cells = [F.col(f).cast("double") for f in features] + [F.col(label).cast("double")]
     pairs = [(a, b) for a in range(d + 1) for b in range(a, d + 1)]
     means = [F.avg(cells[a] * cells[b]).alias(f"p{a}_{b}") for a, b in pairs]
-    row = rows.agg(F.count("*").alias("n"), *means).first()
+    row = rows.agg(F.count("*").alias("n"), *means).collect()[0]
     if row["n"] == 0:
         return lambda weights, i: None
     product = np.zeros((d + 1, d + 1))

@@ -59,9 +59,7 @@ def threshold_curve(
     points = rows.groupBy("chunk", "down").agg(
         F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")
     )
-    totals = rows.groupBy("chunk").agg(
-        F.sum("hit").alias("_pos"), F.sum(1 - F.col("hit")).alias("_neg")
-    )
+    totals = points.groupBy("chunk").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     # one row per chunk, bounded by the number of chunks
     every, above_it = Window.partitionBy(), Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     shifts = totals.select(

@@ -16,6 +16,7 @@ from loomstat.functions import (
 )
 from loomstat.operators import relational
 from loomstat.operators.ordering import top_k, with_row_index
+from loomstat.operators.partitions import at_least_partitions
 from loomstat.operators.sampling import in_share
 from loomstat.plans.catalog.base import RATINGS_SQL, query, ratings, rounded, table
 
@@ -33,7 +34,8 @@ def _falling():
 
 @query("word_count", WORDS_SQL)
 def word_count(spark, folder):
-    return relational.word_count(table(spark, folder, "documents"), "text")
+    documents = at_least_partitions(table(spark, folder, "documents").select("text"))
+    return relational.word_count(documents, "text")
 
 
 @query(

@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.functions import fields, strict_cast
+from loomstat.operators.partitions import at_least_partitions
 
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """One row per line in column ``value``. Spreads a few large files only if asked to."""
+    """One row per line in column ``value``; spread wider only if ``min_partitions`` asks for it."""
     df = spark.read.text(path)
-    return df.repartition(min_partitions) if min_partitions else df
+    return at_least_partitions(df, min_partitions) if min_partitions else df
 
 
 def _field(parts: Column, i: int, wanted: int) -> Column:
@@ -84,7 +85,7 @@ def read_libsvm(
     if num_features > 0:
         reader = reader.option("numFeatures", num_features)
     df = reader.load(path)
-    return df.repartition(min_partitions) if min_partitions else df
+    return at_least_partitions(df, min_partitions) if min_partitions else df
 
 
 def read_labeled_dense(spark: SparkSession, path: str) -> DataFrame:
