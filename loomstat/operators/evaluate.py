@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomstat.functions import above, at_least
-from loomstat.operators.ordering import with_ordered_chunks
+from loomstat.operators.ordering import CHUNK_ROWS, chunk_count, with_ordered_chunks
 
 
 def _squared_error(prediction: str, label: str) -> Column:
@@ -44,43 +44,55 @@ def cut_class(score: str = "prediction", cut: float = 0.5) -> Column:
 
 
 def threshold_curve(
-    df: DataFrame, score: str = "prediction", label: str = "label", chunk_rows: int = 2_000_000
+    df: DataFrame, score: str = "prediction", label: str = "label", chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """One row per distinct score, falling: its positives and negatives and those down to it.
 
     Rows are counted per score before the shuffle. Continuous scores leave as many rows as the
-    input, so the running sums are taken within ordered chunks of the score and shifted by the
-    totals of the chunks above, of which there are a few thousand at most.
+    input; beyond one chunk of them the running sums are taken within ordered chunks of the score
+    and shifted by the totals of the chunks above, of which there are 4096 at most.
     """
     rows = df.select(
         (-F.col(score).cast("double")).alias("down"), (F.col(label) > 0.5).cast("long").alias("hit")
     )
-    rows = with_ordered_chunks(rows, "down", chunk_rows=chunk_rows)
-    points = rows.groupBy("chunk", "down").agg(
-        F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")
+    chunks = chunk_count(rows, chunk_rows)
+    hits, misses = F.sum("hit"), F.sum(1 - F.col("hit"))
+    if chunks == 1:
+        points = rows.groupBy("down").agg(hits.alias("pos"), misses.alias("neg"))
+        falling, every = Window.orderBy("down").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
+        tp, fp = F.sum("pos").over(falling), F.sum("neg").over(falling)
+        totals = F.sum("pos").over(every), F.sum("neg").over(every)
+    else:
+        placed = with_ordered_chunks(rows, "down", None, chunks)
+        points = _chunked_points(placed.groupBy("chunk", "down").agg(hits.alias("pos"), misses.alias("neg")))
+        tp, fp = F.col("_tp") + F.col("_tp_above"), F.col("_fp") + F.col("_fp_above")
+        totals = F.col("_n_pos"), F.col("_n_neg")
+    return points.select(
+        (-F.col("down")).alias("score"),
+        "pos",
+        "neg",
+        tp.alias("tp"),
+        fp.alias("fp"),
+        totals[0].alias("n_pos"),
+        totals[1].alias("n_neg"),
     )
-    totals = points.groupBy("chunk").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    # one row per chunk, bounded by the number of chunks
-    every, above_it = Window.partitionBy(), Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _chunked_points(points: DataFrame) -> DataFrame:
+    """Running sums within each chunk, next to the sums of the chunks above and of all chunks."""
+    totals = points.groupBy("chunk").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    # one row per chunk, so neither these windows nor the broadcast grows with the table
+    above_it, every = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     shifts = totals.select(
         "chunk",
-        F.coalesce(F.sum("_pos").over(above_it), F.lit(0)).alias("_pos_above"),
-        F.coalesce(F.sum("_neg").over(above_it), F.lit(0)).alias("_neg_above"),
-        F.sum("_pos").over(every).alias("n_pos"),
-        F.sum("_neg").over(every).alias("n_neg"),
+        F.coalesce(F.sum("_p").over(above_it), F.lit(0)).alias("_tp_above"),
+        F.coalesce(F.sum("_n").over(above_it), F.lit(0)).alias("_fp_above"),
+        F.sum("_p").over(every).alias("_n_pos"),
+        F.sum("_n").over(every).alias("_n_neg"),
     )
     running = Window.partitionBy("chunk").orderBy("down").rowsBetween(Window.unboundedPreceding, 0)
-    summed = points.withColumn("_tp", F.sum("pos").over(running))
-    summed = summed.withColumn("_fp", F.sum("neg").over(running))
-    return summed.join(F.broadcast(shifts), "chunk").select(
-        (-F.col("down")).alias("score"),
-        "pos",
-        "neg",
-        (F.col("_tp") + F.col("_pos_above")).alias("tp"),
-        (F.col("_fp") + F.col("_neg_above")).alias("fp"),
-        "n_pos",
-        "n_neg",
-    )
+    summed = points.withColumn("_tp", F.sum("pos").over(running)).withColumn("_fp", F.sum("neg").over(running))
+    return summed.join(F.broadcast(shifts), "chunk")
 
 
 def _roc_area() -> Column:

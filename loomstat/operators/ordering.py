@@ -56,23 +56,25 @@ def order_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot cut {kind.simpleString()} column {name} into ordered chunks")
 
 
+CHUNK_ROWS = 2_000_000
+MAX_CHUNKS = 4_096
+
+
+def chunk_count(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> int:
+    """How many chunks of about ``chunk_rows`` rows the table makes, 4096 at most."""
+    return max(1, min(MAX_CHUNKS, math.ceil(df.count() / chunk_rows)))
+
+
 def with_ordered_chunks(
-    df: DataFrame,
-    order: str,
-    tie: str | None = None,
-    chunk_rows: int = 2_000_000,
-    max_chunks: int = 4_096,
-    name: str = "chunk",
+    df: DataFrame, order: str, tie: str | None, chunks: int, name: str = "chunk"
 ) -> DataFrame:
-    """Add a chunk number that rises with ``(order, tie)``, about ``chunk_rows`` rows per chunk.
+    """Add a chunk number that rises with ``(order, tie)``, about the same number of rows in each.
 
     A window over (key, chunk) instead of (key) then never sees more than about one chunk, even if
     one key holds most of the table. The cuts are approximate quantiles of the whole table, fetched
     once and used as constants, so every task and every retry cuts alike. A single order value with
     several chunks' worth of rows is cut again by ``tie``.
     """
-    n_rows = df.count()
-    chunks = min(max_chunks, math.ceil(n_rows / chunk_rows))
     if chunks <= 1:
         return df.withColumn(name, F.lit(0).cast("long"))
     position = order_number(df, order)
@@ -81,9 +83,9 @@ def with_ordered_chunks(
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol="_v", outputCol="_bucket", handleInvalid="keep")
     placed = bucketizer.transform(df.withColumn("_v", position))
-    bucket = F.col("_bucket").cast("long") * F.lit(max_chunks * 2).cast("long")
+    bucket = F.col("_bucket").cast("long") * F.lit(MAX_CHUNKS * 2).cast("long")
     if weight and tie is not None:
-        bucket = bucket + _tie_step(df, placed, tie, weight, max_chunks)
+        bucket = bucket + _tie_step(df, placed, tie, weight)
     return placed.withColumn(name, bucket).drop("_v", "_bucket")
 
 
@@ -93,9 +95,7 @@ def _quantiles(values: DataFrame, chunks: int) -> list[float]:
     return list(found["q"] or [])
 
 
-def _tie_step(
-    df: DataFrame, placed: DataFrame, tie: str, weight: dict[float, int], max_chunks: int
-) -> Column:
+def _tie_step(df: DataFrame, placed: DataFrame, tie: str, weight: dict[float, int]) -> Column:
     """Within the bucket that starts at a heavy value: its own sub-chunks first, then the rest.
 
     ``weight`` says how many chunks' worth of rows each heavy value holds; its sum is at most twice
@@ -112,5 +112,5 @@ def _tie_step(
     cuts = F.try_element_at(F.create_map(*cells), value)
     sub = F.size(F.filter(cuts, lambda cut: cut <= number))
     past = F.exists(F.lit(sorted(weight)), lambda v: v < value)
-    rest = F.when(past, F.lit(max_chunks + 1)).otherwise(F.lit(0))
+    rest = F.when(past, F.lit(MAX_CHUNKS + 1)).otherwise(F.lit(0))
     return F.when(cuts.isNotNull(), sub).otherwise(rest).cast("long")

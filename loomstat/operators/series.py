@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomstat.operators.ordering import with_ordered_chunks
+from loomstat.operators.ordering import CHUNK_ROWS, chunk_count, with_ordered_chunks
 
 FEATURES = ["ybar", "stdev", "slope", "largest_delta", "one_sigma", "two_sigma", "three_sigma"]
 
@@ -52,11 +52,11 @@ def _points(
     df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int
 ) -> DataFrame:
     rows = df.select(*dict.fromkeys([series, order, tie]), F.col(value).cast("double").alias("_y"))
-    return with_ordered_chunks(rows, order, tie, chunk_rows)
+    return with_ordered_chunks(rows, order, tie, chunk_count(rows, chunk_rows))
 
 
 def series_zscores(
-    df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int = 2_000_000
+    df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Every point that belongs to a series with its z-value: ``series, order, tie, z``."""
     rows = _points(df, series, order, tie, value, chunk_rows)
@@ -66,7 +66,7 @@ def series_zscores(
 
 
 def series_features(
-    df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int = 2_000_000
+    df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """The seven features and ``n`` per series, from one row per point.
 

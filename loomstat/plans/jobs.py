@@ -91,11 +91,11 @@ def sales_regression(
 
 
 def _binary_report(scored: DataFrame, train: Column, report: Sequence[Column]) -> DataFrame:
-    """Counts and further columns from one pass, beside the two areas of the test rows."""
+    """One row of counts and further measures, beside the two areas of the test rows."""
     one = scored.agg(*_split_counts(train), *report)
+    found = one.collect()[0]
     areas = evaluate.binary_areas(scored.filter(~train))
-    # one row on either side
-    return one.withColumn("_one", F.lit(1)).join(areas.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return areas.select(*[F.lit(found[c]).alias(c) for c in one.columns], "auc_roc", "auc_pr")
 
 
 def svm_classification(
