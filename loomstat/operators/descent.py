@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,14 @@ class Descent:
     losses: list[float]
 
 
+def margin(features: str | Sequence[str], weights: Sequence[float]) -> Column:
+    """Score of a row: features are named columns, or one vector column."""
+    if isinstance(features, str):
+        products = F.zip_with(vector_to_array(features), F.lit(list(weights)), lambda x, w: x * w)
+        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+    return dot([F.col(f) for f in features], weights)
+
+
 def dot(features: Sequence[Column], weights: Sequence[float]) -> Column:
     """Sum of feature times weight, left to right."""
     total = features[0] * F.lit(float(weights[0]))
@@ -40,17 +50,34 @@ def dot(features: Sequence[Column], weights: Sequence[float]) -> Column:
     return total
 
 
-def least_squares(label: Column, features: list[Column], weights: list[float]):
-    error = dot(features, weights) - label
-    return [error * x for x in features], error * error / F.lit(2.0)
+@dataclass(frozen=True)
+class LinearGradient:
+    """A gradient that is a number per row times the row's features.
+
+    ``pull(label, margin)`` gives that number and the loss; such gradients also work on vectors.
+    """
+
+    pull: Callable[[Column, Column], tuple[Column, Column]]
+
+    def __call__(self, label: Column, features: list[Column], weights: list[float]):
+        number, loss = self.pull(label, dot(features, weights))
+        return [number * x for x in features], loss
+
 
+def _squared_error(label: Column, margin: Column):
+    error = margin - label
+    return error, error * error / F.lit(2.0)
 
-def hinge(label: Column, features: list[Column], weights: list[float]):
-    """Labels 0 and 1; the loss is zero once a row lies on its side of the margin."""
+
+def _hinge(label: Column, margin: Column):
     side = label * F.lit(2.0) - F.lit(1.0)
-    room = F.lit(1.0) - side * dot(features, weights)
-    pull = F.when(room > 0, -side).otherwise(0.0)
-    return [pull * x for x in features], F.greatest(room, F.lit(0.0))
+    room = F.lit(1.0) - side * margin
+    return F.when(room > 0, -side).otherwise(0.0), F.greatest(room, F.lit(0.0))
+
+
+least_squares = LinearGradient(_squared_error)
+# Labels 0 and 1; the loss is zero once a row lies on its side of the margin.
+hinge = LinearGradient(_hinge)
 
 
 def no_penalty(weights: np.ndarray, gradient: np.ndarray, step: float, reg_param: float):
@@ -79,7 +106,7 @@ GRAM_LIMIT = 40
 def descend(
     rows: DataFrame,
     label: str,
-    features: Sequence[str],
+    features: str | Sequence[str],
     gradient: Gradient = least_squares,
     updater: str | Updater = "L2",
     step_size: float = 1.0,
@@ -92,24 +119,31 @@ def descend(
 ) -> Descent:
     """Run the loop; with ``batch_share`` below 1 each step sees its own repeatable sample.
 
+    ``features`` names double columns, or one vector column of any width (linear gradients only).
     The sample is drawn by ``batch_key``, which should be unique per row. Least squares over all
     rows needs the data once, however many steps follow: its gradient and loss depend on it through
     the products of label and features alone.
     """
     update = UPDATERS[updater] if isinstance(updater, str) else updater
-    weights = np.array(initial if initial is not None else [0.0] * len(features), dtype=float)
     if batch_share < 1.0 and batch_key is None:
         raise ValueError("a sample per step needs batch_key")
-    if gradient is least_squares and batch_share >= 1.0 and len(features) <= GRAM_LIMIT:
-        measure = _from_products(rows, label, features)
-        return _loop(measure, update, weights, step_size, num_iterations, reg_param, tolerance)
+    steps = (step_size, num_iterations, reg_param, tolerance)
     columns = [F.col(label).cast("double").alias("_label")]
-    columns += [F.col(f).cast("double").alias(f"_x{j}") for j, f in enumerate(features)]
     if batch_share < 1.0:
         columns.append(F.col(batch_key).alias("_key"))
+    if isinstance(features, str):
+        if not isinstance(gradient, LinearGradient):
+            raise ValueError("a vector column needs a linear gradient")
+        with held(rows.select(*columns, F.col(features).alias("_x"))) as data:
+            width = len(initial) if initial is not None else _width(data)
+            weights = np.array(initial if initial is not None else [0.0] * width, dtype=float)
+            return _loop(_from_vectors(data, gradient, batch_share), update, weights, *steps)
+    weights = np.array(initial if initial is not None else [0.0] * len(features), dtype=float)
+    if gradient is least_squares and batch_share >= 1.0 and len(features) <= GRAM_LIMIT:
+        return _loop(_from_products(rows, label, features), update, weights, *steps)
+    columns += [F.col(f).cast("double").alias(f"_x{j}") for j, f in enumerate(features)]
     with held(rows.select(*columns)) as data:
-        measure = _from_rows(data, len(features), gradient, batch_share)
-        return _loop(measure, update, weights, step_size, num_iterations, reg_param, tolerance)
+        return _loop(_from_rows(data, len(features), gradient, batch_share), update, weights, *steps)
 
 
 def _loop(measure, update, weights, step_size, num_iterations, reg_param, tolerance) -> Descent:
@@ -129,13 +163,45 @@ def _loop(measure, update, weights, step_size, num_iterations, reg_param, tolera
     return Descent([float(w) for w in weights], losses)
 
 
+def _batch(data: DataFrame, batch_share: float, i: int) -> DataFrame:
+    if batch_share >= 1.0:
+        return data
+    return data.filter(in_share(batch_share, F.col("_key"), F.lit(i)))
+
+
+def _width(data: DataFrame) -> int:
+    first = data.select("_x").head()
+    return first["_x"].size if first else 0
+
+
+def _from_vectors(data, gradient, batch_share):
+    """The sum of number times vector by the library's weighted vector sums, which keep sparse
+    vectors sparse; their weights must not be negative, so the two signs are summed apart."""
+    total = Summarizer.metrics("sum")
+
+    def measure(weights: np.ndarray, i: int):
+        number, loss = gradient.pull(F.col("_label"), margin("_x", [float(w) for w in weights]))
+        scored = _batch(data, batch_share, i).select("_x", number.alias("_c"), loss.alias("_l"))
+        up, down = F.greatest(F.col("_c"), F.lit(0.0)), F.greatest(-F.col("_c"), F.lit(0.0))
+        row = scored.agg(
+            F.count("_l").alias("n"),
+            F.sum("_l").alias("loss"),
+            total.summary(F.col("_x"), up).alias("up"),
+            total.summary(F.col("_x"), down).alias("down"),
+        ).collect()[0]
+        if row["n"] == 0:
+            return None
+        sums = [row[side]["sum"].toArray() if row[side]["sum"].size else 0.0 for side in ("up", "down")]
+        return (sums[0] - sums[1]) / row["n"], row["loss"] / row["n"]
+
+    return measure
+
+
 def _from_rows(data, width, gradient, batch_share):
     xs = [F.col(f"_x{j}") for j in range(width)]
 
     def measure(weights: np.ndarray, i: int):
-        batch = data
-        if batch_share < 1.0:
-            batch = data.filter(in_share(batch_share, F.col("_key"), F.lit(i)))
+        batch = _batch(data, batch_share, i)
         parts, loss = gradient(F.col("_label"), xs, [float(w) for w in weights])
         named = [F.sum(g).alias(f"g{j}") for j, g in enumerate(parts)]
         row = batch.agg(F.count(loss).alias("n"), F.sum(loss).alias("loss"), *named).collect()[0]
@@ -170,7 +236,7 @@ def _from_products(rows, label, features):
 def linear_regression(
     rows: DataFrame,
     label: str,
-    features: Sequence[str],
+    features: str | Sequence[str],
     num_iterations: int = 100,
     step_size: float = 1.0,
     reg_type: str = "L2",
@@ -187,7 +253,7 @@ def linear_regression(
 def linear_svm(
     rows: DataFrame,
     label: str,
-    features: Sequence[str],
+    features: str | Sequence[str],
     num_iterations: int = 100,
     step_size: float = 1.0,
     reg_type: str = "L1",

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions import above, clip_unit
 from loomstat.operators.evaluate import rmse_over_pairs
+from loomstat.operators.joins import join_lookup
 from loomstat.operators.relational import mean_per_pair
 from loomstat.session import ensure_checkpoint_dir
 
@@ -41,9 +42,22 @@ def fit_als(
     return als.fit(mean_per_pair(ratings, PAIR))
 
 
+def _dot(a: str | Column, b: str | Column) -> Column:
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+
+
 def score_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Add ``prediction``; pairs with a user or item the model has not seen are dropped."""
-    return model.transform(pairs)
+    """Add ``prediction``; pairs with a user or item the model has not seen are dropped.
+
+    A user with very many pairs is spread over tasks by product, and a product by user.
+    """
+    row_bytes = 8 * model.rank + 32
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("_user"))
+    items = model.itemFactors.select(F.col("id").alias("product"), F.col("features").alias("_item"))
+    scored = join_lookup(pairs, users, "user", F.col("product"), row_bytes)
+    scored = join_lookup(scored, items, "product", F.col("user"), row_bytes)
+    return scored.select(*pairs.columns, _dot("_user", "_item").alias("prediction"))
 
 
 def recommender_rmse(model: ALSModel, test: DataFrame, implicit: bool = False) -> DataFrame:
@@ -55,8 +69,9 @@ def recommender_rmse(model: ALSModel, test: DataFrame, implicit: bool = False) -
     rating = above(F.col("rating")) if implicit else F.col("rating")
     actual = test.groupBy(*PAIR, rating.alias("rating")).agg(F.count("*").alias("_same"))
     pairs = actual.groupBy(*PAIR).agg(F.sum("_same").alias("_all"))
-    score = F.col("prediction").cast("double")
-    scored = score_pairs(model, pairs).withColumn("prediction", clip_unit(score) if implicit else score)
+    scored = score_pairs(model, pairs)
+    if implicit:
+        scored = scored.withColumn("prediction", clip_unit(F.col("prediction")))
     joined = scored.join(actual, PAIR).withColumn("n_rows", F.col("_all") * F.col("_same"))
     return rmse_over_pairs(joined)
 
@@ -72,7 +87,6 @@ def top_items(model: ALSModel, user: int, k: int = 10) -> DataFrame:
     items = model.itemFactors
     if not factors:
         items = items.filter(F.lit(False))
-    products = F.zip_with("features", F.lit(factors or [0.0]), lambda a, b: a.cast("double") * b)
-    score = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+    score = _dot("features", F.lit(factors or [0.0]))
     scored = items.select(F.col("id").alias("product"), score.alias("rating"))
     return scored.orderBy(F.col("rating").desc(), F.col("product").asc()).limit(k)

@@ -51,10 +51,16 @@ def _split_counts(train: Column) -> list[Column]:
     return [F.count_if(train).alias("n_training"), F.count_if(~train).alias("n_test")]
 
 
+def _vectors(rows: DataFrame, label: str, features: str | Sequence[str], key: str) -> DataFrame:
+    """``key, label, features``; features are named columns, or a vector column already."""
+    joined = rows.withColumn("features", F.col(features)) if isinstance(features, str) else assemble(rows, features)
+    return joined.select(key, F.col(label).cast("double").alias("label"), "features")
+
+
 def linear_regression(
     rows: DataFrame,
     label: str,
-    features: Sequence[str],
+    features: str | Sequence[str],
     key: str,
     num_iterations: int = 100,
     step_size: float = 1.0,
@@ -67,7 +73,7 @@ def linear_regression(
         training, label, features, num_iterations, step_size, reg_type, reg_param
     )
     train = _train(key)
-    error = descent.dot([F.col(f) for f in features], model.weights) - F.col(label)
+    error = descent.margin(features, model.weights) - F.col(label)
     return rows.agg(
         *_split_counts(train),
         number_text(*[F.lit(w) for w in model.weights]).alias("weights"),
@@ -101,7 +107,7 @@ def _binary_report(scored: DataFrame, train: Column, report: Sequence[Column]) -
 def svm_classification(
     rows: DataFrame,
     label: str,
-    features: Sequence[str],
+    features: str | Sequence[str],
     key: str,
     num_iterations: int = 100,
     step_size: float = 1.0,
@@ -110,7 +116,7 @@ def svm_classification(
     """``n_training, n_test, accuracy (in percent), auc_roc, auc_pr`` of a linear SVM with L1."""
     training, _ = split_by_key(rows, key, TRAIN_SHARE)
     model = descent.linear_svm(training, label, features, num_iterations, step_size, "L1", reg_param)
-    score = descent.dot([F.col(f) for f in features], model.weights)
+    score = descent.margin(features, model.weights)
     scored = rows.select(key, F.col(label).cast("double").alias("label"), score.alias("prediction"))
     train = _train(key)
     hit = F.when(evaluate.margin_class() == F.col("label"), 1.0).otherwise(0.0)
@@ -134,7 +140,7 @@ def series_anomaly(
 def logistic_classification(
     rows: DataFrame,
     label: str,
-    features: Sequence[str],
+    features: str | Sequence[str],
     key: str,
     num_iterations: int = 100,
     reg_type: str = "L2",
@@ -142,7 +148,7 @@ def logistic_classification(
     **fit,
 ) -> DataFrame:
     """``n_training, n_test, auc_roc, auc_pr`` of a logistic regression."""
-    vectors = assemble(rows, features).select(key, F.col(label).cast("double").alias("label"), "features")
+    vectors = _vectors(rows, label, features, key)
     training, _ = split_by_key(vectors, key, TRAIN_SHARE)
     model = classify.fit_logistic(training, num_iterations, reg_type, reg_param, **fit)
     return _binary_report(classify.probability_of_one(model, vectors), _train(key), [])
@@ -163,7 +169,7 @@ def naive_bayes(
 def decision_tree(
     rows: DataFrame,
     label: str,
-    features: Sequence[str],
+    features: str | Sequence[str],
     key: str,
     algo: str = "Classification",
     max_depth: int = 5,
@@ -172,7 +178,7 @@ def decision_tree(
 ) -> DataFrame:
     """``n_training, n_test`` and ``accuracy`` or ``mse`` of a tree on the held-out rows."""
     classify.check_tree(algo, impurity)
-    vectors = assemble(rows, features).select(key, F.col(label).cast("double").alias("label"), "features")
+    vectors = _vectors(rows, label, features, key)
     training, _ = split_by_key(vectors, key, TRAIN_SHARE)
     scored = classify.fit_tree(training, algo, max_depth, impurity, max_bins).transform(vectors)
     train = _train(key)

@@ -2,11 +2,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.mllib.classification import SVMWithSGD
 from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
 from pyspark.sql import functions as F
 
 from loomstat.operators import descent
+from loomstat.operators.features import assemble
 from loomstat.plans.catalog.models import two_weight_gradient
 
 RND = np.random.default_rng(11)
@@ -44,9 +46,7 @@ def test_svm_equals_the_library(spark, rows):
 
 @pytest.mark.parametrize("reg", ["NONE", "L1", "L2"])
 def test_products_and_rows_give_the_same_steps(rows, reg):
-    def same_gradient(label, features, weights):
-        return descent.least_squares(label, features, weights)
-
+    same_gradient = descent.LinearGradient(descent.least_squares.pull)
     one = descent.descend(rows, "y", NAMES, descent.least_squares, reg, 0.7, 12, 0.2, tolerance=0.0)
     two = descent.descend(rows, "y", NAMES, same_gradient, reg, 0.7, 12, 0.2, tolerance=0.0)
     assert one.weights == pytest.approx(two.weights, abs=1e-10)
@@ -96,3 +96,26 @@ def test_literal_points(rows, spark):
     data = spark.createDataFrame([tuple(float(i) for i in range(1, 11)), (3.0,) * 10], [f"x{j}" for j in range(10)])
     got = [r[0] for r in data.select(descent.dot([F.col(c) for c in data.columns], weights)).collect()]
     assert got == pytest.approx([38.5, 16.5])
+
+
+@pytest.mark.parametrize("name,reg", [("least_squares", "L2"), ("hinge", "L1")])
+def test_vectors_take_the_same_steps_as_columns(rows, name, reg):
+    gradient = descent.LinearGradient(getattr(descent, name).pull)
+    label = "flag" if name == "hinge" else "y"
+    one = descent.descend(rows, label, NAMES, gradient, reg, 0.7, 8, 0.05, tolerance=0.0)
+    vectors = assemble(rows, NAMES)
+    two = descent.descend(vectors, label, "features", gradient, reg, 0.7, 8, 0.05, tolerance=0.0)
+    assert one.weights == pytest.approx(two.weights, abs=1e-10)
+    assert one.losses == pytest.approx(two.losses, abs=1e-10)
+    scores = vectors.select(descent.margin(NAMES, one.weights), descent.margin("features", one.weights)).collect()
+    assert all(a == pytest.approx(b, abs=1e-12) for a, b in scores)
+    with pytest.raises(ValueError, match="linear gradient"):
+        descent.descend(vectors, label, "features", two_weight_gradient)
+
+
+def test_sparse_wide_vectors(spark):
+    cells = [(float(i % 2), Vectors.sparse(5000, [i % 7, 4000 + i % 3], [1.0, float(i % 2)])) for i in range(60)]
+    df = spark.createDataFrame(cells, ["label", "features"])
+    model = descent.linear_svm(df, "label", "features", 5, 1.0, reg_param=0.0)
+    assert len(model.weights) == 5000 and sum(w != 0 for w in model.weights) <= 10
+    assert model.losses[-1] < model.losses[0]

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomstat.operators import ordering, relational, sampling
+from loomstat.operators import joins, ordering, relational, sampling
 from loomstat.operators.partitions import at_least_partitions, held
 
 
@@ -92,3 +92,15 @@ def test_spreading_keeps_rows(spark):
     with held(df) as rows:
         assert rows.count() == 100 and rows.storageLevel.useMemory
     assert not rows.storageLevel.useMemory
+
+
+def test_lookup_join_spreads_a_hot_key(spark, monkeypatch):
+    rows = spark.range(3000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100)).cast("int").alias("k"), "id")
+    table = spark.range(90).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+    expected = sorted(map(tuple, rows.join(table, "k").select("k", "id", "v").collect()))
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        got = joins.join_lookup(rows, table, "k", F.col("id"), 16, min_rows=200, salts=8)
+        assert sorted(map(tuple, got.select("k", "id", "v").collect())) == expected
+        assert ("_salt" in got._jdf.queryExecution().analyzed().toString()) == (limit == 0)
+    assert joins.hot_keys(rows, "k", 200) == [7] and joins.hot_keys(rows, "k") == []
