@@ -309,10 +309,13 @@ SERIES_SQL = f"""
     SELECT f.vec_id AS k, CASE WHEN e.label < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y,
            ybar AS x0, stdev AS x1, slope AS x2, largest_delta AS x3,
            one_sigma::DOUBLE AS x4, two_sigma::DOUBLE AS x5, three_sigma::DOUBLE AS x6
-    FROM ({features_sql(ARRAY_POINTS_SQL, "vec_id")}) f JOIN embeddings e ON e.vec_id = f.vec_id
+    FROM ({features_sql(ARRAY_POINTS_SQL, "vec_id", None)}) f JOIN embeddings e ON e.vec_id = f.vec_id
 """
 
 
+SERIES_X = [f"x{j}" for j in range(7)]
+
+
 def _series(spark, folder) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     flag = F.when(F.col("label") < 5, 1.0).otherwise(0.0)
@@ -322,17 +325,16 @@ def _series(spark, folder) -> DataFrame:
 @query(
     "ts_svm",
     oracle.Steps(
-        SERIES_SQL, "y", [f"x{j}" for j in range(7)], "hinge", "L1", 1.0, 0.1, 20, digits=4
+        SERIES_SQL, "y", SERIES_X, "hinge", "L1", 1.0, 0.1, 20
     ).weights(),
 )
 def ts_svm(spark, folder):
     featured = array_features(_series(spark, folder), "embedding", ["vec_id", "label"])
     model = descent.linear_svm(featured, "label", SERIES_FEATURES, 20, 1.0, tolerance=0.0)
-    cells = [(f"w{j}", round(w, 4) + 0.0) for j, w in enumerate(model.weights)]
-    return spark.createDataFrame(cells, "term string, weight double")
+    return weights_table(spark, model)
 
 
-@query("series_anomaly")
+@query("series_anomaly", oracle.holdout_svm_sql(SERIES_SQL, SERIES_X, in_train_sql("k"), 20, 1.0, 0.1))
 def series_anomaly(spark, folder):
     report = jobs.series_anomaly(_series(spark, folder), "label", "embedding", "vec_id", num_iterations=20)
     return report.select(
@@ -340,7 +342,14 @@ def series_anomaly(spark, folder):
     )
 
 
-@query("logistic_classification")
+@query(
+    "logistic_classification",
+    oracle.holdout_logistic_sql(
+        f"SELECT l_orderkey AS k, flag AS y, x0, x1, x2 FROM ({ROWS_SQL})", FEATURES, in_train_sql("k"), 0.02, 400
+    ),
+)
 def logistic_classification(spark, folder):
-    report = jobs.logistic_classification(rows(spark, folder), "flag", FEATURES, "l_orderkey")
-    return report.select("n_training", "n_test", rounded("auc_roc").alias("auc_roc"), rounded("auc_pr").alias("auc_pr"))
+    report = jobs.logistic_classification(
+        rows(spark, folder), "flag", FEATURES, "l_orderkey", reg_param=0.02, standardization=False, tolerance=1e-12
+    )
+    return report.select("n_training", "n_test", *[rounded(c).alias(c) for c in ("auc_roc", "auc_pr")])

@@ -94,7 +94,7 @@ class Steps:
         return f"{self.recursion()} SELECT i AS iteration, round(loss, 6) AS loss FROM w WHERE i > 0"
 
 
-def logistic_sql(
+def _logistic_steps(
     rows: str, label: str, features: Sequence[str], reg_type: str, reg_param: float, iterations: int
 ) -> str:
     """The optimum by proximal steps of fixed length; features in [0, 1] keep length 2 safe."""
@@ -106,9 +106,6 @@ def logistic_sql(
         moved = [f"sign(w{j} - {step} * g{j}) * greatest(0, abs(w{j} - {step} * g{j}) - {step} * {reg})" for j in d]
     else:
         moved = [f"w{j} - {step} * (g{j} + {reg} * w{j})" for j in d]
-    cells = " UNION ALL ".join(
-        f"SELECT 'w{j}' AS term, round(w{j}, 4) + 0.0::DOUBLE AS weight FROM w WHERE i = {iterations}" for j in d
-    )
     return f"""
     WITH RECURSIVE f AS MATERIALIZED ({rows}),
     w(i, {ws}) AS (
@@ -116,11 +113,20 @@ def logistic_sql(
         UNION ALL
         SELECT i + 1, {", ".join(moved)}
         FROM (SELECT i, {ws}, {", ".join(f"g{j}" for j in d)}
-              FROM w, LATERAL (SELECT {gs} FROM f) t WHERE i < {iterations}) a)
-    {cells}
+              FROM w, LATERAL (SELECT {gs} FROM f) t WHERE i < {iterations}) a),
+    last AS (SELECT * FROM w WHERE i = {iterations})
     """
 
 
+def logistic_sql(
+    rows: str, label: str, features: Sequence[str], reg_type: str, reg_param: float, iterations: int
+) -> str:
+    cells = " UNION ALL ".join(
+        f"SELECT 'w{j}' AS term, round(w{j}, 4) + 0.0::DOUBLE AS weight FROM last" for j in range(len(features))
+    )
+    return f"{_logistic_steps(rows, label, features, reg_type, reg_param, iterations)} {cells}"
+
+
 def _bayes_model(rows: str, features: Sequence[str]) -> str:
     total = " + ".join(f"sum({f})" for f in features)
     logs = ", ".join(
@@ -276,8 +282,27 @@ def holdout_svm_sql(
     steps = Steps(
         f"SELECT * FROM ({rows}) WHERE {train}", "y", features, "hinge", "L1", step_size, reg_param, iterations, 0.001
     )
+    return f"""{_last(steps)}, {_held_out(rows, features, train)}
+    SELECT (SELECT count(*) FROM scored WHERE training) AS n_training,
+           (SELECT count(*) FROM scored WHERE NOT training) AS n_test,
+           (SELECT round(100 * avg(((score > 0)::INT = y)::INT), 6) FROM scored WHERE NOT training) AS accuracy,
+           round(auc_roc, 6) AS auc_roc, round(auc_pr, 6) AS auc_pr FROM areas"""
+
+
+def holdout_logistic_sql(rows: str, features: Sequence[str], train: str, reg_param: float, iterations: int) -> str:
+    """Rows (k, y, features): L2 fit on the training keys, both areas on the others."""
+    training = f"SELECT * FROM ({rows}) WHERE {train}"
+    return f"""{_logistic_steps(training, "y", features, "L2", reg_param, iterations)},
+    {_held_out(rows, features, train)}
+    SELECT (SELECT count(*) FROM scored WHERE training) AS n_training,
+           (SELECT count(*) FROM scored WHERE NOT training) AS n_test,
+           round(auc_roc, 6) AS auc_roc, round(auc_pr, 6) AS auc_pr FROM areas"""
+
+
+def _held_out(rows: str, features: Sequence[str], train: str) -> str:
+    """Scores by the weights in ``last``, and both areas over the rows outside the training keys."""
     margin = " + ".join(f"{x} * w{j}" for j, x in enumerate(features))
-    return f"""{_last(steps)},
+    return f"""
     scored AS (SELECT {train} AS training, y, round({margin}, 12) AS score FROM ({rows}) r, last),
     pts AS (SELECT score, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg
             FROM scored WHERE NOT training GROUP BY score),
@@ -286,8 +311,4 @@ def holdout_svm_sql(
     areas AS (SELECT sum(neg * (tp - pos / 2)) / any_value(np * nn) AS auc_roc,
                      sum(pos * (tp / (tp + fp)
                          + coalesce((tp - pos) / nullif(tp + fp - pos - neg, 0), tp / (tp + fp))) / 2)
-                       / any_value(np) AS auc_pr FROM cum)
-    SELECT (SELECT count(*) FROM scored WHERE training) AS n_training,
-           (SELECT count(*) FROM scored WHERE NOT training) AS n_test,
-           (SELECT round(100 * avg(((score > 0)::INT = y)::INT), 6) FROM scored WHERE NOT training) AS accuracy,
-           round(auc_roc, 6) AS auc_roc, round(auc_pr, 6) AS auc_pr FROM areas"""
+                       / any_value(np) AS auc_pr FROM cum)"""

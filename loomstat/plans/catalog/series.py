@@ -22,8 +22,12 @@ ARRAY_POINTS_SQL = """
 """
 
 
-def features_sql(points: str, key: str) -> str:
+def features_sql(points: str, key: str, digits: int | None = 6) -> str:
     """The definitions in SQL over points (series, x, y)."""
+
+    def number(sql: str) -> str:
+        return sql if digits is None else f"round({sql}, {digits}) + 0.0::DOUBLE"
+
     return f"""
     WITH s AS (
         SELECT series, x, y, avg(y) OVER (PARTITION BY series) AS m,
@@ -32,8 +36,9 @@ def features_sql(points: str, key: str) -> str:
     z AS (SELECT *, (y - m) / CASE WHEN sd <= 0 THEN 1 ELSE sd END AS z FROM s),
     d AS (
         SELECT *, abs(z - coalesce(lag(z) OVER (PARTITION BY series ORDER BY x), 0)) AS step FROM z)
-    SELECT series AS {key}, count(*) AS n, round(avg(y), 6) AS ybar, round(stddev_pop(y), 6) AS stdev,
-           round(regr_slope(y, x), 6) + 0.0::DOUBLE AS slope, round(max(step), 6) AS largest_delta,
+    SELECT series AS {key}, count(*) AS n, {number("avg(y)")} AS ybar,
+           {number("stddev_pop(y)")} AS stdev, {number("regr_slope(y, x)")} AS slope,
+           {number("max(step)")} AS largest_delta,
            count(*) FILTER (abs(z) > 1) AS one_sigma,
            count(*) FILTER (abs(z) > 2) AS two_sigma,
            count(*) FILTER (abs(z) > 3) AS three_sigma

@@ -51,6 +51,11 @@ def word_count_top10(spark, folder):
     return top_k(word_count(spark, folder), _falling(), 10)
 
 
+@query("row_preview", "SELECT * FROM customer ORDER BY c_custkey LIMIT 20")
+def row_preview(spark, folder):
+    return top_k(table(spark, folder, "customer"), [F.col("c_custkey").asc()], 20)
+
+
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
