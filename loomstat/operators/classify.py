@@ -10,6 +10,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     NaiveBayes,
 )
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
@@ -85,7 +86,8 @@ def naive_bayes_table(
 
 
 def naive_bayes_score(rows: DataFrame, table: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Add the most likely class as ``prediction``; among equals the smallest label wins.
+    """Add the most likely class as ``prediction``; among scores equal to nine digits the smallest
+    label wins.
 
     The model table has one row per class, so it is fetched and applied as constants.
     """
@@ -95,7 +97,7 @@ def naive_bayes_score(rows: DataFrame, table: DataFrame, label: str, features: S
         score = F.lit(row["log_prior"])
         for f in features:
             score = score + F.col(f) * F.lit(row[f"log_{f}"])
-        scores.append(F.struct((-F.round(score, 9)).alias("s"), F.lit(row[label]).alias("label")))
+        scores.append(F.struct((-F.rint(score * F.lit(1e9))).alias("s"), F.lit(row[label]).alias("label")))
     best = scores[0] if len(scores) == 1 else F.least(*scores)
     return rows.withColumn("prediction", best["label"])
 
@@ -134,6 +136,42 @@ def _impurity(kind: str, n: Column, s: Column, s2: Column) -> Column:
     return bits[0] + bits[1]
 
 
+def _bin_sums(data: DataFrame, key: str) -> DataFrame:
+    y = F.col("y")
+    return data.groupBy(key).agg(
+        F.count("*").cast("double").alias("n"), F.sum("y").alias("s"), F.sum(y * y).alias("s2")
+    )
+
+
+def _value_bins(data: DataFrame, max_bins: int) -> DataFrame | None:
+    """One bin per distinct value, cut at the midpoints; None if there are more than ``max_bins``.
+
+    A cheap estimate comes first, so a column with very many values is not grouped by value.
+    """
+    if data.agg(F.approx_count_distinct("x")).collect()[0][0] > 2 * max_bins:
+        return None
+    bins = _bin_sums(data, "x")
+    if len(bins.select("x").limit(max_bins + 1).collect()) > max_bins:
+        return None
+    middle = (F.col("x") + F.lead("x").over(Window.orderBy("x"))) / 2
+    return bins.select(F.col("x").alias("bin"), middle.alias("threshold"), "n", "s", "s2")
+
+
+def _quantile_bins(data: DataFrame, max_bins: int) -> DataFrame:
+    """At most ``max_bins`` bins cut at approximate quantiles; a value on a cut belongs below it.
+
+    The bucketizer puts such values above, so it works on the negated column.
+    """
+    shares = [i / max_bins for i in range(1, max_bins)]
+    found = data.agg(F.percentile_approx("x", shares, 10_000).alias("q")).collect()[0]["q"] or []
+    cuts = sorted(set(found))
+    splits = [-math.inf, *[-c for c in reversed(cuts)], math.inf]
+    bucketizer = Bucketizer(splits=splits, inputCol="_down", outputCol="_bucket")
+    placed = bucketizer.transform(data.withColumn("_down", -F.col("x")))
+    bins = _bin_sums(placed.withColumn("bin", F.lit(len(cuts)) - F.col("_bucket").cast("int")), "bin")
+    return bins.withColumn("threshold", F.get(F.lit(cuts), F.col("bin")))
+
+
 def root_splits(
     rows: DataFrame, label: str, feature: str, impurity: str = "Gini", max_bins: int = 100
 ) -> DataFrame:
@@ -146,24 +184,12 @@ def root_splits(
     check_tree("Regression" if impurity == "Variance" else "Classification", impurity)
     x, y = F.col(feature).cast("double"), F.col(label).cast("double")
     data = rows.select(x.alias("x"), y.alias("y"))
-    # a cheap estimate first: only a column that may fit into the bins is made distinct
-    roughly = data.agg(F.approx_count_distinct("x")).first()[0]
-    few = []
-    if roughly <= 2 * max_bins:
-        few = [r["x"] for r in data.select("x").distinct().limit(max_bins + 1).collect()]
-    if not few or len(few) > max_bins:
-        shares = [i / max_bins for i in range(1, max_bins)]
-        cuts = sorted(set(data.agg(F.percentile_approx("x", shares, 10_000)).first()[0] or []))
-    else:
-        values = sorted(few)
-        cuts = [(a + b) / 2 for a, b in zip(values, values[1:])]
-    below = F.size(F.filter(F.lit(cuts), lambda cut: cut < F.col("x"))) if cuts else F.lit(0)
-    bins = data.groupBy(below.alias("bin")).agg(
-        F.count("*").cast("double").alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("s2")
-    )
+    bins = _value_bins(data, max_bins)
+    if bins is None:
+        bins = _quantile_bins(data, max_bins)
     left, every = Window.orderBy("bin"), Window.partitionBy()
     both = bins.select(
-        "bin",
+        "threshold",
         *[F.sum(c).over(left).alias(f"l_{c}") for c in ("n", "s", "s2")],
         *[F.sum(c).over(every).alias(f"t_{c}") for c in ("n", "s", "s2")],
     ).filter(F.col("l_n") < F.col("t_n"))
@@ -177,9 +203,8 @@ def root_splits(
     children = (
         _impurity(impurity, *lower) * lower[0] + _impurity(impurity, *upper) * upper[0]
     ) / whole[0]
-    threshold = F.get(F.lit(cuts), F.col("bin")) if cuts else F.lit(None).cast("double")
     gain = _impurity(impurity, *whole) - children
-    return both.select(threshold.alias("threshold"), gain.alias("gain"))
+    return both.select("threshold", gain.alias("gain"))
 
 
 def best_root_split(rows: DataFrame, label: str, feature: str, impurity: str = "Gini", max_bins: int = 100) -> DataFrame:

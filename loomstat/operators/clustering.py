@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from loomstat.operators.partitions import held
 
 INIT_MODES = {"Random": "random", "Parallel": "k-means||"}
-# Distances this close count as equal, and the lower cluster number wins.
-TIE_DIGITS = 9
+# Squared distances are compared in steps of this size: within one, the lower cluster number wins.
+TIE_STEP = 1e-9
 
 Centers = Sequence[Sequence[float]]
 
@@ -37,10 +37,10 @@ def _squared_distance(dims: Sequence[str], center: Sequence[float]) -> Column:
 
 
 def nearest(dims: Sequence[str], centers: Centers) -> Column:
-    """``struct(d, cluster)`` of the nearest center, ``d`` the rounded squared distance."""
+    """``struct(d, cluster)`` of the nearest center, ``d`` the squared distance in tie steps."""
     every = [
         F.struct(
-            F.round(_squared_distance(dims, center), TIE_DIGITS).alias("d"), F.lit(i).alias("cluster")
+            F.rint(_squared_distance(dims, center) * F.lit(1 / TIE_STEP)).alias("d"), F.lit(i).alias("cluster")
         )
         for i, center in enumerate(centers)
     ]

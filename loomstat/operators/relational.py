@@ -30,7 +30,7 @@ def global_max_avg(df: DataFrame, max_of: str, avg_of: str) -> DataFrame:
     return df.agg(F.max(max_of).alias(f"max_{max_of}"), F.avg(avg_of).alias(f"avg_{avg_of}"))
 
 
-def predicate_share(df: DataFrame, predicate: Column) -> Column | DataFrame:
+def predicate_share(df: DataFrame, predicate: Column) -> DataFrame:
     """Share of rows for which the predicate holds, in one pass; unknown counts as not holding."""
     return df.agg(F.avg(F.when(predicate, 1.0).otherwise(0.0)).alias("share"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomstat.functions import implicit_confidence
 from loomstat.operators import classify, clustering, descent, recommend
 from loomstat.operators.features import assemble
+from loomstat.operators.partitions import at_least_partitions
 from loomstat.operators.sampling import split_by_key
 from loomstat.operators.series import FEATURES as SERIES_FEATURES
 from loomstat.operators.series import array_features
@@ -142,7 +143,8 @@ COUNTS_SQL = "SELECT doc_id, quality AS label, {} FROM documents JOIN labels USI
 
 def _documents(spark, folder) -> DataFrame:
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
-    labelled = table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+    documents = at_least_partitions(table(spark, folder, "documents").select("doc_id", "text"))
+    labelled = documents.join(labels, "doc_id")
     return jobs.word_features(labelled, "text", VOCABULARY, ["doc_id", "label"])
 
 
