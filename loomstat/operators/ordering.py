@@ -86,7 +86,9 @@ def with_ordered_chunks(
     bucket = F.col("_bucket").cast("long") * F.lit(MAX_CHUNKS * 2).cast("long")
     if weight and tie is not None:
         bucket = bucket + _tie_step(df, placed, tie, weight)
-    return placed.withColumn(name, bucket).drop("_v", "_bucket")
+    # missing order values come first, as in a window; a chunk that is never NULL also spares the
+    # joins on it a check, so that scans of the same rows stay alike and are shared
+    return placed.withColumn(name, F.coalesce(bucket, F.lit(-1).cast("long"))).drop("_v", "_bucket")
 
 
 def _quantiles(values: DataFrame, chunks: int) -> list[float]:

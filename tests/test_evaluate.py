@@ -3,6 +3,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from loomstat.operators import evaluate
+from loomstat.session import scratch_path
 
 
 def scored(spark, cells):
@@ -58,3 +59,12 @@ def test_errors_and_accuracy(spark):
 def test_rmse_over_pairs_weighs_copies(spark):
     pairs = spark.createDataFrame([(1.0, 2.0, 3), (1.0, 1.0, 1)], "prediction double, rating double, n_rows long")
     assert evaluate.rmse_over_pairs(pairs).first()[0] == pytest.approx((3 / 4) ** 0.5)
+
+
+def test_chunk_totals_share_the_shuffle_of_the_points(spark):
+    df = spark.range(3000).select(F.rand(1).alias("prediction"), (F.rand(2) < 0.5).cast("double").alias("label"))
+    path = scratch_path(spark, "scores")
+    df.write.parquet(path)
+    area = evaluate.area_under_roc(evaluate.threshold_curve(spark.read.parquet(path), chunk_rows=100))
+    area.collect()
+    assert "ReusedExchange" in area._jdf.queryExecution().executedPlan().toString()

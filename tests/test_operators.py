@@ -68,6 +68,13 @@ def test_chunks_by_time_columns(spark):
         ordering.with_ordered_chunks(df.select(F.lit("a").alias("o"), "t"), "o", "t", 5)
 
 
+def test_missing_order_values_come_first(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("o"), F.col("id").alias("t"))
+    rows = ordering.with_ordered_chunks(df, "o", "t", 4).collect()
+    assert {r["chunk"] for r in rows if r["o"] is None} == {-1}
+    assert all(r["chunk"] >= 0 for r in rows if r["o"] is not None) and len(rows) == 2000
+
+
 def test_small_tables_stay_in_one_chunk(spark):
     df = spark.range(10).select(F.col("id").alias("o"), F.col("id").alias("t"))
     assert list(check_chunks(df, 500)) == [0]
