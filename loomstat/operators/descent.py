@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,10 @@ class Descent:
 def margin(features: str | Sequence[str], weights: Sequence[float]) -> Column:
     """Score of a row: features are named columns, or one vector column."""
     if isinstance(features, str):
-        products = F.zip_with(vector_to_array(features), F.lit(list(weights)), lambda x, w: x * w)
+        known, vector = F.lit([float(w) for w in weights]), F.unwrap_udt(features)
+        dense = F.zip_with(vector["values"], known, lambda x, w: x * w)
+        sparse = F.zip_with(vector["indices"], vector["values"], lambda i, x: x * F.get(known, i))
+        products = F.when(vector["indices"].isNull(), dense).otherwise(sparse)
         return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
     return dot([F.col(f) for f in features], weights)
 
@@ -176,23 +178,24 @@ def _width(data: DataFrame) -> int:
 
 def _from_vectors(data, gradient, batch_share):
     """The sum of number times vector by the library's weighted vector sums, which keep sparse
-    vectors sparse; their weights must not be negative, so the two signs are summed apart."""
+    vectors sparse. Their weights must be above zero, so the two signs are summed apart and both
+    sums get each row once more."""
     total = Summarizer.metrics("sum")
 
     def measure(weights: np.ndarray, i: int):
         number, loss = gradient.pull(F.col("_label"), margin("_x", [float(w) for w in weights]))
         scored = _batch(data, batch_share, i).select("_x", number.alias("_c"), loss.alias("_l"))
-        up, down = F.greatest(F.col("_c"), F.lit(0.0)), F.greatest(-F.col("_c"), F.lit(0.0))
-        row = scored.agg(
+        up, down = (F.greatest(c, F.lit(0.0)) + F.lit(1.0) for c in (F.col("_c"), -F.col("_c")))
+        found = scored.groupBy(F.lit("all")).agg(
             F.count("_l").alias("n"),
             F.sum("_l").alias("loss"),
             total.summary(F.col("_x"), up).alias("up"),
             total.summary(F.col("_x"), down).alias("down"),
-        ).collect()[0]
-        if row["n"] == 0:
+        ).collect()
+        if not found:  # grouping by a constant gives no row for no input
             return None
-        sums = [row[side]["sum"].toArray() if row[side]["sum"].size else 0.0 for side in ("up", "down")]
-        return (sums[0] - sums[1]) / row["n"], row["loss"] / row["n"]
+        row = found[0]
+        return (row["up"]["sum"].toArray() - row["down"]["sum"].toArray()) / row["n"], row["loss"] / row["n"]
 
     return measure
 

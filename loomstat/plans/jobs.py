@@ -155,12 +155,20 @@ def logistic_classification(
 
 
 def naive_bayes(
-    rows: DataFrame, label: str, features: Sequence[str], key: str, smoothing: float = 1.0
+    rows: DataFrame, label: str, features: str | Sequence[str], key: str, smoothing: float = 1.0
 ) -> DataFrame:
-    """``n_training, n_test, accuracy`` of a multinomial naive Bayes model."""
-    training, _ = split_by_key(rows, key, TRAIN_SHARE)
-    table = classify.naive_bayes_table(training, label, features, smoothing)
-    scored = classify.naive_bayes_score(rows, table, label, features)
+    """``n_training, n_test, accuracy`` of a multinomial naive Bayes model.
+
+    Named count columns make a model table; a vector column goes through the library's model.
+    """
+    if isinstance(features, str):
+        rows, label = _vectors(rows, label, features, key), "label"
+        training, _ = split_by_key(rows, key, TRAIN_SHARE)
+        scored = classify.fit_naive_bayes(training, smoothing).transform(rows)
+    else:
+        training, _ = split_by_key(rows, key, TRAIN_SHARE)
+        table = classify.naive_bayes_table(training, label, features, smoothing)
+        scored = classify.naive_bayes_score(rows, table, label, features)
     train = _train(key)
     hit = F.when(F.col("prediction") == F.col(label), 1.0).otherwise(0.0)
     return scored.agg(*_split_counts(train), F.avg(F.when(~train, hit)).alias("accuracy"))

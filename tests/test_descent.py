@@ -89,6 +89,8 @@ def test_no_rows_leave_the_start(rows):
     for gradient in (descent.least_squares, descent.hinge):
         model = descent.descend(empty, "y", NAMES, gradient, initial=[1.0, 2.0, 3.0])
         assert model.weights == [1.0, 2.0, 3.0] and model.losses == []
+    model = descent.descend(assemble(empty, NAMES), "y", "features", initial=[1.0, 2.0, 3.0])
+    assert model.weights == [1.0, 2.0, 3.0] and model.losses == []
 
 
 def test_literal_points(rows, spark):

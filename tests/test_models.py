@@ -8,6 +8,8 @@ from loomstat.functions import implicit_confidence
 from loomstat.operators import classify, clustering, recommend
 from loomstat.operators.features import assemble, from_array
 from loomstat.plans import jobs
+from loomstat.sources import read_libsvm
+from loomstat.sources.files import unpack_vector
 
 NAMES = ["a", "b", "c"]
 
@@ -182,3 +184,28 @@ def test_series_job(spark):
 def test_array_to_vector(spark):
     df = spark.createDataFrame([([1.0, 2.0],)], "v array<double>")
     assert from_array(df, "v").first()["features"].toArray().tolist() == [1.0, 2.0]
+
+
+def test_jobs_take_libsvm_vectors(spark, tmp_path):
+    lines = [f"{int(i % 4 > 1)} 1:{i % 4} 3:{i % 7 + 1}" for i in range(300)]
+    path = tmp_path / "rows.txt"
+    path.write_text("\n".join(lines))
+    rows = read_libsvm(spark, str(path), 3).withColumn("id", F.monotonically_increasing_id())
+    named = unpack_vector(rows, "features", NAMES)
+    svm = [
+        jobs.svm_classification(rows, "label", "features", "id", 10).first(),
+        jobs.svm_classification(named, "label", NAMES, "id", 10).first(),
+    ]
+    assert svm[0] == pytest.approx(svm[1]) and svm[0]["auc_roc"] > 0.9
+    bayes = [
+        jobs.naive_bayes(rows, "label", "features", "id").first(),
+        jobs.naive_bayes(named, "label", NAMES, "id").first(),
+    ]
+    assert bayes[0] == bayes[1] and bayes[0]["n_training"] + bayes[0]["n_test"] == 300
+    line = [
+        jobs.linear_regression(rows, "label", "features", "id", 20, 0.05).first(),
+        jobs.linear_regression(named, "label", NAMES, "id", 20, 0.05).first(),
+    ]
+    assert line[0]["weights"] == line[1]["weights"] and line[0]["rmse"] == pytest.approx(line[1]["rmse"])
+    tree = jobs.decision_tree(rows, "label", "features", "id").first()
+    assert tree["accuracy"] == 1.0
