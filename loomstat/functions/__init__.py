@@ -6,6 +6,7 @@ from loomstat.functions.numbers import (
     cast_or_default,
     clip_unit,
     clean_zero,
+    doubles,
     implicit_confidence,
     log_label,
     number_text,
@@ -19,6 +20,7 @@ __all__ = [
     "cast_or_default",
     "clean_zero",
     "clip_unit",
+    "doubles",
     "fields",
     "implicit_confidence",
     "lines",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,3 +52,8 @@ def number_text(*numbers: Column) -> Column:
 def clean_zero(number: Column) -> Column:
     """Turn -0.0 into 0.0."""
     return number + F.lit(0.0)
+
+
+def doubles(values: Iterable[float]) -> Column:
+    """A constant array; one literal however long it is, so wide models stay quick to plan."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")

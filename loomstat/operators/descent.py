@@ -16,6 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstat.functions import doubles
 from loomstat.operators.partitions import held
 from loomstat.operators.sampling import in_share
 
@@ -36,7 +37,7 @@ class Descent:
 def margin(features: str | Sequence[str], weights: Sequence[float]) -> Column:
     """Score of a row: features are named columns, or one vector column."""
     if isinstance(features, str):
-        known, vector = F.lit([float(w) for w in weights]), F.unwrap_udt(features)
+        known, vector = doubles(weights), F.unwrap_udt(features)
         dense = F.zip_with(vector["values"], known, lambda x, w: x * w)
         sparse = F.zip_with(vector["indices"], vector["values"], lambda i, x: x * F.get(known, i))
         products = F.when(vector["indices"].isNull(), dense).otherwise(sparse)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from loomstat.functions import doubles
 from loomstat.session import ensure_checkpoint_dir
 
 # monotonically_increasing_id() keeps the row within its partition in the low 33 bits.
@@ -93,7 +94,7 @@ def with_ordered_chunks(
 
 def _quantiles(values: DataFrame, chunks: int) -> list[float]:
     shares = [i / chunks for i in range(1, chunks)]
-    found = values.agg(F.percentile_approx("v", shares, max(10_000, 4 * chunks)).alias("q")).first()
+    found = values.agg(F.percentile_approx("v", doubles(shares), max(10_000, 4 * chunks)).alias("q")).first()
     return list(found["q"] or [])
 
 
@@ -108,11 +109,15 @@ def _tie_step(df: DataFrame, placed: DataFrame, tie: str, weight: dict[float, in
     shares = [i / most for i in range(1, most)]
     at_heavy = placed.filter(value.isin(list(weight))).groupBy("_v")
     cells: list[Column] = []
-    for row in at_heavy.agg(F.percentile_approx(number, shares, 10_000).alias("q")).collect():
+    for row in at_heavy.agg(F.percentile_approx(number, doubles(shares), 10_000).alias("q")).collect():
+        if not row["q"]:  # no tie values to cut by
+            continue
         every = max(1, most // weight[row["_v"]])
-        cells += [F.lit(row["_v"]), F.lit(sorted(set(row["q"][every - 1 :: every])))]
+        cells += [F.lit(row["_v"]), doubles(sorted(set(row["q"][every - 1 :: every])))]
+    if not cells:
+        return F.lit(0).cast("long")
     cuts = F.try_element_at(F.create_map(*cells), value)
     sub = F.size(F.filter(cuts, lambda cut: cut <= number))
-    past = F.exists(F.lit(sorted(weight)), lambda v: v < value)
+    past = F.exists(doubles(sorted(weight)), lambda v: v < value)
     rest = F.when(past, F.lit(MAX_CHUNKS + 1)).otherwise(F.lit(0))
     return F.when(cuts.isNotNull(), sub).otherwise(rest).cast("long")
