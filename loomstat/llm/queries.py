@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import langid, rules, toxicity
+from loomstat.llm import jaccard, langid, rules, toxicity
 from loomstat.llm.tables import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures
 FROM b
 """
+
+
+@query
+def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets overlap by nine tenths of their union."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.jaccard_components(docs, size=3, percent=90)
+
+
+SQL["op7_jaccard"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), g AS (
+  SELECT DISTINCT r, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+                     ELSE concat_ws(' ', w[i], w[i+1], w[i+2]) END AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(2, len(w) - 1))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT r, count(*) AS n FROM g GROUP BY r
+), o AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.r < b.r GROUP BY ALL
+), l AS (
+  SELECT x, y FROM o JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), e AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), reach AS (
+  SELECT r AS x, r AS y FROM d UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x
+), c AS (
+  SELECT x, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.y GROUP BY x
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
+FROM d JOIN c ON c.x = d.r LEFT JOIN n USING (r)
+"""
