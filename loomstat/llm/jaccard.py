@@ -32,12 +32,11 @@ from pyspark.sql.window import Window
 
 from loomstat.llm.components import components
 from loomstat.llm.tables import BROADCAST_BYTES, small
-from loomstat.llm.words import mixed, shingle_hashes, word_hashes
+from loomstat.llm.words import mixed, shingle_hashes, slices, word_hashes
 from loomstat.session import scratch_path
 
 SKETCH = 1 << 18
 LIST_ROWS = 100_000
-SLICE_BYTES = 4 << 20
 SEEN_SETS = 200_000
 
 Grams = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -53,23 +52,6 @@ def word_shingles(size: int) -> Grams:
     return grams
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about 4 MB of text."""
-    column = column.cast(pa.large_string())
-    sizes = np.concatenate([[0], np.cumsum(np.array(_byte_lengths(column)))])
-    at = 0
-    while at < len(column):
-        to = max(at + 1, int(np.searchsorted(sizes, sizes[at] + SLICE_BYTES, "right")) - 1)
-        yield at, min(to, len(column))
-        at = min(to, len(column))
-
-
-def _byte_lengths(column: pa.Array) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-
-
 def gram_sets(texts: pa.Array, grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes of all texts, where each text's begin, and two numbers that name each set."""
     values, first = grams(texts)

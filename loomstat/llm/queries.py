@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import jaccard, langid, rules, toxicity
+from loomstat.llm import jaccard, langid, mixing, packing, rules, spotsigs, toxicity
 from loomstat.llm.tables import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents interleaved by source, at weights between their own shares and equal ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mix(docs).select("row.doc_id", "row.source", "slot", "place", "position")
+
+
 @query
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every text, learned from three of four documents."""
@@ -140,3 +147,16 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
 FROM d JOIN c ON c.x = d.r LEFT JOIN n USING (r)
 """
+
+
+@query
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, as UTF-8 byte tokens, packed into sequences of four permitted lengths."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, F.octet_length("text"))
+
+
+@query
+def op10_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how near they and the next one are."""
+    return spotsigs.compared(table(spark, folder, "documents").select("doc_id", "text"))

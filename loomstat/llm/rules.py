@@ -9,7 +9,7 @@ the ablation aggregates one row per distinct bit pattern.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,30 +40,41 @@ BASE = Policy("base", ("few_words", "repeated_windows"))
 STRICT = Policy("2", RULES)
 
 
-def _with_repeats(words: DataFrame) -> DataFrame:
-    """Add ``n_repeat_words`` to rows with the array ``_w``: words inside 5-word windows found twice.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    Each array is a column of its own before a later step looks into it at several places, so that
-    none is built again per element. Only a text that repeats a window pays for finding the places.
+
+def _repeat_words(words: Column) -> Column:
+    """Words inside the 5-word windows that a text holds twice or more.
+
+    Windows are sorted by hash with their places, so that equal ones stand side by side. Only a text
+    that repeats a window pays for the sort.
     """
-    hashed = words.withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
-    slots = F.sequence(F.lit(0), F.size("_h") - WINDOW)
-    runs = F.transform(slots, lambda i: F.xxhash64(*[F.get("_h", i + k) for k in range(WINDOW)]))
-    windows = hashed.withColumn("_g", F.when(F.size("_h") >= WINDOW, runs)).drop("_h")
-    doubles = F.size(F.array_distinct("_g")) < F.size("_g")
-    places = F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    placed = windows.withColumn("_p", F.when(doubles, places)).drop("_g")
-
-    def twice(x: Column, j: Column) -> Column:
-        beside = [F.get("_p", j + step)["h"] == x["h"] for step in (-1, 1)]
+
+    def windows(h: Column) -> Column:
+        slots = F.sequence(F.lit(0), F.size(h) - WINDOW)
+        return F.transform(slots, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))
+
+    def places(g: Column) -> Column:
+        ranked = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return _let(ranked, lambda p: F.sort_array(F.array_compact(F.transform(p, lambda x, j: twice(p, x, j)))))
+
+    def twice(p: Column, x: Column, j: Column) -> Column:
+        beside = [F.coalesce(F.get(p, j + step)["h"] == x["h"], F.lit(False)) for step in (-1, 1)]
         return F.when(beside[0] | beside[1], x["i"])
 
-    found = placed.withColumn("_i", F.sort_array(F.array_compact(F.transform("_p", twice)))).drop("_p")
-    gaps = F.transform(
-        "_i", lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get("_i", j + 1) - i, F.lit(WINDOW)))
-    )
-    covered = F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
-    return found.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_i")
+    def covered(at: Column) -> Column:
+        gaps = F.transform(at, lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get(at, j + 1) - i, F.lit(WINDOW))))
+        return F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
+
+    def count(g: Column) -> Column:
+        doubles = F.size(F.array_distinct(g)) < F.size(g)
+        return F.when(doubles, _let(places(g), covered)).otherwise(0)
+
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    found = F.when(F.size(words) >= WINDOW, _let(hashes, lambda h: _let(windows(h), count)))
+    return F.coalesce(found, F.lit(0)).cast("long")
 
 
 def measured(texts: DataFrame, text: str = "text", **keep: Column) -> DataFrame:
@@ -74,14 +85,14 @@ def measured(texts: DataFrame, text: str = "text", **keep: Column) -> DataFrame:
         F.array_remove(F.split(t, SPACES), "").alias("_w"),
         F.filter(F.split(t, "\n"), lambda x: x.rlike(A_WORD)).alias("_l"),
     )
-    joined = _with_repeats(split).withColumn("_j", F.array_join("_w", ""))
+    joined = split.withColumn("_j", F.array_join("_w", ""))
     return joined.select(
         "_keep.*",
         F.size("_w").cast("long").alias("n_words"),
         F.length("_j").cast("long").alias("word_chars"),
         (F.length("_j") - F.length(F.translate("_j", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
+        _repeat_words(F.col("_w")).alias("n_repeat_words"),
         F.size("_l").cast("long").alias("n_lines"),
         F.length(F.regexp_replace("_j", "[^A-Z]+", "")).cast("long").alias("n_upper"),
         F.length(F.regexp_replace("_j", "[^a-z]+", "")).cast("long").alias("n_lower"),
@@ -120,6 +131,16 @@ def rejects(policy: Policy, failures: str | Column = "failures") -> Column:
     return bits.bitwiseAND(F.lit(policy.mask).cast("long")) != 0
 
 
+def kept(rows: DataFrame, policy: Policy, row: str = "row") -> DataFrame:
+    """The structs ``row`` of the ledger rows that the policy does not reject.
+
+    They leave by ``explode`` and not by a filter, which Spark would push below the measurements and
+    so work these out several times.
+    """
+    passed = F.when(~rejects(policy), F.array(row))
+    return rows.select(F.explode(passed).alias(row))
+
+
 def ablation(rows: DataFrame, policies: Sequence[Policy], failures: str = "failures") -> DataFrame:
     """Per policy and rule: texts that fail it, that only it rejects, and that pass without it.
 

@@ -11,8 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -124,3 +126,14 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.
         step = words[np.minimum(at + k, max(len(words) - 1, 0))] if len(words) else np.zeros(0, np.uint64)
         out = np.where(inside, mixed(out * np.uint64(BASE) + step), out)
     return out, begins
+
+
+def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of about 4 MB of text, one row at least."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    sizes = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(sizes, sizes[at] + SLICE_BYTES, "right")) - 1)
+        yield at, to
+        at = to
