@@ -116,20 +116,20 @@ def preference_pairs(
 
 def with_foreign_endings(
     turns: DataFrame, pair: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", bucket: int = 1000
-) -> DataFrame:
-    """A rejected side for conversations that come without one: another conversation's last answer.
+) -> tuple[DataFrame, DataFrame]:
+    """Chosen and rejected sides for conversations that come without: another one's last answer.
 
-    Turns up to the last assistant turn are kept, and that turn's text is replaced by the one of the
-    next conversation in the order of the md5 of their keys, within buckets of about ``bucket``
-    conversations (the last takes the first). Conversations without an assistant turn have no pair.
+    Both sides hold the turns up to the last assistant turn. On the rejected side that turn's text is
+    the one of the next conversation in the order of the md5 of their keys, within buckets of about
+    ``bucket`` conversations (the last takes the first). Conversations without an assistant turn, and
+    rows without a key, are on neither side.
     """
     said = turns.filter(F.col(pair).isNotNull() & (F.col(role) == LEARNED))
     answer = F.max(F.struct(F.col(turn).alias("turn"), F.col(text).alias("text"))).alias("a")
     ends = said.groupBy(F.col(pair).alias("pair")).agg(answer)
     ends = ends.withColumn("h", F.md5(F.col("pair").cast("string").cast("binary")))
     number = F.conv(F.substring("h", 1, 13), 16, 10).cast("long")
-    buckets = F.broadcast(ends.agg(F.greatest(F.lit(1), F.floor(F.count("*") / bucket)).cast("long").alias("k")))
-    dealt = ends.join(buckets, F.lit(True)).withColumn("bucket", number % F.col("k"))
+    dealt = ends.withColumn("bucket", number % max(1, ends.count() // bucket))
     ring = Window.partitionBy("bucket").orderBy("h", "pair")
     first = F.first("a.text").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     last = F.row_number().over(ring) == F.count("*").over(Window.partitionBy("bucket"))
@@ -140,9 +140,6 @@ def with_foreign_endings(
     ).join(donors, "pair")
     kept = joined.filter((F.col("t") <= F.col("end")) | F.col("t").isNull())
     answers = (F.col("t") == F.col("end")) & (F.col("r") == LEARNED)
-    return kept.select(
-        F.col("pair").alias(pair),
-        F.col("t").alias(turn),
-        F.col("r").alias(role),
-        F.when(answers, F.col("other")).otherwise(F.col("x")).alias(text),
-    )
+    swapped = F.when(answers, F.col("other")).otherwise(F.col("x"))
+    names = [F.col("pair").alias(pair), F.col("t").alias(turn), F.col("r").alias(role)]
+    return kept.select(*names, F.col("x").alias(text)), kept.select(*names, swapped.alias(text))

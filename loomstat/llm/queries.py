@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import jaccard, langid, mixing, packing, rules, spotsigs, toxicity
+from loomstat.llm import jaccard, langid, licenses, mixing, packing, preference, rules, spotsigs, tokens, toxicity
 from loomstat.llm.tables import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,15 @@ FROM b
 """
 
 
+@query
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """The best license notice of every document, and how many there are."""
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    best = F.get("matches", F.lit(0))
+    cells = [best[n].alias(n) for n in ("license", "coverage", "start", "end")]
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), *cells)
+
+
 @query
 def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets overlap by nine tenths of their union."""
@@ -149,6 +158,19 @@ FROM d JOIN c ON c.x = d.r LEFT JOIN n USING (r)
 """
 
 
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PERSONAL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
+
+
+@query
+def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of every document before and after mail and network addresses are masked."""
+    vocabulary = tokens.Vocabulary.read(TOKENIZER)
+    trees = tokens.token_trees(table(spark, folder, "documents").select("doc_id", "text"), vocabulary)
+    edits = tokens.replacements("text", PERSONAL, "[address]")
+    return tokens.edited_counts(trees, vocabulary, edits).drop("text_edited")
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, as UTF-8 byte tokens, packed into sequences of four permitted lengths."""
@@ -160,3 +182,52 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and how near they and the next one are."""
     return spotsigs.compared(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_preference(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with an answer, against the same one with a foreign last answer."""
+    turns = table(spark, folder, "conversations")
+    chosen, rejected = preference.with_foreign_endings(turns)
+    pairs = preference.preference_pairs(chosen, rejected, pair="conv_id")
+
+    def listed(spans: str) -> Column:
+        one = F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(one, ",").alias(spans)
+
+    texts = ["conv_id", "n_shared", "prompt", "chosen", "rejected"]
+    return pairs.select(*texts, listed("chosen_spans"), listed("rejected_spans"))
+
+
+SQL["op5_preference"] = r"""
+WITH t AS (
+  SELECT * FROM conversations WHERE conv_id IS NOT NULL
+), e AS (
+  SELECT conv_id, max(turn) AS end_turn, arg_max(text, turn) AS answer
+  FROM t WHERE role = 'assistant' GROUP BY conv_id
+), h AS (
+  SELECT *, md5(conv_id::VARCHAR) AS h,
+         ('0x' || substr(md5(conv_id::VARCHAR), 1, 13))::BIGINT
+         % greatest(1, (SELECT count(*) // 1000 FROM e)) AS b
+  FROM e
+), o AS (
+  SELECT *, coalesce(lead(answer) OVER w, first_value(answer) OVER w) AS other
+  FROM h WINDOW w AS (PARTITION BY b ORDER BY h, conv_id)
+), r AS (
+  SELECT conv_id, turn, end_turn, answer = other AS same, '<|' || role || '|>' || chr(10) AS head,
+         text, other
+  FROM t JOIN o USING (conv_id) WHERE turn <= end_turn
+), p AS (
+  SELECT conv_id, same,
+         count(*) FILTER (same OR turn < end_turn) AS n_shared,
+         coalesce(string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY turn)
+           FILTER (same OR turn < end_turn), '') AS prompt,
+         coalesce(max(head || text || '<|end|>' || chr(10)) FILTER (NOT same AND turn = end_turn), '') AS chosen,
+         coalesce(max(head || other || '<|end|>' || chr(10)) FILTER (NOT same AND turn = end_turn), '') AS rejected
+  FROM r GROUP BY ALL
+)
+SELECT conv_id, n_shared, prompt, chosen, rejected,
+       CASE WHEN same THEN '' ELSE '0-' || length(chosen) END AS chosen_spans,
+       CASE WHEN same THEN '' ELSE '0-' || length(rejected) END AS rejected_spans
+FROM p
+"""

@@ -90,6 +90,14 @@ def spans(data: np.ndarray, offsets: np.ndarray, start: int, end: int) -> tuple[
     return np.flatnonzero(word & before[:-1]), np.flatnonzero(word & after) + 1
 
 
+def range_hashes(part: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes ``part[first:last]``, wherever they stand."""
+    power, inverse = _power_tables(len(part))
+    sums = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=sums[1:])
+    return mixed((sums[last] - sums[first]) * inverse[first])
+
+
 def word_hashes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of a text column, and where each document's words begin.
 
@@ -102,10 +110,7 @@ def word_hashes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.n
         part = data[start:end]
         if lower:
             part = LOWER[part]
-        power, inverse = _power_tables(len(part))
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=sums[1:])
-        found.append(mixed((sums[last] - sums[first]) * inverse[first]))
+        found.append(range_hashes(part, first, last))
         counts += np.searchsorted(first + start, offsets, "left") - np.searchsorted(first + start, 0, "left")
     return np.concatenate(found), counts
 
