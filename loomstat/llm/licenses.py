@@ -136,7 +136,7 @@ class Scanner:
                 self.owners.setdefault(w, []).append(name)
 
     def scan(self, text: str) -> list[Match]:
-        """Matches of the least coverage or more, best first; of overlapping ones the best stays."""
+        """Matches of the least coverage or more, by matched words; of overlapping ones the first stays."""
         spans = [(m.group(), m.start(), m.end()) for m in WORD.finditer(_ascii_lower(text))]
         spots: dict[str, list[int]] = {}
         for n, (w, _, _) in enumerate(spans):
@@ -151,7 +151,7 @@ class Scanner:
                     continue
                 low, high = max(0, first - size), min(len(spans), last + size + 1)
                 found += self._best(name, spans, low, high)
-        found.sort(key=lambda m: (-m.coverage, m.start - m.end, m.start, m.license))
+        found.sort(key=lambda m: (-m.coverage * len(self.words[m.license]), -m.coverage, m.start, m.license))
         kept: list[Match] = []
         for m in found:
             if all(m.end <= k.start or m.start >= k.end for k in kept):
