@@ -30,13 +30,13 @@ def implicit_confidence(rating: Column) -> Column:
 
 
 def above(score: Column, cut: float = 0.0) -> Column:
-    """1.0 where the score is above the cut; a score on the cut gives 0.0."""
-    return F.when(score > F.lit(cut), F.lit(1.0)).otherwise(F.lit(0.0))
+    """1.0 where the score is above the cut; a score on the cut gives 0.0, NULL stays NULL."""
+    return (score > F.lit(cut)).cast("double")
 
 
 def at_least(score: Column, cut: float = 0.5) -> Column:
-    """0.0 where the score is below the cut; a score on the cut gives 1.0."""
-    return F.when(score < F.lit(cut), F.lit(0.0)).otherwise(F.lit(1.0))
+    """0.0 where the score is below the cut; a score on the cut gives 1.0, NULL stays NULL."""
+    return (score >= F.lit(cut)).cast("double")
 
 
 def clip_unit(score: Column) -> Column:

@@ -21,6 +21,8 @@ from loomstat.operators.partitions import held
 
 CLASS_IMPURITIES = ("Gini", "Entropy")
 VALUE_IMPURITIES = ("Variance",)
+# Scores this near to the best, relative to its size, count as equal to it.
+NEAR = 1e-9
 
 
 def fit_logistic(
@@ -86,20 +88,29 @@ def naive_bayes_table(
 
 
 def naive_bayes_score(rows: DataFrame, table: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Add the most likely class as ``prediction``; among scores equal to nine digits the smallest
-    label wins.
+    """Add the most likely class as ``prediction``; among scores within a billionth of the best
+    one's size the smallest label wins.
 
     The model table has one row per class, so it is fetched and applied as constants.
     """
-    model = table.collect()
+    model = sorted(table.collect(), key=lambda row: row[label])
     scores = []
     for row in model:
         score = F.lit(row["log_prior"])
         for f in features:
             score = score + F.col(f) * F.lit(row[f"log_{f}"])
-        scores.append(F.struct((-F.rint(score * F.lit(1e9))).alias("s"), F.lit(row[label]).alias("label")))
-    best = scores[0] if len(scores) == 1 else F.least(*scores)
-    return rows.withColumn("prediction", best["label"])
+        scores.append(score)
+    return rows.withColumn("prediction", _first_near_best(scores, [F.lit(row[label]) for row in model]))
+
+
+def _first_near_best(scores: Sequence[Column], labels: Sequence[Column]) -> Column:
+    """The first label whose score lies within a billionth of the best score's size."""
+    best = scores[0] if len(scores) == 1 else F.greatest(*scores)
+    near = best - F.abs(best) * NEAR
+    chosen = F.when(scores[0] >= near, labels[0])
+    for score, label in zip(scores[1:], labels[1:]):
+        chosen = chosen.when(score >= near, label)
+    return chosen
 
 
 def check_tree(algo: str, impurity: str) -> None:
@@ -175,7 +186,7 @@ def _quantile_bins(data: DataFrame, max_bins: int) -> DataFrame:
 def root_splits(
     rows: DataFrame, label: str, feature: str, impurity: str = "Gini", max_bins: int = 100
 ) -> DataFrame:
-    """Every candidate first split of one feature: ``threshold, gain``.
+    """Every candidate first split of one feature: ``threshold, gain``, and the gain's share of the impurity.
 
     Labels are 0 and 1 for Gini and Entropy, any number for Variance. Rows are first reduced to one
     per bin (at most ``max_bins``), which is all the windows see. With no more distinct values than
@@ -204,11 +215,13 @@ def root_splits(
         _impurity(impurity, *lower) * lower[0] + _impurity(impurity, *upper) * upper[0]
     ) / whole[0]
     gain = _impurity(impurity, *whole) - children
-    return both.select("threshold", gain.alias("gain"))
+    # relative to the node's impurity, so that labels on any scale are told apart alike
+    share = F.coalesce(gain / F.nullif(_impurity(impurity, *whole), F.lit(0.0)), F.lit(0.0))
+    return both.select("threshold", gain.alias("gain"), share.alias("share"))
 
 
 def best_root_split(rows: DataFrame, label: str, feature: str, impurity: str = "Gini", max_bins: int = 100) -> DataFrame:
     """The split with the largest gain; among equals the lowest threshold."""
     every = root_splits(rows, label, feature, impurity, max_bins)
-    order = [F.round("gain", 12).desc(), F.col("threshold").asc()]
-    return every.orderBy(*order).limit(1)
+    order = [F.round("share", 12).desc(), F.col("threshold").asc()]
+    return every.orderBy(*order).limit(1).drop("share")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from loomstat.operators.partitions import held
 
 INIT_MODES = {"Random": "random", "Parallel": "k-means||"}
-# Squared distances are compared in steps of this size: within one, the lower cluster number wins.
-TIE_STEP = 1e-9
+# A center whose squared distance is within this share of the least one is as near; the lowest number wins.
+NEAR = 1e-9
+# Up to so many center coordinates go into the plan one by one; more as one array constant, with the same result.
+FLAT_CELLS = 64
 
 Centers = Sequence[Sequence[float]]
 
@@ -28,34 +31,53 @@ def fit_kmeans(
         return (model.setSeed(seed) if seed is not None else model).fit(data)
 
 
-def _squared_distance(dims: Sequence[str], center: Sequence[float]) -> Column:
-    gaps = [F.col(d) - F.lit(float(c)) for d, c in zip(dims, center)]
-    total = gaps[0] * gaps[0]
-    for gap in gaps[1:]:
-        total = total + gap * gap
-    return total
-
-
-def nearest(dims: Sequence[str], centers: Centers) -> Column:
-    """``struct(d, cluster)`` of the nearest center, ``d`` the squared distance in tie steps."""
-    every = [
-        F.struct(
-            F.rint(_squared_distance(dims, center) * F.lit(1 / TIE_STEP)).alias("d"), F.lit(i).alias("cluster")
+def _distances(point: Sequence[str] | str, centers: Centers) -> list[Column] | Column:
+    """Squared distances to all centers: columns while these are few, else one array column."""
+    if not isinstance(point, str) and len(centers) * len(point) <= FLAT_CELLS:
+        out = []
+        for center in centers:
+            gaps = [F.col(d) - F.lit(float(c)) for d, c in zip(point, center)]
+            out.append(sum((g * g for g in gaps), F.lit(0.0)))
+        return out
+    own = F.col(point) if isinstance(point, str) else F.array(*[F.col(d).cast("double") for d in point])
+    known = F.lit(np.array(centers, dtype=float).ravel())
+    width = len(centers[0])
+
+    def distance(i: Column) -> Column:
+        squares = F.zip_with(own, F.slice(known, i * width + 1, F.lit(width)), lambda p, c: (p - c) * (p - c))
+        return F.aggregate(squares, F.lit(0.0), lambda total, square: total + square)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(len(centers) - 1)), distance)
+
+
+def nearest(point: Sequence[str] | str, centers: Centers) -> Column:
+    """Number of the nearest center; ``point`` names numeric columns, or one array column."""
+    found = _distances(point, centers)
+    if isinstance(found, Column):
+        first = F.transform(  # bind the array to a variable, or it is worked out again per element
+            F.array(found),
+            lambda ds: F.array_position(F.transform(ds, lambda d: d <= F.array_min(ds) * (1 + NEAR)), True) - 1,
         )
-        for i, center in enumerate(centers)
-    ]
-    return every[0] if len(every) == 1 else F.least(*every)
+        return F.get(first, F.lit(0)).cast("int")
+    bound = (found[0] if len(found) == 1 else F.least(*found)) * (1 + NEAR)
+    chosen = F.when(found[0] <= bound, 0)
+    for i, d in enumerate(found[1:], start=1):
+        chosen = chosen.when(d <= bound, i)
+    return chosen
 
 
-def assign(rows: DataFrame, dims: Sequence[str], centers: Centers) -> DataFrame:
+def assign(rows: DataFrame, point: Sequence[str] | str, centers: Centers) -> DataFrame:
     """Add each row's ``cluster``. Centers are few and go into the plan as constants."""
-    return rows.withColumn("cluster", nearest(dims, centers)["cluster"])
+    return rows.withColumn("cluster", nearest(point, centers))
 
 
-def cost(rows: DataFrame, dims: Sequence[str], centers: Centers) -> DataFrame:
+def cost(rows: DataFrame, point: Sequence[str] | str, centers: Centers) -> DataFrame:
     """Sum of squared distances to the nearest center."""
-    distances = [_squared_distance(dims, center) for center in centers]
-    least = distances[0] if len(distances) == 1 else F.least(*distances)
+    found = _distances(point, centers)
+    if isinstance(found, Column):
+        least = F.array_min(found)
+    else:
+        least = found[0] if len(found) == 1 else F.least(*found)
     return rows.agg(F.sum(least).alias("cost"))
 
 

@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,9 +124,12 @@ def descend(
     ``features`` names double columns, or one vector column of any width (linear gradients only).
     The sample is drawn by ``batch_key``, which should be unique per row. Least squares over all
     rows needs the data once, however many steps follow: its gradient and loss depend on it through
-    the products of label and features alone.
+    the products of label and features alone. Rows with a NULL label or feature are left out. If not
+    one step's sample holds a row, the share is too small for the table, and an error says so.
     """
     update = UPDATERS[updater] if isinstance(updater, str) else updater
+    used = [features] if isinstance(features, str) else list(features)
+    rows = rows.dropna(subset=[label, *used])  # once, so that every way of summing sees the same rows
     if batch_share < 1.0 and batch_key is None:
         raise ValueError("a sample per step needs batch_key")
     steps = (step_size, num_iterations, reg_param, tolerance)
@@ -140,13 +142,19 @@ def descend(
         with held(rows.select(*columns, F.col(features).alias("_x"))) as data:
             width = len(initial) if initial is not None else _width(data)
             weights = np.array(initial if initial is not None else [0.0] * width, dtype=float)
-            return _loop(_from_vectors(data, gradient, batch_share), update, weights, *steps)
+            return _sampled(_loop(_from_vectors(data, gradient, batch_share), update, weights, *steps), batch_share)
     weights = np.array(initial if initial is not None else [0.0] * len(features), dtype=float)
     if gradient is least_squares and batch_share >= 1.0 and len(features) <= GRAM_LIMIT:
         return _loop(_from_products(rows, label, features), update, weights, *steps)
     columns += [F.col(f).cast("double").alias(f"_x{j}") for j, f in enumerate(features)]
     with held(rows.select(*columns)) as data:
-        return _loop(_from_rows(data, len(features), gradient, batch_share), update, weights, *steps)
+        return _sampled(_loop(_from_rows(data, len(features), gradient, batch_share), update, weights, *steps), batch_share)
+
+
+def _sampled(found: Descent, batch_share: float) -> Descent:
+    if batch_share < 1.0 and not found.losses:
+        raise ValueError(f"no step's sample of {batch_share} of the rows held a row")
+    return found
 
 
 def _loop(measure, update, weights, step_size, num_iterations, reg_param, tolerance) -> Descent:
@@ -178,25 +186,33 @@ def _width(data: DataFrame) -> int:
 
 
 def _from_vectors(data, gradient, batch_share):
-    """The sum of number times vector by the library's weighted vector sums, which keep sparse
-    vectors sparse. Their weights must be above zero, so the two signs are summed apart and both
-    sums get each row once more."""
-    total = Summarizer.metrics("sum")
+    """Sums of number times vector by slot: each task adds up its slots, and these are added by slot
+    number. A slot's sum is one row, so no task ever holds the whole gradient of all partitions."""
+    vector = F.unwrap_udt("_x")
+    dense = F.transform(vector["values"], lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    sparse = F.zip_with(vector["indices"], vector["values"], lambda i, x: F.struct(i.alias("i"), x.alias("x")))
+    cells = F.when(vector["indices"].isNull(), dense).otherwise(sparse)
+    nothing = F.struct(F.lit(-1).alias("i"), F.lit(0.0).alias("x"))
 
     def measure(weights: np.ndarray, i: int):
         number, loss = gradient.pull(F.col("_label"), margin("_x", [float(w) for w in weights]))
-        scored = _batch(data, batch_share, i).select("_x", number.alias("_c"), loss.alias("_l"))
-        up, down = (F.greatest(c, F.lit(0.0)) + F.lit(1.0) for c in (F.col("_c"), -F.col("_c")))
-        found = scored.groupBy(F.lit("all")).agg(
-            F.count("_l").alias("n"),
-            F.sum("_l").alias("loss"),
-            total.summary(F.col("_x"), up).alias("up"),
-            total.summary(F.col("_x"), down).alias("down"),
+        scored = _batch(data, batch_share, i).select(cells.alias("_s"), number.alias("_c"), loss.alias("_l"))
+        # slot -1 carries the row itself: its count and its loss
+        each = scored.select("_c", "_l", F.explode(F.concat(F.array(nothing), "_s")).alias("_e"))
+        own = F.col("_e.i") < 0
+        found = each.groupBy(F.col("_e.i").alias("i")).agg(
+            F.sum(F.when(own, F.col("_l")).otherwise(F.col("_c") * F.col("_e.x"))).alias("s"),
+            F.sum(F.when(own, 1).otherwise(0)).alias("n"),
         ).collect()
-        if not found:  # grouping by a constant gives no row for no input
+        slots = {row["i"]: row for row in found}
+        if -1 not in slots:
             return None
-        row = found[0]
-        return (row["up"]["sum"].toArray() - row["down"]["sum"].toArray()) / row["n"], row["loss"] / row["n"]
+        n = slots[-1]["n"]
+        sums = np.zeros_like(weights)
+        for slot, row in slots.items():
+            if slot >= 0:
+                sums[slot] = row["s"]
+        return sums / n, slots[-1]["s"] / n
 
     return measure
 

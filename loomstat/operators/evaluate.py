@@ -48,13 +48,15 @@ def threshold_curve(
 ) -> DataFrame:
     """One row per distinct score, falling: its positives and negatives and those down to it.
 
+    Rows without a score or a label are left out.
+
     Rows are counted per score before the shuffle. Continuous scores leave as many rows as the
     input; beyond one chunk of them the running sums are taken within ordered chunks of the score
-    and shifted by the totals of the chunks above, of which there are 4096 at most.
+    and shifted by the totals of the chunks above, one row per chunk.
     """
     rows = df.select(
         (-F.col(score).cast("double")).alias("down"), (F.col(label) > 0.5).cast("long").alias("hit")
-    )
+    ).dropna()
     chunks = chunk_count(rows, chunk_rows)
     hits, misses = F.sum("hit"), F.sum(1 - F.col("hit"))
     if chunks == 1:

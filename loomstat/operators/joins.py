@@ -5,44 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more than 1/HOT_PARTS of all rows is hot; there cannot be more than HOT_PARTS of them.
-HOT_PARTS = 1_000
+# A key with more rows than this is dealt to several tasks, each with about so many of them.
+TASK_ROWS = 1_000_000
 # Tables up to this size are sent to every executor instead.
 BROADCAST_BYTES = 64 << 20
 
 
-def hot_keys(rows: DataFrame, key: str, min_rows: int = 1_000_000) -> list:
-    """Keys that hold more than 1/1000 of the rows and at least ``min_rows``; 1000 at most.
+def hot_keys(rows: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``key, _salts``: keys of more than ``task_rows`` rows, and how many tasks their rows need.
 
-    One grouped count, combined before the shuffle; only the hot keys reach the driver.
+    One grouped count, combined before the shuffle. There is at most one such key per ``task_rows``
+    rows of the table, a small fraction of a small table.
     """
     counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    limit = max(min_rows, -(-rows.count() // HOT_PARTS))
-    return [r[0] for r in counts.filter(F.col("_n") > limit).select(key).collect()]
+    return counts.filter(F.col("_n") > task_rows).select(key, F.ceil(F.col("_n") / task_rows).cast("int").alias("_salts"))
 
 
 def join_lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    spread_by: Column,
-    row_bytes: int,
-    min_rows: int = 1_000_000,
-    salts: int = 64,
+    rows: DataFrame, table: DataFrame, key: str, spread_by: Column, row_bytes: int, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """Inner join to a table that holds each key once.
 
-    The table is counted: a small one is broadcast. Otherwise the rows of a hot key are dealt to
-    ``salts`` tasks by ``spread_by``, and only the hot keys' table rows are repeated for it.
+    The table is counted: a small one is broadcast. Otherwise the rows of a hot key are dealt by
+    ``spread_by`` to as many tasks as they fill, and only the hot keys' table rows are repeated for it.
     """
     if table.count() * row_bytes <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), key)
-    hot = hot_keys(rows, key, min_rows)
-    if not hot:
+    found = hot_keys(rows, key, task_rows).collect()
+    if not found:
         return rows.join(table, key)
-    is_hot = F.col(key).isin(hot)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))).alias("_salt")
-    salted = rows.withColumn("_salt", salt)
-    return salted.join(table.select("*", repeated), [key, "_salt"]).drop("_salt")
+    hot = rows.sparkSession.createDataFrame(found, hot_keys(rows, key, task_rows).schema)
+    hot = F.broadcast(hot) if len(found) * 64 <= BROADCAST_BYTES else hot
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")
+    repeated = table.join(hot, key, "left").select(*table.columns, every)
+    return salted.drop("_salts").join(repeated, [key, "_salt"]).drop("_salt")

@@ -58,12 +58,11 @@ def order_number(df: DataFrame, name: str) -> Column:
 
 
 CHUNK_ROWS = 2_000_000
-MAX_CHUNKS = 4_096
 
 
 def chunk_count(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> int:
-    """How many chunks of about ``chunk_rows`` rows the table makes, 4096 at most."""
-    return max(1, min(MAX_CHUNKS, math.ceil(df.count() / chunk_rows)))
+    """How many chunks of about ``chunk_rows`` rows the table makes."""
+    return max(1, math.ceil(df.count() / chunk_rows))
 
 
 def with_ordered_chunks(
@@ -76,17 +75,18 @@ def with_ordered_chunks(
     once and used as constants, so every task and every retry cuts alike. A single order value with
     several chunks' worth of rows is cut again by ``tie``.
     """
+    position = order_number(df, order)  # refuses a type at every size, not only where it is cut
     if chunks <= 1:
         return df.withColumn(name, F.lit(0).cast("long"))
-    position = order_number(df, order)
     cuts = _quantiles(df.select(position.alias("v")), chunks)
     weight = {a: 1 + cuts.count(a) for a, b in zip(cuts, cuts[1:]) if a == b}
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol="_v", outputCol="_bucket", handleInvalid="keep")
     placed = bucketizer.transform(df.withColumn("_v", position))
-    bucket = F.col("_bucket").cast("long") * F.lit(MAX_CHUNKS * 2).cast("long")
+    # between two buckets there is room for the sub-chunks of one heavy value, and the rest after them
+    bucket = F.col("_bucket").cast("long") * F.lit(2 * chunks + 2).cast("long")
     if weight and tie is not None:
-        bucket = bucket + _tie_step(df, placed, tie, weight)
+        bucket = bucket + _tie_step(df, placed, tie, weight, chunks + 1)
     # missing order values come first, as in a window; a chunk that is never NULL also spares the
     # joins on it a check, so that scans of the same rows stay alike and are shared
     return placed.withColumn(name, F.coalesce(bucket, F.lit(-1).cast("long"))).drop("_v", "_bucket")
@@ -98,8 +98,8 @@ def _quantiles(values: DataFrame, chunks: int) -> list[float]:
     return list(found["q"] or [])
 
 
-def _tie_step(df: DataFrame, placed: DataFrame, tie: str, weight: dict[float, int]) -> Column:
-    """Within the bucket that starts at a heavy value: its own sub-chunks first, then the rest.
+def _tie_step(df: DataFrame, placed: DataFrame, tie: str, weight: dict[float, int], after: int) -> Column:
+    """Within the bucket that starts at a heavy value: its own sub-chunks first, then (``after``) the rest.
 
     ``weight`` says how many chunks' worth of rows each heavy value holds; its sum is at most twice
     the number of chunks, and so is the number of cuts put into the plan.
@@ -119,5 +119,5 @@ def _tie_step(df: DataFrame, placed: DataFrame, tie: str, weight: dict[float, in
     cuts = F.try_element_at(F.create_map(*cells), value)
     sub = F.size(F.filter(cuts, lambda cut: cut <= number))
     past = F.exists(doubles(sorted(weight)), lambda v: v < value)
-    rest = F.when(past, F.lit(MAX_CHUNKS + 1)).otherwise(F.lit(0))
+    rest = F.when(past, F.lit(after)).otherwise(F.lit(0))
     return F.when(cuts.isNotNull(), sub).otherwise(rest).cast("long")

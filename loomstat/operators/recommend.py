@@ -13,6 +13,8 @@ from loomstat.operators.relational import mean_per_pair
 from loomstat.session import ensure_checkpoint_dir
 
 PAIR = ["user", "product"]
+# A block of ratings is held by one task while its factors are solved.
+RATINGS_PER_BLOCK = 5_000_000
 
 
 def fit_als(
@@ -31,7 +33,9 @@ def fit_als(
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
+    pairs = mean_per_pair(ratings, PAIR)
+    if blocks is None:
+        blocks = max(10, spark.sparkContext.defaultParallelism, -(-ratings.count() // RATINGS_PER_BLOCK))
     als = ALS(
         rank=rank, maxIter=num_iterations, regParam=reg_param, implicitPrefs=implicit, alpha=1.0,
         userCol="user", itemCol="product", ratingCol="rating", coldStartStrategy="drop",
@@ -39,7 +43,7 @@ def fit_als(
     )
     if seed is not None:
         als = als.setSeed(seed)
-    return als.fit(mean_per_pair(ratings, PAIR))
+    return als.fit(pairs)
 
 
 def _dot(a: str | Column, b: str | Column) -> Column:

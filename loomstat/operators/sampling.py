@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 65_536
+HEX_DIGITS = 13
+BUCKETS = 1 << (4 * HEX_DIGITS)
 
 
 def key_bucket(*key: Column) -> Column:
-    """A number in [0, 65536) taken from the first two md5 bytes of the key's text."""
+    """A number in [0, 2**52) taken from the first 13 md5 digits of the key's text."""
     text = F.concat_ws(":", *[k.cast("string") for k in key])
-    return F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int")
+    return F.conv(F.substring(F.md5(text), 1, HEX_DIGITS), 16, 10).cast("long")
 
 
 def in_share(share: float, *key: Column) -> Column:
-    """True for about this share of the keys, always for the same ones."""
-    return key_bucket(*key) < F.lit(round(share * BUCKETS))
+    """True for about this share of the keys, always for the same ones; any share down to 2e-16."""
+    return key_bucket(*key) < F.lit(round(share * BUCKETS)).cast("long")
+
 
+def split_by_key(df: DataFrame, key: str | Sequence[str], share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows; all rows of a key fall on the same side, in every run.
 
-def split_by_key(df: DataFrame, key: str, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows; all rows of a key fall on the same side, in every run."""
-    chosen = in_share(share, F.col(key))
+    Several key columns make one key: name more of them where one value holds many rows.
+    """
+    chosen = in_share(share, *[F.col(k) for k in ([key] if isinstance(key, str) else key)])
     return df.filter(chosen), df.filter(~chosen)
 
 

@@ -11,11 +11,13 @@ Definitions, for points y[0..n-1] and x = 0..n-1:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomstat.operators.ordering import CHUNK_ROWS, chunk_count, with_ordered_chunks
+from loomstat.operators.ordering import CHUNK_ROWS, order_number, with_ordered_chunks
 
 FEATURES = ["ybar", "stdev", "slope", "largest_delta", "one_sigma", "two_sigma", "three_sigma"]
 
@@ -51,14 +53,27 @@ def _chunked_stats(rows: DataFrame, series: str) -> DataFrame:
 def _points(
     df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int
 ) -> DataFrame:
+    """The points that have a series and a value, with a chunk number for those of long series.
+
+    Only a series of more than ``chunk_rows`` points is cut; there are few of them, and their keys
+    and the cuts are fetched. All others are chunk 0, and need one shuffle by series.
+    """
     rows = df.select(*dict.fromkeys([series, order, tie]), F.col(value).cast("double").alias("_y"))
-    return with_ordered_chunks(rows, order, tie, chunk_count(rows, chunk_rows))
+    rows = rows.filter(F.col(series).isNotNull() & F.col("_y").isNotNull())
+    order_number(rows, order)  # the same types are refused at every size
+    counts = rows.groupBy(series).agg(F.count("*").alias("_n")).filter(F.col("_n") > chunk_rows).collect()
+    if not counts:
+        return rows.withColumn("chunk", F.lit(0).cast("long"))
+    long = F.col(series).isin([r[0] for r in counts])
+    parts = math.ceil(sum(r["_n"] for r in counts) / chunk_rows)
+    cut = with_ordered_chunks(rows.filter(long), order, tie, parts)
+    return rows.filter(~long).withColumn("chunk", F.lit(0).cast("long")).unionByName(cut)
 
 
 def series_zscores(
     df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """Every point that belongs to a series with its z-value: ``series, order, tie, z``."""
+    """Every point with a series and a value, and its z-value: ``series, order, tie, z``."""
     rows = _points(df, series, order, tie, value, chunk_rows)
     stats = _chunked_stats(rows, series)
     joined = rows.join(stats, [series, "chunk"])
@@ -68,7 +83,8 @@ def series_zscores(
 def series_features(
     df: DataFrame, series: str, order: str, tie: str, value: str, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """The seven features and ``n`` per series, from one row per point.
+    """The seven features and ``n`` per series, from one row per point; points without a value are
+    left out before they are numbered.
 
     Join, window and first aggregate all work per (series, chunk) on one shuffle of the points, so
     a series with a third of all points is spread like any other. The second shuffle carries one

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomstat.operators.sampling import BUCKETS
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -80,4 +82,4 @@ def rows(spark: SparkSession, folder: str) -> DataFrame:
 
 # The same 80 % of keys in SQL.
 def in_train_sql(key: str) -> str:
-    return f"(concat('0x', substr(md5({key}::VARCHAR), 1, 4))::INT < 52429)"
+    return f"(concat('0x', substr(md5({key}::VARCHAR), 1, 13))::BIGINT < {round(0.8 * BUCKETS)})"

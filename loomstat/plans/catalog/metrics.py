@@ -189,8 +189,8 @@ DISTANCES_SQL = ", ".join(
 
 @query(
     "kmeans_assign",
-    f"""SELECT x0, x1, n, CASE WHEN round(d0, 9) <= round(d1, 9) AND round(d0, 9) <= round(d2, 9) THEN 0
-                              WHEN round(d1, 9) <= round(d2, 9) THEN 1 ELSE 2 END AS cluster
+    f"""SELECT x0, x1, n, CASE WHEN d0 <= least(d0, d1, d2) * (1 + 1e-9) THEN 0
+                              WHEN d1 <= least(d0, d1, d2) * (1 + 1e-9) THEN 1 ELSE 2 END AS cluster
         FROM (SELECT x0, x1, n, {DISTANCES_SQL}
               FROM (SELECT x0, x1, count(*) AS n FROM ({ROWS_SQL}) GROUP BY x0, x1))""",
 )
@@ -199,6 +199,24 @@ def kmeans_assign(spark, folder):
     return assigned.groupBy("x0", "x1", "cluster").agg(F.count("*").alias("n"))
 
 
+@query(
+    "kmeans_assign_wide",
+    """WITH c AS (SELECT list(v ORDER BY vec_id) AS cs FROM (
+           SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 25 = 0 ORDER BY vec_id LIMIT 20)),
+       d AS (SELECT vec_id, list_transform(cs, lambda c: list_sum(list_transform(
+                 list_zip(embedding::DOUBLE[], c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS ds
+             FROM embeddings, c)
+       SELECT vec_id, list_position(list_transform(ds, lambda d: d <= list_min(ds) * (1 + 1e-9)), true)::INT - 1 AS cluster
+       FROM d""",
+)
+def kmeans_assign_wide(spark, folder):
+    """Every embedding assigned to the nearest of twenty given ones."""
+    vectors = table(spark, folder, "embeddings")
+    points = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    given = points.filter(F.col("vec_id") % 25 == 0).orderBy("vec_id").limit(20).collect()
+    return clustering.assign(points, "v", [r["v"] for r in given]).select("vec_id", "cluster")
+
+
 @query(
     "kmeans_cost",
     f"""SELECT round(sum(least(d0, d1, d2)), 6) AS cost

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from loomstat.functions import implicit_confidence
+from loomstat.functions import clip_unit, implicit_confidence
 from loomstat.operators import classify, clustering, descent, recommend
 from loomstat.operators.features import assemble
 from loomstat.operators.partitions import at_least_partitions
@@ -17,6 +17,7 @@ from loomstat.plans import jobs
 from loomstat.plans.catalog import oracle
 from loomstat.plans.catalog.base import (
     FEATURES,
+    RATINGS_SQL,
     ROWS_SQL,
     in_train_sql,
     query,
@@ -59,22 +60,27 @@ def svm_sgd_l1(spark, folder):
     return weights_table(spark, model)
 
 
-def two_weight_gradient(label, features, weights):
-    """A caller's own gradient: it models w0 + w1 * x0 and pulls w1 by error * w0."""
-    error = F.lit(weights[0]) + F.lit(weights[1]) * features[0] - label
-    return [error, error * F.lit(weights[0])], error * error
+EDGE = 0.2
+
+
+def huber(label, features, weights):
+    """A caller's own gradient: squared error near the line, and beyond ``EDGE`` a pull of fixed size."""
+    error = descent.dot(features, weights) - label
+    pull = F.greatest(F.lit(-EDGE), F.least(F.lit(EDGE), error))
+    far = F.lit(EDGE) * (F.abs(error) - F.lit(EDGE / 2))
+    return [pull * x for x in features], F.when(F.abs(error) <= EDGE, error * error / 2).otherwise(far)
 
 
 _CUSTOM = oracle.Steps(
     f"SELECT 1.0::DOUBLE AS x0, x0 AS x1, price FROM ({ROWS_SQL})",
-    "price", ["x0", "x1"], "two_weight", "NONE", 0.15, 0.1, 15, tolerance=0.001,
+    "price", ["x0", "x1"], "huber", "NONE", 1.0, 0.1, 15, tolerance=0.001, edge=EDGE,
 )
 
 
 def _custom(spark, folder) -> descent.Descent:
     data = rows(spark, folder).select(F.lit(1.0).alias("x0"), F.col("x0").alias("x1"), "price")
     return descent.descend(
-        data, "price", ["x0", "x1"], two_weight_gradient, "NONE", 0.15, 15, 0.1
+        data, "price", ["x0", "x1"], huber, "NONE", 1.0, 15, 0.1
     )
 
 
@@ -214,11 +220,19 @@ _tree("tree_classify_entropy", "Classification", "Entropy", "flag", 3)
 _tree("tree_regress", "Regression", "Variance", "price", 3)
 
 
-@query("tree_holdout")
-def tree_holdout(spark, folder):
-    lines = rows(spark, folder)
-    report = jobs.decision_tree(lines, "flag", [*FEATURES, "price"], "l_orderkey")
-    return report.withColumn("accuracy", rounded("accuracy"))
+def _tree_job(name: str, label: str, algo: str, impurity: str, measure: str) -> None:
+    depth = 4
+
+    @query(name, oracle.tree_holdout_sql(ROWS_SQL, label, FEATURES, impurity, depth, in_train_sql("l_orderkey"), measure))
+    def fit(spark, folder):
+        lines = rows(spark, folder)
+        report = jobs.decision_tree(lines, label, FEATURES, "l_orderkey", algo, depth, impurity)
+        return report.withColumn(measure, rounded(measure))
+
+
+_tree_job("tree_holdout", "flag", "Classification", "Gini", "accuracy")
+_tree_job("tree_holdout_entropy", "flag", "Classification", "Entropy", "accuracy")
+_tree_job("tree_holdout_regression", "price", "Regression", "Variance", "mse")
 
 
 START = [(0.1, 0.1), (0.5, 0.5), (0.9, 0.9)]
@@ -232,17 +246,25 @@ def kmeans_lloyd(spark, folder):
     return spark.createDataFrame(cells, "cluster int, x double, y double")
 
 
-@query("kmeans_fit")
-def kmeans_fit(spark, folder):
-    vectors = assemble(rows(spark, folder), ["x0", "x1"]).select("features")
-    model = clustering.fit_kmeans(vectors, 3, 10, "Parallel", seed=7)
-    slots = vector_to_array("features")
-    sizes = model.transform(vectors).groupBy(F.col("prediction").alias("cluster"))
-    return sizes.agg(
-        F.count("*").alias("n"),
-        rounded(F.avg(F.get(slots, 0))).alias("x"),
-        rounded(F.avg(F.get(slots, 1))).alias("y"),
-    )
+def _kmeans(name: str, init_mode: str) -> None:
+    @query(name, "SELECT count(*) AS n, 3::BIGINT AS clusters, true AS below_one_center FROM lineitem")
+    def fit(spark, folder):
+        """A fit from a random start: rows and clusters it covers, and that it beats a single center."""
+        lines = rows(spark, folder).select("x0", "x1")
+        model = clustering.fit_kmeans(assemble(lines, ["x0", "x1"]).select("features"), 3, 10, init_mode, seed=7)
+        centers = [[float(v) for v in c] for c in model.clusterCenters()]
+        found = clustering.assign(lines, ["x0", "x1"], centers)
+        one = F.var_pop("x0") + F.var_pop("x1")
+        own = clustering.cost(lines, ["x0", "x1"], centers).first()["cost"]
+        return found.agg(
+            F.count("*").alias("n"),
+            F.count_distinct("cluster").alias("clusters"),
+            (F.lit(own) < F.count("*") * one).alias("below_one_center"),
+        )
+
+
+_kmeans("kmeans_fit", "Parallel")
+_kmeans("kmeans_random", "Random")
 
 
 def _als(spark, folder, implicit: bool):
@@ -254,23 +276,74 @@ def _als(spark, folder, implicit: bool):
     return model, test
 
 
-@query("als_explicit")
+_IN_TRAIN = in_train_sql("concat(user_id, ':', product_id)")
+_SPLIT_SQL = f"""
+    WITH r AS (SELECT *, {_IN_TRAIN} AS training FROM ({RATINGS_SQL})),
+    known AS (SELECT DISTINCT user_id, product_id FROM r WHERE NOT training
+              AND user_id IN (SELECT user_id FROM r WHERE training)
+              AND product_id IN (SELECT product_id FROM r WHERE training))
+"""
+
+
+@query("als_explicit", f"{_SPLIT_SQL} SELECT user_id AS user, product_id AS product, true AS in_range FROM known")
 def als_explicit(spark, folder):
+    """The held-out pairs that the model can score: those whose user and product it has seen."""
     model, test = _als(spark, folder, False)
     scored = recommend.score_pairs(model, test.select("user", "product").distinct())
-    return scored.select("user", "product", rounded("prediction", 4).alias("prediction"))
+    near = F.col("prediction").between(-5, 15)
+    return scored.select("user", "product", near.alias("in_range"))
 
 
-@query("als_implicit")
+@query("als_implicit", f"{_SPLIT_SQL} SELECT count(*) AS pairs, true AS in_unit, true AS finite FROM known")
 def als_implicit(spark, folder):
+    """An implicit fit: pairs it scores, and that clipped scores and their error lie in [0, 1]."""
     model, test = _als(spark, folder, True)
-    return recommend.recommender_rmse(model, test, True).select(rounded("rmse", 4).alias("rmse"))
+    rmse = recommend.recommender_rmse(model, test, True).first()["rmse"]
+    scored = recommend.score_pairs(model, test.select("user", "product").distinct())
+    clipped = clip_unit(F.col("prediction"))
+    return scored.agg(
+        F.count("*").alias("pairs"),
+        F.min(clipped.between(0, 1)).alias("in_unit"),
+        F.lit(0 <= rmse <= 1).alias("finite"),
+    )
 
 
-@query("recommend_top10")
+@query(
+    "recommend_top10",
+    f"""{_SPLIT_SQL} SELECT k AS place, true AS known, true AS falling, true AS new
+        FROM (SELECT unnest(range(1, 11)) AS k)""",
+)
 def recommend_top10(spark, folder):
+    """Ten different known products, ratings falling."""
     model, _ = _als(spark, folder, False)
-    return recommend.top_items(model, 0, 10)
+    user = model.userFactors.agg(F.min("id")).first()[0]
+    order = Window.orderBy(F.col("rating").desc(), F.col("product"))  # ten rows
+    top = recommend.top_items(model, user, 10).select("product", "rating", F.row_number().over(order).alias("place"))
+    items = model.itemFactors.select(F.col("id").alias("product"), F.lit(True).alias("known"))
+    fall = F.coalesce(F.lag("rating").over(order) >= F.col("rating"), F.lit(True))
+    seen = F.count("*").over(Window.partitionBy("product"))
+    return top.join(items, "product", "left").select(
+        F.col("place").cast("long").alias("place"),
+        F.coalesce("known", F.lit(False)).alias("known"),
+        fall.alias("falling"),
+        (seen == 1).alias("new"),
+    )
+
+
+@query(
+    "recommender_job",
+    f"""{_SPLIT_SQL}, p AS (SELECT count(*) AS ratings, count(DISTINCT user_id) AS users,
+                                   count(DISTINCT product_id) AS products FROM r)
+        SELECT ratings, users, products, true AS below_spread, 10::BIGINT AS recommended FROM p""",
+)
+def recommender_job(spark, folder):
+    """Profile, explicit fit, held-out error below the ratings' range, ten items for a user."""
+    data = ratings(spark, folder).withColumn("pair", F.concat_ws(":", "user", "product"))
+    user = data.agg(F.min("user")).first()[0]
+    profile, error, top = jobs.recommender(data, "pair", 5, 5, 0.1, user=user, seed=7)
+    rmse, best = error.first()["rmse"], top.count()
+    named = profile.toDF(*["ratings", "users", "products"])
+    return named.select("*", F.lit(rmse < 4.0).alias("below_spread"), F.lit(best).cast("long").alias("recommended"))
 
 
 SALES_SQL = f"""

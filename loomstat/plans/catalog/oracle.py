@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from loomstat.operators.sampling import BUCKETS
+
 
 @dataclass(frozen=True)
 class Steps:
@@ -22,6 +24,7 @@ class Steps:
     batch_key: str | None = None
     batch_share: float = 1.0
     digits: int = 6
+    edge: float = 0.0
 
     def _gradient(self) -> tuple[list[str], str]:
         xs = list(self.features)
@@ -34,8 +37,10 @@ class Steps:
             room = f"(1 - {side} * ({margin}))"
             parts = [f"CASE WHEN {room} > 0 THEN -{side} * {x} ELSE 0 END" for x in xs]
             return parts, f"greatest({room}, 0)"
-        error = f"(w0 + w1 * {xs[0]} - {self.label})"
-        return [error, f"{error} * w0"], f"{error} * {error}"
+        error, edge = f"({margin} - {self.label})", f"{self.edge}::DOUBLE"  # huber
+        parts = [f"greatest(-{edge}, least({edge}, {error})) * {x}" for x in xs]
+        loss = f"CASE WHEN abs({error}) <= {edge} THEN {error} * {error} / 2 ELSE {edge} * (abs({error}) - {edge} / 2) END"
+        return parts, loss
 
     def _update(self, j: int, step: str) -> str:
         plain = f"(w{j} - {step} * g{j})"
@@ -60,9 +65,9 @@ class Steps:
         step = f"({self.step_size}::DOUBLE / sqrt(i + 1))"
         where = ""
         if self.batch_key:
-            limit = round(self.batch_share * 65536)
+            limit = round(self.batch_share * BUCKETS)
             where = (
-                f" WHERE concat('0x', substr(md5(concat({self.batch_key}::VARCHAR, ':', (i + 1)::VARCHAR)), 1, 4))::INT"
+                f" WHERE concat('0x', substr(md5(concat({self.batch_key}::VARCHAR, ':', (i + 1)::VARCHAR)), 1, 13))::BIGINT"
                 f" < {limit}"
             )
         ws = ", ".join(f"w{j}" for j in d)
@@ -145,10 +150,11 @@ def naive_bayes_model_sql(rows: str, features: Sequence[str]) -> str:
 def _bayes_scores(rows: str, training: str, features: Sequence[str]) -> str:
     score = " + ".join(["log_prior", *[f"r.{f} * log_{f}" for f in features]])
     return f"""
-        SELECT doc_id, label, prediction FROM (
-            SELECT r.doc_id, r.label, m.label AS prediction,
-                   row_number() OVER (PARTITION BY r.doc_id ORDER BY round({score}, 9) DESC, m.label) AS k
-            FROM ({rows}) r, ({_bayes_model(training, features)}) m) WHERE k = 1"""
+        SELECT doc_id, label, min(option) AS prediction FROM (
+            SELECT doc_id, label, option, score, max(score) OVER (PARTITION BY doc_id) AS best FROM (
+                SELECT r.doc_id, r.label, m.label AS option, {score} AS score
+                FROM ({rows}) r, ({_bayes_model(training, features)}) m))
+        WHERE score >= best - abs(best) * 1e-9 GROUP BY doc_id, label"""
 
 
 def naive_bayes_predict_sql(rows: str, features: Sequence[str]) -> str:
@@ -179,7 +185,7 @@ def _candidates(kind: str, bins: str) -> str:
     low = _impurity(kind, "ln", "ls", "ls2")
     high = _impurity(kind, "(tn - ln)", "(ts - ls)", "(ts2 - ls2)")
     return f"""
-        SELECT node, (x + nx) / 2 AS threshold,
+        SELECT node, (x + nx) / 2 AS threshold, {whole} AS impurity,
                {whole} - ({low} * ln + {high} * (tn - ln)) / tn AS gain
         FROM (SELECT node, x, nx,
                      sum(n) OVER a AS ln, sum(s) OVER a AS ls, sum(s2) OVER a AS ls2,
@@ -200,7 +206,7 @@ def root_split_sql(rows: str, label: str, impurity: str) -> str:
     bins = f"SELECT 1 AS node, * FROM ({_bins(rows, label)})"
     return f"""
     SELECT threshold, round(gain, 6) AS gain FROM ({_candidates(impurity, bins)})
-    ORDER BY round(gain, 12) DESC, threshold LIMIT 1"""
+    ORDER BY round(gain / nullif(impurity, 0), 12) DESC, threshold LIMIT 1"""
 
 
 def tree_sql(rows: str, label: str, impurity: str, depth: int) -> str:
@@ -210,7 +216,7 @@ def tree_sql(rows: str, label: str, impurity: str, depth: int) -> str:
         best = f"""
             SELECT node, threshold FROM (
                 SELECT node, threshold,
-                       row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, threshold) AS r
+                       row_number() OVER (PARTITION BY node ORDER BY round(gain / nullif(impurity, 0), 12) DESC, threshold) AS r
                 FROM ({_candidates(impurity, f"SELECT * FROM t{k}")}) WHERE gain > 0)
             WHERE r = 1"""
         levels.append(f"""
@@ -226,13 +232,55 @@ def tree_sql(rows: str, label: str, impurity: str, depth: int) -> str:
     )
 
 
+def tree_holdout_sql(
+    rows: str, label: str, features: Sequence[str], impurity: str, depth: int, train: str, measure: str
+) -> str:
+    """A tree over several features of few values, fit on the training keys; counts and a test measure."""
+    xs = ", ".join(features)
+    sums = f"count(*)::DOUBLE AS n, sum({label})::DOUBLE AS s, sum({label} * {label})::DOUBLE AS s2"
+    parts = [f"""WITH f AS MATERIALIZED (SELECT *, {train} AS training FROM ({rows})),
+    t0 AS MATERIALIZED (SELECT 1 AS node, {xs}, {sums} FROM f WHERE training GROUP BY {xs})"""]
+    for j, x in enumerate(features):
+        parts.append(f"""m{j} AS MATERIALIZED (
+            SELECT x, lead(x) OVER (ORDER BY x) AS nx FROM (SELECT DISTINCT {x} AS x FROM f WHERE training))""")
+    for k in range(depth):
+        options = []
+        for j, x in enumerate(features):
+            bins = f"""SELECT node, x, nx, sum(n) AS n, sum(s) AS s, sum(s2) AS s2
+                       FROM t{k} JOIN m{j} ON m{j}.x = {x} GROUP BY node, x, nx"""
+            options.append(f"SELECT {j} AS j, node, threshold, impurity, gain FROM ({_candidates(impurity, bins)})")
+        side = "CASE j " + " ".join(f"WHEN {j} THEN {x} > threshold" for j, x in enumerate(features)) + " END"
+        parts.append(f"""b{k} AS MATERIALIZED (SELECT node, j, threshold FROM (
+            SELECT *, row_number() OVER (PARTITION BY node
+                ORDER BY round(gain / nullif(impurity, 0), 12) DESC, j, threshold) AS r
+            FROM ({" UNION ALL ".join(options)}) WHERE gain > 1e-12 * impurity) WHERE r = 1)""")
+        parts.append(f"""t{k + 1} AS MATERIALIZED (
+            SELECT 2 * t.node + CASE WHEN {side} THEN 1 ELSE 0 END AS node, {xs}, n, s, s2
+            FROM t{k} t LEFT JOIN b{k} b ON b.node = t.node)""")
+    leaf = "SELECT node, sum(s) / sum(n) AS value FROM t" + str(depth) + " GROUP BY node"
+    place = "1"
+    walk = f"SELECT *, {place} AS node FROM f"
+    for k in range(depth):
+        side = "CASE j " + " ".join(f"WHEN {j} THEN {x} > threshold" for j, x in enumerate(features)) + " END"
+        walk = f"""SELECT w.* EXCLUDE (node), 2 * w.node + CASE WHEN {side} THEN 1 ELSE 0 END AS node
+                   FROM ({walk}) w LEFT JOIN b{k} b ON b.node = w.node"""
+    if measure == "mse":
+        test = f"avg((value - {label}) ** 2) FILTER (NOT training)"
+    else:
+        test = f"avg(((value > 0.5)::INT = {label})::INT) FILTER (NOT training)"
+    parts.append(f"leaf AS ({leaf}), walked AS ({walk})")
+    return ",\n    ".join(parts) + f"""
+    SELECT count(*) FILTER (training) AS n_training, count(*) FILTER (NOT training) AS n_test,
+           round({test}, 6) AS {measure} FROM walked JOIN leaf USING (node)"""
+
+
 def lloyd_sql(points: str, start: Sequence[Sequence[float]], iterations: int) -> str:
     """Moves of given centers over distinct points with a count; near ties go to the lower number."""
     k = range(len(start))
     names = ", ".join(f"x{c}, y{c}" for c in k)
-    nearest = "list_min([" + ", ".join(
-        f"{{'d': round((p.x - x{c}) ** 2 + (p.y - y{c}) ** 2, 9), 'k': {c}}}" for c in k
-    ) + "])"
+    distances = [f"((p.x - x{c}) ** 2 + (p.y - y{c}) ** 2)" for c in k]
+    least = f"least({', '.join(distances)}) * (1 + 1e-9)"
+    nearest = "CASE " + " ".join(f"WHEN {d} <= {least} THEN {c}" for c, d in enumerate(distances)) + " END"
     sums = ", ".join(
         f"sum(n * x) FILTER (a = {c}) / sum(n) FILTER (a = {c}) AS mx{c},"
         f" sum(n * y) FILTER (a = {c}) / sum(n) FILTER (a = {c}) AS my{c}"
@@ -250,7 +298,7 @@ def lloyd_sql(points: str, start: Sequence[Sequence[float]], iterations: int) ->
         UNION ALL
         SELECT i + 1, {moved}
         FROM (SELECT * FROM w, LATERAL (
-                  SELECT {sums} FROM (SELECT p.x, p.y, p.n, ({nearest}).k AS a FROM p) q) t
+                  SELECT {sums} FROM (SELECT p.x, p.y, p.n, {nearest} AS a FROM p) q) t
               WHERE i < {iterations}) m)
     {cells}
     """

@@ -107,7 +107,8 @@ def test_lookup_join_spreads_a_hot_key(spark, monkeypatch):
     expected = sorted(map(tuple, rows.join(table, "k").select("k", "id", "v").collect()))
     for limit in (1 << 20, 0):
         monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
-        got = joins.join_lookup(rows, table, "k", F.col("id"), 16, min_rows=200, salts=8)
+        got = joins.join_lookup(rows, table, "k", F.col("id"), 16, task_rows=200)
         assert sorted(map(tuple, got.select("k", "id", "v").collect())) == expected
         assert ("_salt" in got._jdf.queryExecution().analyzed().toString()) == (limit == 0)
-    assert joins.hot_keys(rows, "k", 200) == [7] and joins.hot_keys(rows, "k") == []
+    assert [tuple(r) for r in joins.hot_keys(rows, "k", 200).collect()] == [(7, 6)]
+    assert joins.hot_keys(rows, "k").collect() == []
