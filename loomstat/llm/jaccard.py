@@ -11,6 +11,8 @@ overlap of ``t / (1 + t) * (|x| + |y|)``, and sizes within a factor of t.
 * In each list every row meets the list's first row (the one with the fewest rarer columns); a pair
   is dropped if what both have left after this column cannot reach the bound. For the others the
   second block, all columns of the two rows, gives the exact overlap. This links each list's star.
+  Before the rows are fetched, 1024 parities of each row's columns are compared: two rows differ in
+  at least as many columns as parities, which rules out nearly all pairs that only share a passage.
 * A second round takes the lists whose rows are still in different components, and multiplies only
   across components. After it every pair over the threshold is linked or already connected, so the
   components are exact, and a group of m near copies costs about m products, not m * m.
@@ -65,6 +67,15 @@ def gram_sets(texts: pa.Array, grams: Grams) -> tuple[np.ndarray, np.ndarray, np
     return flat, begins, names[0], names[1]
 
 
+def parities(flat: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """For each set 1024 bits: whether an odd number of its hashes fall on each, as 16 longs."""
+    docs, doc = len(begins) - 1, np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    cell = doc * 1024 + (mixed(flat) >> np.uint64(54)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=docs * 1024) & 1).astype(np.uint8)
+    longs = np.packbits(odd).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(docs + 1) * 16, pa.int32()), pa.array(longs))
+
+
 def _bucket(flat: np.ndarray) -> np.ndarray:
     return (flat & np.uint64(SKETCH - 1)).astype(np.int64)
 
@@ -102,6 +113,7 @@ class SimilarSets:
         grams = self.grams
         texts = self.docs.select(F.struct(*[c.alias(n) for n, c in keep.items()]).alias("k"), self.text.alias("t"))
         fields = [texts.schema["k"], *[T.StructField(n, T.LongType()) for n in ("n", "a", "b", "bucket", "count")]]
+        fields.append(T.StructField("bits", T.ArrayType(T.LongType())))
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,18 +125,20 @@ class SimilarSets:
                     flat, begins, a, b = gram_sets(column.slice(i, j - i), grams)
                     counts += np.bincount(_bucket(flat), minlength=SKETCH)
                     none = pa.nulls(j - i, pa.int64())
-                    yield _batch([kept.slice(i, j - i), np.diff(begins), a, b, none, none], schema)
+                    bits = parities(flat, begins)
+                    yield _batch([kept.slice(i, j - i), np.diff(begins), a, b, none, none, bits], schema)
             at = np.flatnonzero(counts)
             if kind is not None and len(at):
                 none = pa.nulls(len(at), pa.int64())
-                yield _batch([pa.nulls(len(at), kind), none, none, none, at, counts[at]], schema)
+                no_bits = pa.nulls(len(at), pa.list_(pa.int64()))
+                yield _batch([pa.nulls(len(at), kind), none, none, none, at, counts[at], no_bits], schema)
 
         found = self._written(texts.mapInArrow(run, schema), "sets")
         weights = np.zeros(SKETCH, np.int64)
         summed = found.filter(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("count").alias("c"))
         for r in summed.collect():  # at most one row per bucket
             weights[r["bucket"]] = r["c"]
-        return found.filter(F.col("bucket").isNull()).select("k", "n", "a", "b"), weights
+        return found.filter(F.col("bucket").isNull()).select("k", "n", "a", "b", "bits"), weights
 
     def _entries(self) -> DataFrame:
         """First-block entries of every distinct set: column, list part, place p, size and name."""
@@ -167,8 +181,21 @@ class SimilarSets:
         )
         return self._written(lists.filter((F.col("size") > 1) | (F.col("parts") > 1)).drop("size"), "lists")
 
-    def _exact(self, pairs: DataFrame) -> DataFrame:
+    def _possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (xa, xb, ya, yb) that sizes and parities do not rule out."""
+        marks = self.rows.filter(F.col("n") > 0).select("a", "b", "n", "bits").dropDuplicates(["a", "b"])
+        left, right = ([F.col(c).alias(f"{e}{c}") for c in ("a", "b", "n", "bits")] for e in "xy")
+        both = pairs.join(marks.select(*left), ["xa", "xb"]).join(marks.select(*right), ["ya", "yb"])
+        apart = F.zip_with("xbits", "ybits", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
+        apart = F.aggregate(apart, F.lit(0).cast("long"), lambda total, n: total + n)
+        size = F.col("xn") + F.col("yn")
+        # the overlap is at most (size - apart) / 2
+        fits = (size - apart) * (100 + self.percent) >= size * 2 * self.percent
+        return both.filter(fits).select(*pairs.columns)
+
+    def _exact(self, met: DataFrame) -> DataFrame:
         """The pairs (xa, xb, ya, yb) whose whole rows overlap enough."""
+        pairs = self._written(self._possible(met), "possible")
         ends = [pairs.select(F.col(f"{e}a").alias("a"), F.col(f"{e}b").alias("b")) for e in "xy"]
         names = self._written(ends[0].union(ends[1]).distinct(), "names")
         count = names.count()
