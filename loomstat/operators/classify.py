@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomstat.operators.joins import join_lookup
 from loomstat.operators.partitions import held
 
 CLASS_IMPURITIES = ("Gini", "Entropy")
@@ -113,6 +114,36 @@ def _first_near_best(scores: Sequence[Column], labels: Sequence[Column]) -> Colu
     return chosen
 
 
+def word_bayes(words: DataFrame, label: str, word: str, key: str, smoothing: float = 1.0) -> DataFrame:
+    """Multinomial naive Bayes over whole texts and their whole vocabulary: ``key, prediction``.
+
+    ``words`` has one row per word of a text, with the text's key and label; a null word stands for a
+    text without words. The model is a table of one row per word with a count per class, joined to
+    each text's distinct words, so the vocabulary is never part of a plan. The classes are; more than
+    a hundred are refused. Ties are broken as in ``naive_bayes_score``.
+    """
+    texts = words.groupBy(key).agg(F.first(label).alias(label))
+    sizes = {r[0]: r[1] for r in texts.groupBy(label).agg(F.count("*")).limit(102).collect()}
+    labels = sorted(sizes)
+    if len(labels) > 100:
+        raise ValueError("word_bayes is meant for up to a hundred classes")
+    named = words.filter(F.col(word).isNotNull())
+    counts = named.groupBy(word).agg(*[F.count_if(F.col(label) == c).alias(f"c{i}") for i, c in enumerate(labels)])
+    sums = counts.agg(F.count("*").alias("v"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(labels))]).first()
+    lam, total = float(smoothing), sum(sizes.values()) + float(smoothing) * len(labels)
+
+    def log(i: int) -> Column:
+        return F.log((F.col(f"c{i}") + lam) / ((sums[f"c{i}"] or 0) + lam * sums["v"])).alias(f"l{i}")
+
+    model = counts.select(word, *[log(i) for i in range(len(labels))])
+    own = named.groupBy(key, word).agg(F.count("*").alias("_tf"))
+    met = join_lookup(own, model, word, F.col(key), 8 * len(labels) + 64)
+    scored = met.groupBy(key).agg(*[F.sum(F.col("_tf") * F.col(f"l{i}")).alias(f"l{i}") for i in range(len(labels))])
+    every = texts.select(key).join(scored, key, "left")
+    scores = [F.coalesce(f"l{i}", F.lit(0.0)) + math.log((sizes[c] + lam) / total) for i, c in enumerate(labels)]
+    return every.select(key, _first_near_best(scores, [F.lit(c) for c in labels]).alias("prediction"))
+
+
 def check_tree(algo: str, impurity: str) -> None:
     """Classification goes with Gini or Entropy, Regression with Variance."""
     fits = {"Classification": CLASS_IMPURITIES, "Regression": VALUE_IMPURITIES}

@@ -38,7 +38,7 @@ def src_text(spark, folder):
 def src_delimited(spark, folder):
     # the fourth field is ignored by the reader
     path = scratch_path(spark, "ratings")
-    line = F.concat_ws("::", "user", "product", F.col("rating"), F.lit("978300760"))
+    line = F.concat_ws("::", "user", "product", F.col("rating"), F.lit("ignored"))
     write_text(ratings(spark, folder), line, path)
     columns = [("user_id", "int"), ("product_id", "int"), ("rating", "double")]
     return read_delimited(spark, path, columns, "::")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomstat.functions import clip_unit, implicit_confidence
+from loomstat.functions import clip_unit, implicit_confidence, words
 from loomstat.operators import classify, clustering, descent, recommend
 from loomstat.operators.features import assemble
 from loomstat.operators.partitions import at_least_partitions
@@ -27,6 +27,8 @@ from loomstat.plans.catalog.base import (
     table,
 )
 from loomstat.plans.catalog.series import ARRAY_POINTS_SQL, features_sql
+from loomstat.session import scratch_path
+from loomstat.sources import read_csv_by_name, read_libsvm
 
 
 def weights_table(spark: SparkSession, model: descent.Descent) -> DataFrame:
@@ -175,6 +177,86 @@ def naive_bayes_accuracy(spark, folder):
     return report.withColumn("accuracy", rounded("accuracy"))
 
 
+@query(
+    "naive_bayes_words",
+    r"""WITH t AS (SELECT doc_id, lang, unnest(string_split_regex(text, '[ \r\n]')) AS w FROM documents),
+        c AS (SELECT lang, w, count(*) AS n FROM t WHERE w <> '' GROUP BY ALL),
+        s AS (SELECT lang, sum(n) AS total FROM c GROUP BY lang),
+        v AS (SELECT count(DISTINCT w) AS v FROM c),
+        p AS (SELECT lang, ln((count(*) + 1) / (sum(count(*)) OVER () + count(*) OVER ())) AS prior
+              FROM documents GROUP BY lang),
+        d AS (SELECT doc_id, w, count(*) AS tf FROM t WHERE w <> '' GROUP BY ALL),
+        l AS (SELECT d.doc_id, s.lang, sum(tf * ln((coalesce(n, 0) + 1) / (total + v))) AS l
+              FROM d JOIN s ON true CROSS JOIN v LEFT JOIN c ON c.lang = s.lang AND c.w = d.w GROUP BY ALL),
+        q AS (SELECT documents.doc_id, p.lang, prior + coalesce(l, 0) AS score
+              FROM documents JOIN p ON true LEFT JOIN l ON l.doc_id = documents.doc_id
+              WHERE l.lang = p.lang OR l.lang IS NULL),
+        b AS (SELECT *, max(score) OVER (PARTITION BY doc_id) AS best FROM q)
+        SELECT doc_id, min(lang) AS prediction FROM b WHERE score >= best - abs(best) * 1e-9 GROUP BY doc_id""",
+)
+def naive_bayes_words(spark, folder):
+    """Language of every document from all its words, four classes and the whole vocabulary."""
+    documents = at_least_partitions(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    each = documents.select("doc_id", "lang", F.explode_outer(F.filter(words("text"), lambda w: w != "")).alias("word"))
+    return classify.word_bayes(each, "lang", "word", "doc_id")
+
+
+LIBSVM_SQL = f"SELECT flag, x0 AS x0, x1 AS x1, x2 AS x2, price FROM ({ROWS_SQL})"
+
+
+def _libsvm(spark, folder, label: str) -> DataFrame:
+    """The rows as LIBSVM files, zeros left out, read back without a given width."""
+    path = scratch_path(spark, "wide")
+    vectors = assemble(rows(spark, folder), FEATURES).select(F.col(label).alias("label"), "features")
+    vectors.write.format("libsvm").save(path)
+    return read_libsvm(spark, path)
+
+
+@query("libsvm_svm", oracle.Steps(LIBSVM_SQL, "flag", FEATURES, "hinge", "L1", 1.0, 0.02, 10).weights())
+def libsvm_svm(spark, folder):
+    model = descent.linear_svm(_libsvm(spark, folder, "flag"), "label", "features", 10, 1.0, "L1", 0.02, tolerance=0.0)
+    return weights_table(spark, model)
+
+
+@query("libsvm_linear", oracle.Steps(LIBSVM_SQL, "price", FEATURES, "least_squares", "L2", 1.0, 0.1, 10).weights())
+def libsvm_linear(spark, folder):
+    model = descent.linear_regression(_libsvm(spark, folder, "price"), "label", "features", 10, tolerance=0.0)
+    return weights_table(spark, model)
+
+
+@query("libsvm_bayes", oracle.naive_bayes_model_sql(f"SELECT flag AS label, x0, x1, x2 FROM ({ROWS_SQL})", FEATURES))
+def libsvm_bayes(spark, folder):
+    model = classify.fit_naive_bayes(_libsvm(spark, folder, "flag"))
+    cells = [
+        (float(i), *[round(float(v), 6) for v in (model.pi[i], *model.theta.toArray()[i])])
+        for i in range(model.numClasses)
+    ]
+    names = ["log_prior", *[f"log_{f}" for f in FEATURES]]
+    return spark.createDataFrame(cells, ["label", *names])
+
+
+TEN = [f"y{j}" for j in range(10)]
+_TEN_SQL = f"SELECT price, {', '.join(f'x{j % 3} * {j + 1}::DOUBLE / 10 AS y{j}' for j in range(10))} FROM ({ROWS_SQL})"
+_POINTS = oracle.Steps(_TEN_SQL, "price", TEN, "least_squares", "L2", 0.1, 0.1, 20)
+
+
+@query(
+    "score_literal_points",
+    f"""{_POINTS.recursion()}, last AS (SELECT * FROM w ORDER BY i DESC LIMIT 1)
+        SELECT 0 AS point, round({' + '.join(f'{j + 1}::DOUBLE * w{j}' for j in range(10))}, 5) AS prediction FROM last
+        UNION ALL SELECT 1, round({' + '.join(f'3::DOUBLE * w{j}' for j in range(10))}, 5) FROM last""",
+)
+def score_literal_points(spark, folder):
+    """A model of ten features from the table's rows, applied to the points 1..10 and ten 3s."""
+    wide = rows(spark, folder).select(
+        "price", *[(F.col(f"x{j % 3}") * float(j + 1) / 10).alias(f"y{j}") for j in range(10)]
+    )
+    model = descent.linear_regression(wide, "price", TEN, 20, 0.1, tolerance=0.0)
+    cells = [(0, *map(float, range(1, 11))), (1, *[3.0] * 10)]
+    points = spark.createDataFrame(cells, ["point", *TEN]).withColumn("point", F.col("point").cast("int"))
+    return points.select("point", rounded(descent.margin(TEN, model.weights), 5).alias("prediction"))
+
+
 TREE_SQL = """
     SELECT p_partkey, p_size::DOUBLE AS x,
            CASE WHEN p_brand IN ('Brand#1', 'Brand#3', 'Brand#5', 'Brand#7', 'Brand#11', 'Brand#13')
@@ -365,6 +447,22 @@ def sales_regression(spark, folder):
     return report.withColumn("rmse", rounded("rmse"))
 
 
+@query("sales_csv", oracle.holdout_regression_sql(SALES_SQL, "label", ["x0", "x1"], in_train_sql("l_orderkey")))
+def sales_csv(spark, folder):
+    """The sales job from a CSV file with more columns than it uses."""
+    path = scratch_path(spark, "sales")
+    table(spark, folder, "lineitem").select(
+        "l_linestatus",
+        F.when(F.col("l_returnflag") == "N", "NA").otherwise(F.col("l_quantity").cast("string")).alias("full_sq"),
+        F.col("l_extendedprice").alias("price_doc"),
+        (F.col("l_discount") * 100).alias("life_sq"),
+        "l_orderkey",
+    ).write.option("header", True).csv(path)
+    cells = read_csv_by_name(spark, path, ["l_orderkey", "price_doc", "full_sq", "life_sq"])
+    report = jobs.sales_regression(cells, "l_orderkey")
+    return report.withColumn("rmse", rounded("rmse"))
+
+
 @query(
     "svm_classification",
     oracle.holdout_svm_sql(

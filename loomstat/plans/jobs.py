@@ -30,7 +30,10 @@ def count_words(lines: DataFrame, text: str, folder: str, longer: int = 3) -> Da
     order = [F.col("n").desc(), F.col("word").asc()]
     line = F.concat(F.lit("("), F.col("n").cast("string"), F.lit(","), F.col("word"), F.lit(")"))
     write_text(counts.orderBy(*order), line, folder)
-    return top_k(counts, order, 10)
+    written = lines.sparkSession.read.text(folder)  # the words are counted once
+    cell = F.regexp_extract("value", r"^\((\d+),(.*)\)$", 1).cast("long")
+    word = F.regexp_extract("value", r"^\((\d+),(.*)\)$", 2)
+    return top_k(written.select(cell.alias("n"), word.alias("word")).select(*counts.columns), order, 10)
 
 
 def sales_rows(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

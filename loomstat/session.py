@@ -6,11 +6,16 @@ stages of a job goes below it, so a lost executor never takes the data with it.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_own_folders: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Return the folder named by the session; only a local master may fall back to its own disk."""
@@ -21,7 +26,8 @@ def shared_folder(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomstat-"))
+        _own_folders.append(tempfile.mkdtemp(prefix="loomstat-"))
+        sc.setCheckpointDir(_own_folders[-1])
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -32,6 +38,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for one written table, new on every call."""
-    return f"{shared_folder(spark)}/loomstat/{name}-{uuid.uuid4().hex}"
+    """A path for one written table, new on every call; what is there goes when the driver ends."""
+    path = f"{shared_folder(spark)}/loomstat/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
+def drop_scratch() -> None:
+    """Delete the tables written so far, as long as their session still runs."""
+    for spark, path in _written:
+        sc = spark.sparkContext
+        if sc._jsc is None or sc._jsc.sc().isStopped():
+            continue
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+    _written.clear()
+
+
+@atexit.register
+def _at_exit() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone first
+        drop_scratch()
+    for folder in _own_folders:
+        shutil.rmtree(folder, ignore_errors=True)

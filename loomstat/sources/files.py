@@ -60,10 +60,10 @@ def read_csv_by_name(
 ) -> DataFrame:
     """Text columns picked by their header names.
 
-    Rows that repeat the header's first cell are dropped wherever they stand, not only at the top
+    Every file must have the same columns in the same order; one that differs stops the job. Rows that repeat the header's first cell are dropped wherever they stand, not only at the top
     of a file.
     """
-    df = spark.read.option("header", True).option("escape", escape).csv(path)
+    df = spark.read.option("header", True).option("escape", escape).option("enforceSchema", False).csv(path)
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"no such column in the header: {', '.join(missing)}")
