@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from loomstat.llm.tables import row_hash
+
 # Cells of all period tables together; they are worked out on the driver and sent to every task.
 MAX_CELLS = 4_000_000
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 10_000
 
 
 def period(parts: Sequence[int]) -> list[list[int]]:
@@ -97,11 +99,11 @@ def mix(
     ``position``, which is distinct and rises along the mix. ``weights`` names the target share of
     each source; without it they are tempered row counts, and a source that it leaves out or puts at
     0 follows after all others, by row count. A null source is a source of its own. Within a source
-    rows are in the order of a hash of the key, equal keys by a hash of the row. An empty table gives
+    rows are in the order of the md5 of the key's text, equal keys by a hash of the row. An empty table gives
     no rows; an extra column cannot clash, as it stays within ``row``.
 
     Only counts per source reach the driver. A source of any size is numbered in hash buckets of
-    about 100,000 rows, so that none of them meets in one task.
+    about 10,000 rows, so that none of them meets in one task.
     """
     spark = docs.sparkSession
     body = row if row is not None else F.struct(F.col(key), F.col(source))
@@ -124,12 +126,13 @@ def mix(
     shape = T.StructType([T.StructField("s", T.StringType()), T.StructField("sid", T.IntegerType()), T.StructField("bits", T.IntegerType())])
     ids = F.broadcast(spark.createDataFrame([(s, i, bits[i]) for i, s in enumerate(names)], shape))
 
-    h = F.xxhash64(F.col(key).cast("string"), F.lit(17))
-    rows = docs.select(body.alias("row"), F.col(source).cast("string").alias("src"), h.alias("h"))
-    rows = rows.withColumn("tie", F.xxhash64(F.to_json("row")))
+    digits = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 15)
+    h = F.conv(digits, 16, 10).cast("long")  # 60 bits
+    tie = row_hash(docs).alias("tie")
+    rows = docs.select(body.alias("row"), F.col(source).cast("string").alias("src"), h.alias("h"), tie)
     known = rows.join(ids, F.col("src").eqNullSafe(F.col("s"))).drop("s", "src")
-    # the top bits of the hash, taken as a number from 0, cut a source into ranges of hash order
-    top = F.floor((F.shiftright("h", 32) + F.lit(1 << 31)) / F.pow(F.lit(2.0), 32 - F.col("bits"))).cast("long")
+    # the top bits of the hash cut a source into ranges of hash order
+    top = F.floor(F.shiftright("h", 30) / F.pow(F.lit(2.0), 30 - F.col("bits"))).cast("long")
     known = known.withColumn("bucket", top)
     per = known.groupBy("sid", "bucket").agg(F.count("*").alias("c"))
     before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -26,6 +26,39 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("row.doc_id", "row.source", "slot", "place", "position")
 
 
+SQL["op1_mixing"] = r"""
+WITH RECURSIVE c AS (
+  SELECT source AS s, count(*) AS c, (count(*) + 15) // 16 AS b FROM documents GROUP BY source
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY s IS NULL, s) AS i,
+         greatest(1, round(sqrt(c) / sum(sqrt(c)) OVER () * 1000))::BIGINT AS p
+  FROM c
+), k AS MATERIALIZED (
+  SELECT list(p ORDER BY i) AS ps, list(b ORDER BY i) AS bs, sum(b)::BIGINT AS n FROM p
+), w(t, start, done, gone, i, block) AS (
+  -- done: blocks taken in this phase, gone: in all; a phase ends when a source runs out
+  SELECT -1::BIGINT, 0::BIGINT, list_transform(ps, lambda x: 0::BIGINT),
+         list_transform(ps, lambda x: 0::BIGINT), 0::BIGINT, 0::BIGINT FROM k
+  UNION ALL
+  SELECT t, CASE WHEN out THEN t + 1 ELSE start END,
+         [CASE WHEN out THEN 0::BIGINT WHEN j = i THEN done[j] + 1 ELSE done[j] END for j in range(1, len(ps) + 1)],
+         [CASE WHEN j = i THEN gone[j] + 1 ELSE gone[j] END for j in range(1, len(ps) + 1)], i, gone[i]
+  FROM (SELECT *, gone[i] + 1 = bs[i] AS out FROM (
+    SELECT t + 1 AS t, start, done, gone, ps, bs, list_min([
+             {'d': ((done[j] + 1) * total + ps[j] - 1) // ps[j], 'j': j} for j in range(1, len(ps) + 1)
+             if gone[j] < bs[j] AND done[j] * total // ps[j] <= t + 1 - start]).j AS i
+    FROM (SELECT w.*, ps, bs, list_sum([ps[j] for j in range(1, len(ps) + 1) if gone[j] < bs[j]])::BIGINT AS total
+          FROM w, k WHERE t + 1 < n)))
+), d AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source
+           ORDER BY ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT, doc_id) - 1 AS r
+  FROM documents
+)
+SELECT doc_id, source, t AS slot, (r % 16)::INT AS place, t * 16 + r % 16 AS position
+FROM d JOIN p ON p.s IS NOT DISTINCT FROM d.source JOIN w ON w.t >= 0 AND w.i = p.i AND w.block = d.r // 16
+"""
+
+
 @query
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every text, learned from three of four documents."""

@@ -28,6 +28,15 @@ def packed(df: DataFrame, **more: Column) -> DataFrame:
     return df.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in more.items()])
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row; maps, which have no hash, are hashed as JSON."""
+    cells = []
+    for f in df.schema.fields:
+        cell = F.col(f"`{f.name}`")
+        cells.append(F.to_json(F.struct(cell)) if "map<" in f.dataType.simpleString() else cell)
+    return F.xxhash64(*cells)
+
+
 def unpacked(df: DataFrame) -> DataFrame:
     return df.select("row.*")
 
