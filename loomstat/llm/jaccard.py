@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from loomstat.llm.components import components
-from loomstat.llm.tables import BROADCAST_BYTES, small
+from loomstat.llm.tables import BROADCAST_BYTES, row_hash, small
 from loomstat.llm.words import mixed, shingle_hashes, slices, word_hashes
 from loomstat.session import scratch_path
 
@@ -172,18 +172,30 @@ class SimilarSets:
         return self.docs.select(self.text.alias("t")).mapInArrow(run, schema)
 
     def _postings(self) -> DataFrame:
-        """Lists of two rows or more: each row ``x`` beside the first row ``y`` of its list."""
+        """Lists of rows that may have a partner: each row ``x`` beside the first row ``y`` of its list.
+
+        In order of size, a row needs a neighbour before it within the threshold's factor, or one after
+        it that what is left of the row past this column can still match; else it has no partner in
+        the list. Most lists of rows that share a passage only end here. Parts of a long list are not
+        looked at alone and keep all their rows.
+        """
+        by_size = Window.partitionBy("g", "part").orderBy("n", "a", "b")
+        same = (F.lag("a").over(by_size) == F.col("a")) & (F.lag("b").over(by_size) == F.col("b"))
+        once = self._entries().withColumn("same", same).filter(~F.coalesce("same", F.lit(False))).drop("same")
+        before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+        n, t = F.col("n"), self.percent
+        beside = (before * 100 >= n * t) | ((n - F.col("p")) * (100 + t) >= (n + after) * t)
+        some = once.withColumn("beside", (F.col("parts") > 1) | F.coalesce(beside, F.lit(False))).filter("beside")
         row = F.struct("p", "n", "a", "b")
-        whole = Window.partitionBy("g", "part").orderBy("p", "n", "a", "b")
-        whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        lists = self._entries().select(
-            "g", "parts", row.alias("x"), F.first(row).over(whole).alias("y"), F.count("*").over(whole).alias("size")
-        )
-        return self._written(lists.filter((F.col("size") > 1) | (F.col("parts") > 1)).drop("size"), "lists")
+        first = F.min(row).over(Window.partitionBy("g", "part"))
+        return self._written(some.select("g", "parts", row.alias("x"), first.alias("y")), "lists")
 
     def _possible(self, pairs: DataFrame) -> DataFrame:
         """The pairs (xa, xb, ya, yb) that sizes and parities do not rule out."""
-        marks = self.rows.filter(F.col("n") > 0).select("a", "b", "n", "bits").dropDuplicates(["a", "b"])
+        ends = [pairs.select(F.col(f"{e}a").alias("a"), F.col(f"{e}b").alias("b")) for e in "xy"]
+        ends = self._written(ends[0].union(ends[1]).distinct(), "ends")
+        marks = self.rows.join(small(ends, ends.count(), 48), ["a", "b"], "left_semi")
+        marks = marks.select("a", "b", "n", "bits").dropDuplicates(["a", "b"])
         left, right = ([F.col(c).alias(f"{e}{c}") for c in ("a", "b", "n", "bits")] for e in "xy")
         both = pairs.join(marks.select(*left), ["xa", "xb"]).join(marks.select(*right), ["ya", "yb"])
         apart = F.zip_with("xbits", "ybits", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
@@ -253,16 +265,11 @@ class SimilarSets:
         home = tree.select(F.col("u.a").alias("ua"), F.col("u.b").alias("ub"), F.col("v").alias("home"))
         home = small(home, home.count(), 64)
         own = F.struct(F.col("x.a").alias("a"), F.col("x.b").alias("b"))
-        placed = lists.select("g", "x").join(
+        placed = lists.select("g", "parts", "x").join(
             home, (F.col("x.a") == F.col("ua")) & (F.col("x.b") == F.col("ub")), "left"
         )
-        placed = placed.select("g", "x", F.coalesce("home", own).alias("home")).distinct()
-        mixed_lists = placed.groupBy("g").agg(F.min("home").alias("lo"), F.max("home").alias("hi"))
-        mixed_lists = mixed_lists.filter(F.col("lo") != F.col("hi"))
-        # the rows of a list's largest component meet the others only, never each other
-        sizes = placed.join(mixed_lists.select("g"), "g").groupBy("g", "home").agg(F.count("*").alias("c"))
-        largest = sizes.groupBy("g").agg(F.max(F.struct("c", "home"))["home"].alias("main"))
-        dealt = self._written(placed.join(largest, "g"), "mixed")
+        placed = placed.select("g", "parts", "x", F.coalesce("home", own).alias("home"))
+        dealt = self._written(_with_main(placed), "mixed")
         minor = dealt.filter(F.col("home") != F.col("main"))
         one = minor.select("g", F.col("x").alias("x"), F.col("home").alias("hx"))
         two = dealt.select("g", F.col("x").alias("y"), F.col("home").alias("hy"), (F.col("home") == F.col("main")).alias("big"))
@@ -293,6 +300,26 @@ def _batch(columns: Sequence, schema: T.StructType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema.fieldNames())
 
 
+def _with_main(placed: DataFrame) -> DataFrame:
+    """The rows of lists with more than one ``home``, and ``main``, the home of most of a list's rows.
+
+    The rows of the main component meet the others only, never each other. A list in one part is of
+    bounded size, and its rows meet in a window; a list in several parts is counted first.
+    """
+    of_list, of_home = Window.partitionBy("g"), Window.partitionBy("g", "home")
+    short = placed.filter(F.col("parts") == 1).withColumns(
+        {"lo": F.min("home").over(of_list), "hi": F.max("home").over(of_list)}
+    )
+    short = short.filter(F.col("lo") != F.col("hi")).withColumn("c", F.count("*").over(of_home))
+    main = F.max(F.struct("c", "home")).over(of_list)["home"]
+    short = short.select("g", "x", "home", main.alias("main"))
+    long = placed.filter(F.col("parts") > 1)
+    counts = long.groupBy("g", "home").agg(F.count("*").alias("c"))
+    largest = counts.groupBy("g").agg(F.max(F.struct("c", "home"))["home"].alias("main"), F.count("*").alias("homes"))
+    largest = largest.filter(F.col("homes") > 1).drop("homes")
+    return short.union(long.join(largest, "g").select("g", "x", "home", "main"))
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     """Distinct pairs of different sets, each once."""
     x, y = F.struct("x.a", "x.b"), F.struct("y.a", "y.b")
@@ -328,8 +355,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     It is the one with the least key (nulls last), then the least hash of its columns; of rows equal
     in all columns one stays too. Rows without a word form no groups and all stay.
     """
-    print_ = F.xxhash64(F.to_json(F.struct("*")))
-    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), print_.alias("print"))
+    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), row_hash(docs).alias("print"))
     join = SimilarSets(docs, {"rank": rank}, F.col(text), word_shingles(size), percent)
     found = join._written(join.components(), "groups")
     lost = found.filter((F.col("n") > 0) & (F.col("rank") != F.col("least"))).select("rank").distinct()
