@@ -11,8 +11,9 @@ overlap of ``t / (1 + t) * (|x| + |y|)``, and sizes within a factor of t.
 * In each list every row meets the list's first row (the one with the fewest rarer columns); a pair
   is dropped if what both have left after this column cannot reach the bound. For the others the
   second block, all columns of the two rows, gives the exact overlap. This links each list's star.
-  Before the rows are fetched, 1024 parities of each row's columns are compared: two rows differ in
-  at least as many columns as parities, which rules out nearly all pairs that only share a passage.
+  Before the rows are fetched, parities of each row's columns (1024 bits, more for long rows) are
+  compared: two rows differ in at least as many columns as parities, which rules out nearly all pairs
+  that only share a passage.
 * A second round takes the lists whose rows are still in different components, and multiplies only
   across components. After it every pair over the threshold is linked or already connected, so the
   components are exact, and a group of m near copies costs about m products, not m * m.
@@ -68,12 +69,24 @@ def gram_sets(texts: pa.Array, grams: Grams) -> tuple[np.ndarray, np.ndarray, np
 
 
 def parities(flat: np.ndarray, begins: np.ndarray) -> pa.Array:
-    """For each set 1024 bits: whether an odd number of its hashes fall on each, as 16 longs."""
-    docs, doc = len(begins) - 1, np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-    cell = doc * 1024 + (mixed(flat) >> np.uint64(54)).astype(np.int64)
-    odd = (np.bincount(cell, minlength=docs * 1024) & 1).astype(np.uint8)
-    longs = np.packbits(odd).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.arange(docs + 1) * 16, pa.int32()), pa.array(longs))
+    """Each set's parity bits as longs: whether an odd number of its hashes fall on each bit.
+
+    There are 1024 bits, doubled until they are half as many as the hashes. Halves of a longer row
+    of bits, combined by XOR, are the bits of half the length.
+    """
+    n = np.diff(begins)
+    longs = 16 << np.ceil(np.log2(np.maximum(n / 2048, 1))).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(longs)])
+    width = np.repeat((longs * 64 - 1).astype(np.uint64), n)
+    cell = np.repeat(ends[:-1] * 64, n) + (mixed(flat) & width).astype(np.int64)
+    odd = (np.bincount(cell, minlength=ends[-1] * 64) & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.packbits(odd).view(np.int64)))
+
+
+def _folded(bits: str, longs: Column) -> Column:
+    """Parity bits at the length of the shorter of two rows, whose lengths differ twofold at most."""
+    halves = F.zip_with(F.slice(bits, F.lit(1), longs), F.slice(bits, longs + 1, longs), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(bits) == longs, F.col(bits)).otherwise(halves)
 
 
 def _bucket(flat: np.ndarray) -> np.ndarray:
@@ -198,7 +211,9 @@ class SimilarSets:
         marks = marks.select("a", "b", "n", "bits").dropDuplicates(["a", "b"])
         left, right = ([F.col(c).alias(f"{e}{c}") for c in ("a", "b", "n", "bits")] for e in "xy")
         both = pairs.join(marks.select(*left), ["xa", "xb"]).join(marks.select(*right), ["ya", "yb"])
-        apart = F.zip_with("xbits", "ybits", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
+        longs = F.least(F.size("xbits"), F.size("ybits"))
+        sides = _folded("xbits", longs), _folded("ybits", longs)
+        apart = F.zip_with(*sides, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
         apart = F.aggregate(apart, F.lit(0).cast("long"), lambda total, n: total + n)
         size = F.col("xn") + F.col("yn")
         # the overlap is at most (size - apart) / 2
