@@ -1,5 +1,6 @@
 import hashlib
 import random
+from itertools import islice
 
 from pyspark.sql import functions as F
 
@@ -10,9 +11,10 @@ def plain_set(text):
     ws = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).split()
     out = set()
     for i, w in enumerate(ws):
-        tail = [x for x in ws[i + 1 :] if x not in S.ANCHORS][: S.CHAIN]
-        if w in S.ANCHORS and len(tail) == S.CHAIN:
-            out.add((w, *tail))
+        if w in S.ANCHORS:
+            tail = list(islice((x for x in islice(ws, i + 1, None) if x not in S.ANCHORS), S.CHAIN))
+            if len(tail) == S.CHAIN:
+                out.add((w, *tail))
     return out or ({tuple(ws)} if ws else set())
 
 
