@@ -145,20 +145,18 @@ def fit(
         return ToxicityModel(np.zeros(BUCKETS), 50.0 if len(texts) and y.sum() else -50.0)
     b = bags(texts)
     n, m = len(b.passage_of_word), len(b.text_of_passage)
-    # equal words share their n-grams: work on distinct words
-    buckets, words = (np.concatenate(x) for x in zip(*b.grams()))
-    order = np.argsort(words, kind="stable")
-    buckets, words = buckets[order], words[order]
-    sign = np.bincount(words, (buckets * 2.0 + 1.0) ** 1.5 % 1000003.0, n)  # equal words, equal sums
-    _, one, kind = np.unique(sign, return_index=True, return_inverse=True)
-    chosen = np.zeros(n, bool)
-    chosen[one] = True
-    take = chosen[words]
-    used, gram = np.unique(buckets[take], return_inverse=True)
+    # equal words share their n-grams, which are taken from the distinct words alone
+    names = [w for w in b.chars.tobytes().decode("utf-32-le", "surrogatepass").split("\0") if w]
+    distinct = sorted(set(names))
+    place = {w: i for i, w in enumerate(distinct)}
+    kind = np.fromiter((place[w] for w in names), np.int64, n)
+    del names, place
+    buckets, words = (np.concatenate(x) for x in zip(*bags(distinct).grams()))
+    used, gram = np.unique(buckets, return_inverse=True)
     fresh = np.ones(n, bool)
     fresh[1:] = kind[1:] != kind[:-1]
-    to_word = Sums(gram, kind[words[take]], len(used), len(one), mean=True)
-    to_passage = Sums(kind[fresh], b.passage_of_word[fresh], len(one), m)
+    to_word = Sums(gram, words, len(used), len(distinct), mean=True)
+    to_passage = Sums(kind[fresh], b.passage_of_word[fresh], len(distinct), m)
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     table = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
     soft = rng.normal(0, 0.5, (DIM, 2))
