@@ -71,11 +71,12 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 TOXIC_SAMPLE = {0: 2_000, 1: 1_000}
+TOXIC_CHARS = 10_000_000
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
     """Learned from a bounded sample of the labelled documents outside the held-out fold."""
-    rows = toxicity.training_rows(docs, labels, lambda key: fold(key, 5) != 0, TOXIC_SAMPLE, max_chars=2_500)
+    rows = toxicity.training_rows(docs, labels, lambda key: fold(key, 5) != 0, TOXIC_SAMPLE, TOXIC_CHARS)
     return toxicity.fit_rows(rows)
 
 

@@ -4,9 +4,11 @@ A word is the bag of its character n-grams, begin and end marked, so a misspelt
 word shares most vectors with the word it comes from. A passage of 16 words is the average of its
 words' embeddings, where an immediate repeat and a missing word count as zero vectors; a softmax over
 (clean, toxic) turns the average into the passage's probability.
-A document is toxic if any of its passages is: ``1 - prod(1 - p)``. A few insults thus weigh the same
-in a short and in a very long text, where an average over the whole text would drown them. Embeddings
-and softmax weights are trained together through that product by Adam on all sampled documents.
+A document is toxic if any of its passages is, so it scores as its worst passage. A few insults thus
+weigh the same in a short and in a very long text, where an average over the whole text would drown
+them, and neutral passages add nothing, however many there are. Embeddings and softmax weights are
+trained together through the smooth form ``1 - prod(1 - p)`` by Adam on all sampled documents, which
+are of all lengths.
 """
 
 from __future__ import annotations
@@ -45,6 +47,11 @@ def _chars(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(word, u, 0).astype(np.uint32), first
 
 
+def _words(text: str) -> list[str]:
+    chars = _chars([text])[0]
+    return [w for w in chars.tobytes().decode("utf-32-le", "surrogatepass").split("\0") if w]
+
+
 @dataclass
 class Bags:
     """Words and passages of some texts; ``grams`` yields (bucket, word) arrays per n-gram length."""
@@ -75,15 +82,16 @@ def bags(texts: Sequence[str]) -> Bags:
     word_of = np.cumsum(begins) - 1
     words_before = np.searchsorted(np.flatnonzero(begins), first)
     n_words = np.diff(words_before)
+    return Bags(chars, word_of, *_passages(n_words))
+
+
+def _passages(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's passage and each passage's text, from the texts' numbers of words."""
     n_passages = -(-n_words // PASSAGE)
     passage_start = np.concatenate([[0], np.cumsum(n_passages)])
+    words_before = np.concatenate([[0], np.cumsum(n_words)])
     rank = np.arange(n_words.sum()) - np.repeat(words_before[:-1], n_words)
-    return Bags(
-        chars,
-        word_of,
-        np.repeat(passage_start[:-1], n_words) + rank // PASSAGE,
-        np.repeat(np.arange(len(texts)), n_passages),
-    )
+    return np.repeat(passage_start[:-1], n_words) + rank // PASSAGE, np.repeat(np.arange(len(n_words)), n_passages)
 
 
 @dataclass
@@ -105,8 +113,9 @@ class ToxicityModel:
         fresh = np.ones(n, bool)
         fresh[1:] = (pull[1:] != pull[:-1]) | (count[1:] != count[:-1])
         mean = np.bincount(b.passage_of_word, pull * fresh, m) / PASSAGE
-        clean = -np.logaddexp(0.0, mean + self.bias)
-        return -np.expm1(np.bincount(b.text_of_passage, clean, len(texts)))
+        worst = np.zeros(len(texts))
+        np.maximum.at(worst, b.text_of_passage, np.exp(-np.logaddexp(0.0, -mean - self.bias)))
+        return worst
 
 
 class Sums:
@@ -124,8 +133,8 @@ class Sums:
     def _sum(self, values: np.ndarray, way: int) -> np.ndarray:
         other, at, first, size = self.ways[way]
         out = np.zeros((size, values.shape[1]), np.float32)
-        if len(at):
-            out[at] = np.add.reduceat(values[other], first, axis=0)
+        for c in range(values.shape[1] if len(at) else 0):  # one column at a time is far faster
+            out[at, c] = np.add.reduceat(np.ascontiguousarray(values[:, c])[other], first)
         return out
 
     def forward(self, values: np.ndarray) -> np.ndarray:
@@ -143,20 +152,22 @@ def fit(
     y = np.asarray(toxic, float)
     if not len(texts) or not 0 < y.sum() < len(y):  # nothing to tell apart
         return ToxicityModel(np.zeros(BUCKETS), 50.0 if len(texts) and y.sum() else -50.0)
-    b = bags(texts)
-    n, m = len(b.passage_of_word), len(b.text_of_passage)
     # equal words share their n-grams, which are taken from the distinct words alone
-    names = [w for w in b.chars.tobytes().decode("utf-32-le", "surrogatepass").split("\0") if w]
-    distinct = sorted(set(names))
-    place = {w: i for i, w in enumerate(distinct)}
-    kind = np.fromiter((place[w] for w in names), np.int64, n)
-    del names, place
+    place: dict[str, int] = {}
+    kinds = [np.array([place.setdefault(w, len(place)) for w in _words(t)], np.int64) for t in texts]
+    passage_of_word, text_of_passage = _passages(np.array([len(k) for k in kinds]))
+    n, m = len(passage_of_word), len(text_of_passage)
+    distinct = sorted(place)
+    order = np.empty(len(distinct), np.int64)
+    order[[place[w] for w in distinct]] = np.arange(len(distinct))
+    kind = order[np.concatenate(kinds)]
+    del kinds, place
     buckets, words = (np.concatenate(x) for x in zip(*bags(distinct).grams()))
     used, gram = np.unique(buckets, return_inverse=True)
     fresh = np.ones(n, bool)
     fresh[1:] = kind[1:] != kind[:-1]
     to_word = Sums(gram, words, len(used), len(distinct), mean=True)
-    to_passage = Sums(kind[fresh], b.passage_of_word[fresh], len(distinct), m)
+    to_passage = Sums(kind[fresh], passage_of_word[fresh], len(distinct), m)
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     table = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
     soft = rng.normal(0, 0.5, (DIM, 2))
@@ -167,9 +178,9 @@ def fit(
         logits = passage @ soft + bias
         z = logits[:, 1] - logits[:, 0]
         p = 1 / (1 + np.exp(-z.clip(-60, 60)))
-        clean = np.bincount(b.text_of_passage, -np.logaddexp(0.0, z), len(y))
+        clean = np.bincount(text_of_passage, -np.logaddexp(0.0, z), len(y))
         odds = np.exp(clean) / np.maximum(-np.expm1(clean), 1e-12)
-        dz = p * np.where(y > 0, -odds * weight, weight)[b.text_of_passage]
+        dz = p * np.where(y > 0, -odds * weight, weight)[text_of_passage]
         back = np.stack([-dz, dz], axis=1)
         d_soft, d_bias = passage.T @ back, back.sum(0)
         d_passage = (back @ soft.T / PASSAGE).astype(np.float32)
@@ -198,7 +209,7 @@ def _parts(text: str) -> list[str]:
 def score_texts(model: ToxicityModel, texts: Sequence[str | None]) -> np.ndarray:
     """Scores of any number of texts of any length, in pieces of bounded size; 0 for null and empty."""
     parts = [(i, part) for i, t in enumerate(texts) if t for part in _parts(t)]
-    clean = np.zeros(len(texts))
+    worst = np.zeros(len(texts))
     at = 0
     while at < len(parts):
         size, to = 0, at
@@ -206,9 +217,9 @@ def score_texts(model: ToxicityModel, texts: Sequence[str | None]) -> np.ndarray
             size += len(parts[to][1])
             to += 1
         found = model.score([p for _, p in parts[at:to]])
-        np.add.at(clean, [i for i, _ in parts[at:to]], np.log1p(-np.minimum(found, 1 - 1e-15)))
+        np.maximum.at(worst, [i for i, _ in parts[at:to]], found)
         at = to
-    return -np.expm1(clean)
+    return worst
 
 
 def training_rows(
@@ -216,28 +227,42 @@ def training_rows(
     labels: DataFrame,
     usable: Callable[[str], Column],
     per_class: dict[int, int],
-    max_chars: int,
+    total_chars: int,
     key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
 ) -> list[tuple[str, int]]:
-    """Whole labelled texts, at most ``per_class`` of each label and up to ``max_chars`` characters.
+    """Whole labelled texts of any length, at most ``per_class`` of each label.
 
-    Per class those with the smallest hashes of ``key`` are taken: ids are ranked first, a bounded
-    number of them is sent to the executors, and one pass picks their texts. A key with several
-    labels counts as toxic if any of them says so. Null keys, labels and texts are left out.
+    Per class they are those with the smallest hashes of ``key``, as many as fit into the class's share
+    of ``total_chars``; a text that no longer fits is passed over, and the next one tried. Ids are
+    ranked first, a bounded number of them is sent to the executors, and one pass measures their
+    texts, another picks them. A key with several labels counts as toxic if any of them says so. Null
+    keys, labels and texts are left out.
     """
     named = labels.select(F.col(key).alias("i"), F.col(label).cast("int").alias("y"))
     known = named.filter(usable("i") & F.col("i").isNotNull() & F.col("y").isin(0, 1))
     one = known.groupBy("i").agg(F.max("y").alias("y"))
-    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64(F.col("i").cast("string")), "i"))
+    hashed = F.xxhash64(F.col("i").cast("string")).alias("h")
+    place = F.row_number().over(Window.partitionBy("y").orderBy("h", "i"))
     most = F.when(F.col("y") == 1, per_class[1]).otherwise(per_class[0])
-    top = one.withColumn("n", place).filter(F.col("n") <= max(per_class.values())).filter(F.col("n") <= most)
-    body = docs.select(F.col(key).alias("i"), F.col(text).alias("t"))
-    body = body.filter(F.col("t").isNotNull() & (F.length("t") <= max_chars))
-    found = body.join(F.broadcast(top.select("i", "y")), "i").select("y", "t")
-    rows = sorted({(r["t"], r["y"]) for r in found.limit(4 * sum(per_class.values())).collect()})
-    return rows
+    top = one.select("i", "y", hashed).withColumn("n", place)
+    top = top.filter(F.col("n") <= max(per_class.values())).filter(F.col("n") <= most)
+    body = docs.select(F.col(key).alias("i"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
+    found = body.join(F.broadcast(top), "i")
+    limit = 4 * sum(per_class.values())
+    sizes = found.groupBy("y", "n", "i").agg(F.max(F.length("t")).alias("c")).orderBy("y", "n").limit(limit).collect()
+    left = {y: total_chars * n // max(1, sum(per_class.values())) for y, n in per_class.items()}
+    chosen = []
+    for r in sizes:
+        if r["c"] <= left[r["y"]]:
+            left[r["y"]] -= r["c"]
+            chosen.append((r["i"], r["y"]))
+    if not chosen:
+        return []
+    picked = docs.sparkSession.createDataFrame(chosen, found.select("i", "y").schema)
+    rows = body.join(F.broadcast(picked), "i").select("y", "t")
+    return sorted({(r["t"], r["y"]) for r in rows.limit(limit).collect()})
 
 
 def fit_rows(rows: Sequence[tuple[str, int]]) -> ToxicityModel:

@@ -62,3 +62,29 @@ def test_odd_rows(spark, odd, none, model):
     found = X.training_rows(odd, labels, lambda k: F.lit(True), {0: 5, 1: 5}, 10_000)
     assert sorted(y for _, y in found) == [0, 0, 1]
     assert X.training_rows(none, labels, lambda k: F.lit(True), {0: 5, 1: 5}, 10_000) == []
+
+
+def test_long_clean_texts_stay_clean_and_long_texts_with_a_few_insults_do_not():
+    texts, marks = corpus(2400, 1)
+    clean = [t for t, y in zip(texts, marks) if not y]
+    joined = [" ".join(clean[i:1000:40]) for i in range(40)]  # some 2,700 words each
+
+    def insulted(t):
+        return t[: len(t) // 2] + " zorkface quizzle xyloscum " + t[len(t) // 2 :]
+
+    sample = [*texts[:600], *joined[10:], *map(insulted, joined[:10])]
+    model = X.fit(sample, [*marks[:600], *[0] * 30, *[1] * 10])
+    long = [" ".join(clean[1000 + i :: 4]) for i in range(4)]
+    assert min(len(t.split()) for t in long) > 15_000
+    assert X.score_texts(model, long).max() < 0.5
+    assert X.score_texts(model, [insulted(t) for t in long]).min() >= 0.5
+
+
+def test_training_draws_texts_of_all_lengths(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " + "word " * (i % 10) * 400) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = X.training_rows(docs, labels, lambda k: F.lit(True), {0: 20, 1: 20}, 1_000_000)
+    assert len(rows) == 40 and max(len(t) for t, _ in rows) > 15_000
+    few = X.training_rows(docs, labels, lambda k: F.lit(True), {0: 20, 1: 20}, 100_000)
+    assert sum(len(t) for t, _ in few) <= 100_000 and {y for _, y in few} == {0, 1}
+    assert max(len(t) for t, _ in few) > 2_500
