@@ -23,7 +23,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents interleaved by source, at weights between their own shares and equal ones."""
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    return mixing.mix(docs).select("row.doc_id", "row.source", "slot", "place", "position")
+    return mixing.mix(docs, resolution=1000).select("row.doc_id", "row.source", "slot", "place", "position")
 
 
 SQL["op1_mixing"] = r"""

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from fractions import Fraction
 
@@ -58,3 +59,34 @@ def test_named_weights_and_odd_rows(odd, none):
     rest = [r["source"] for r in rows if r["source"] not in ("a", "b")]
     assert [r["source"] for r in rows[-len(rest) :]] == rest  # no weight: after the others
     assert M.mix(none).collect() == []
+
+
+def test_line_equals_phases():
+    rng = random.Random(3)
+    for _ in range(60):
+        n = rng.randrange(1, 9)
+        parts, blocks = [rng.randrange(1, 7) for _ in range(n)], [rng.randrange(0, 30) for _ in range(n)]
+        found = {}
+        for i, a, b, start, p, cycle, slots in M.phases(parts, blocks):
+            found |= {start + (k - a) // p * cycle + slots[(k - a) % p]: (i, k) for k in range(a, b)}
+        assert list(M.line(parts, blocks)) == [found[t] for t in range(sum(blocks))]
+
+
+def test_thousands_of_sources_keep_all_rows_and_the_same_order(spark, monkeypatch):
+    docs = spark.range(6_000).selectExpr("id as doc_id", "'s' || id % 3000 as source")
+    rows = M.mix(docs, block_rows=1, resolution=1000).select("row.*", "position").collect()
+    assert len(rows) == 6_000 and sorted(r["position"] for r in rows) == list(range(6_000))
+    few = spark.range(900).selectExpr("id as doc_id", "case when id % 3 = 0 then null else 's' || id % 7 end as source")
+    weights = {"s1": 5, "s2": 1, None: 3}
+    plain = {tuple(r) for r in M.mix(few, weights=weights, block_rows=4).select("row.doc_id", "position").collect()}
+    monkeypatch.setattr(M, "MAX_CELLS", 1)
+    monkeypatch.setattr(M, "LINE_ROWS", 7)
+    assert plain == {tuple(r) for r in M.mix(few, weights=weights, block_rows=4).select("row.doc_id", "position").collect()}
+
+
+def test_a_large_source_keeps_its_weight_beside_thousands_of_small_ones(spark):
+    docs = spark.range(6_000).selectExpr("id as doc_id", "case when id < 2000 then 'hot' else 's' || id % 2000 end as source")
+    weights = {"hot": 1000.0} | {f"s{i}": 1.0 for i in range(2000)}
+    rows = M.mix(docs, weights=weights, block_rows=1).select("row.source", "position").collect()
+    head = [r["source"] for r in rows if r["position"] < 600]
+    assert len(rows) == 6_000 and len(head) == 600 and abs(head.count("hot") - 200) <= 1
