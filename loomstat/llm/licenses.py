@@ -10,10 +10,11 @@ where half of a template's telling words (no function words) occur within about
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -153,26 +154,85 @@ class Scanner:
                 found += self._best(name, spans, low, high)
         found.sort(key=lambda m: (-m.coverage * len(self.words[m.license]), -m.coverage, m.start, m.license))
         kept: list[Match] = []
+        taken: list[tuple[int, int]] = []
         for m in found:
-            if all(m.end <= k.start or m.start >= k.end for k in kept):
+            at = bisect_left(taken, (m.start, m.end))
+            if (not at or taken[at - 1][1] <= m.start) and (at == len(taken) or m.end <= taken[at][0]):
+                taken.insert(at, (m.start, m.end))
                 kept.append(m)
         return kept
 
     def _best(self, name: str, spans: list[tuple[str, int, int]], low: int, high: int) -> list[Match]:
-        """Alignments within a stretch of the text: the best one, and those beside it."""
-        out, size = [], len(self.words[name])
-        work = [(low, high)]
+        """All matches within a stretch of the text that do not overlap.
+
+        A stretch is aligned as a whole, and again what lies left and right of a match, until no match
+        is left. Notices in a row leave no word unique, so where the whole gives none, or one drawn
+        out over more than 1.5 template lengths, windows of about one notice's length are aligned.
+        """
+        words, size = self.words[name], len(self.words[name])
+        text = [w for w, _, _ in spans[low:high]]
+        own = set(words)
+        before = list(accumulate((w in own for w in text), initial=0))
+        found: set[tuple[int, int, int]] = set()
+        work = [(0, len(text))]
         while work:
-            low, high = work.pop()
-            if high - low > 2 * size:  # several copies in a row would leave no word unique: halves that overlap
-                middle = (low + high) // 2
-                work += [(low, middle + size // 2), (middle - size // 2, high)] if high - low > 3 * size else []
-            pairs = align(self.words[name], [w for w, _, _ in spans[low:high]])
-            pairs = _dense(pairs, size)
-            if len(pairs) >= self.least * size:
-                a, b = low + pairs[0][1], low + pairs[-1][1]
-                out.append(Match(name, len(pairs) / size, spans[a][1], spans[b][2]))
-        return out
+            a, b = work.pop()
+            if before[b] - before[a] < self.least * size:
+                continue
+            match = self._match(name, text, a, b)
+            if b - a > 16 * size:  # halves that share more than the longest window
+                middle = (a + b) // 2
+                work += [(a, middle + 3 * size), (middle - 3 * size, b)]
+                found |= {match} if match else set()
+                continue
+            new = [match] if match else []
+            if not match or match[1] - match[0] > 1.5 * size:
+                new = _apart([*new, *self._swept(name, text, before, a, b)], size)
+            found.update(new)
+            edges = [a, *(x for m in sorted(new) for x in m[:2]), b]
+            work += list(zip(edges[::2], edges[1::2])) if new else []
+        return [Match(name, n / size, spans[low + a][1], spans[low + b - 1][2]) for a, b, n in _apart(found, size)]
+
+    def _match(self, name: str, text: list[str], a: int, b: int) -> tuple[int, int, int] | None:
+        """First word, end and number of matched words of the alignment with ``text[a:b]``, if enough."""
+        size = len(self.words[name])
+        pairs = _dense(align(self.words[name], text[a:b]), size)
+        return (a + pairs[0][1], a + pairs[-1][1] + 1, len(pairs)) if len(pairs) >= self.least * size else None
+
+    def _swept(self, name: str, text: list[str], before: list[int], a: int, b: int) -> list[tuple[int, int, int]]:
+        """Matches of windows, each size of them for notices of 0.88 to 1.5 times a length that grows by half."""
+        size, out = len(self.words[name]), []
+        for scale in (1.0, 1.5, 2.25):
+            width = int(1.75 * scale * size)
+            step = max(1, width // 7)
+            for at in range(a, max(a, b - width) + step, step):
+                to = min(at + width, b)
+                if before[to] - before[min(at, to)] >= self.least * size:
+                    out.append(self._match(name, text, at, to))
+        return [m for m in out if m]
+
+
+def _apart(found: Iterable[tuple[int, int, int]], size: int) -> list[tuple[int, int, int]]:
+    """Of (first, end, matched words) those that do not overlap: the fullest and shortest first.
+
+    One drawn out over more than 1.5 template lengths comes first only if it meets fewer than two others.
+    """
+    order = sorted(found, key=lambda m: (-m[2], m[1] - m[0], m))
+    short = _free([m for m in order if m[1] - m[0] <= 1.5 * size])
+    starts, ends = [m[0] for m in short], [m[1] for m in short]
+    drawn = [m for m in order if m[1] - m[0] > 1.5 * size]
+    drawn = [m for m in drawn if bisect_left(starts, m[1]) - bisect_right(ends, m[0]) < 2]
+    return _free(sorted([*short, *drawn], key=lambda m: (-m[2], m[1] - m[0], m)))
+
+
+def _free(order: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Those that overlap none taken before, by place."""
+    kept: list[tuple[int, int, int]] = []
+    for m in order:
+        at = bisect_left(kept, m)
+        if (not at or kept[at - 1][1] <= m[0]) and (at == len(kept) or m[1] <= kept[at][0]):
+            kept.insert(at, m)
+    return kept
 
 
 def _dense(pairs: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:

@@ -42,6 +42,22 @@ def test_every_template_is_found_whole_and_damaged():
     assert len(scanner.scan((L.TEMPLATES["MIT"] + "\nwords between here and there. " * 3) * 2)) == 2
 
 
+def test_notices_in_a_row_are_all_found():
+    scanner = L.Scanner()
+    for name, text in L.TEMPLATES.items():
+        size = len(L.WORD.findall(text.lower()))
+        for n in (2, 3, 4, 7, 40):
+            for head, tail in ((0, size), (size, size), (size, 0), (3 * size, 5 * size)):
+                body = "before " * head + (text + " ") * n + "after " * tail
+                found = scanner.scan(body)
+                assert [m.license for m in found] == [name] * n and all(m.coverage == 1 for m in found)
+        if size > 30:
+            hurt = text.split()
+            del hurt[20]
+            hurt.insert(7, "extra")
+            assert len(scanner.scan("before " * size + (" ".join(hurt) + " ") * 5 + "after " * size)) == 5
+
+
 def test_odd_rows(spark, odd, none):
     extra = spark.createDataFrame([(500, L.TEMPLATES["GPL-3.0"].lower())], "doc_id long, text string")
     rows = L.scan(odd.select("doc_id", "text").union(extra)).collect()
