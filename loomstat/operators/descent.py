@@ -128,8 +128,6 @@ def descend(
     one step's sample holds a row, the share is too small for the table, and an error says so.
     """
     update = UPDATERS[updater] if isinstance(updater, str) else updater
-    used = [features] if isinstance(features, str) else list(features)
-    rows = rows.dropna(subset=[label, *used])  # once, so that every way of summing sees the same rows
     if batch_share < 1.0 and batch_key is None:
         raise ValueError("a sample per step needs batch_key")
     steps = (step_size, num_iterations, reg_param, tolerance)
@@ -139,15 +137,20 @@ def descend(
     if isinstance(features, str):
         if not isinstance(gradient, LinearGradient):
             raise ValueError("a vector column needs a linear gradient")
-        with held(rows.select(*columns, F.col(features).alias("_x"))) as data:
+        with held(rows.select(*columns, F.col(features).alias("_x"))) as kept:
+            data = kept.dropna(subset=["_label", "_x"])
             width = len(initial) if initial is not None else _width(data)
             weights = np.array(initial if initial is not None else [0.0] * width, dtype=float)
             return _sampled(_loop(_from_vectors(data, gradient, batch_share), update, weights, *steps), batch_share)
     weights = np.array(initial if initial is not None else [0.0] * len(features), dtype=float)
     if gradient is least_squares and batch_share >= 1.0 and len(features) <= GRAM_LIMIT:
-        return _loop(_from_products(rows, label, features), update, weights, *steps)
-    columns += [F.col(f).cast("double").alias(f"_x{j}") for j, f in enumerate(features)]
-    with held(rows.select(*columns)) as data:
+        complete = rows.dropna(subset=[label, *features])
+        return _loop(_from_products(complete, label, features), update, weights, *steps)
+    named = [f"_x{j}" for j in range(len(features))]
+    columns += [F.col(f).cast("double").alias(x) for f, x in zip(features, named)]
+    with held(rows.select(*columns)) as kept:
+        # filtered after they are held: a filter below would be worked out on the features' definitions
+        data = kept.dropna(subset=["_label", *named])
         return _sampled(_loop(_from_rows(data, len(features), gradient, batch_share), update, weights, *steps), batch_share)
 
 

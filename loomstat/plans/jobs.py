@@ -15,6 +15,7 @@ from loomstat.functions import cast_or_default, log_label, number_text, strict_c
 from loomstat.operators import classify, descent, evaluate, recommend
 from loomstat.operators.features import assemble
 from loomstat.operators.ordering import top_k
+from loomstat.operators.partitions import held
 from loomstat.operators.relational import ratings_profile, word_count
 from loomstat.operators.sampling import in_share, split_by_key
 from loomstat.operators.series import FEATURES, array_features
@@ -100,11 +101,16 @@ def sales_regression(
 
 
 def _binary_report(scored: DataFrame, train: Column, report: Sequence[Column]) -> DataFrame:
-    """One row of counts and further measures, beside the two areas of the test rows."""
-    one = scored.agg(*_split_counts(train), *report)
-    found = one.collect()[0]
-    areas = evaluate.binary_areas(scored.filter(~train))
-    return areas.select(*[F.lit(found[c]).alias(c) for c in one.columns], "auc_roc", "auc_pr")
+    """One row of counts and further measures, beside the two areas of the test rows.
+
+    The scores are worked out once and kept on the executors for the passes over them.
+    """
+    with held(scored) as kept:
+        one = kept.agg(*_split_counts(train), *report)
+        found = one.first()
+        areas = evaluate.binary_areas(kept.filter(~train))
+        cells = [*zip(one.schema, found), *zip(areas.schema, areas.first())]
+    return scored.sparkSession.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in cells])
 
 
 def svm_classification(

@@ -173,8 +173,8 @@ def test_implicit_recommender_job(ratings):
 
 
 def test_series_job(spark):
-    flat = [(i, 0.0, [10.0 + (j * i) % 3 for j in range(21)]) for i in range(60)]
-    spiky = [(100 + i, 1.0, [10.0 + (500.0 if j == i % 21 else (j * i) % 3) for j in range(21)]) for i in range(40)]
+    flat = [(i, 0.0, [10.0 + (j * i) % 3 for j in range(64)]) for i in range(60)]
+    spiky = [(100 + i, 1.0, [10.0 + (500.0 if j == i % 64 else (j * i) % 3) for j in range(64)]) for i in range(40)]
     df = spark.createDataFrame(flat + spiky, "id int, label double, points array<double>")
     report = jobs.series_anomaly(df, "label", "points", "id").first()
     assert report["n_training"] + report["n_test"] == 100

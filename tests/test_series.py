@@ -86,3 +86,14 @@ def test_an_empty_array_has_no_features(spark):
     df = spark.createDataFrame([("e", [])], "s string, points array<double>")
     row = series.array_features(df, "points", ["s"]).first()
     assert row["n"] == 0 and row["ybar"] is None and row["slope"] is None
+
+
+def test_a_filter_on_array_features_costs_folds_in_proportion(spark):
+    df = spark.range(5).select("id", F.array(*[F.lit(float(i % 7)) for i in range(64)]).alias("points"))
+    featured = series.array_features(df, "points", ["id"])
+
+    def folds(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString().count("aggregate(")
+
+    one = folds(featured.select("id", "ybar", "largest_delta"))
+    assert folds(featured.dropna()) <= one * (1 + len(series.FEATURES))
