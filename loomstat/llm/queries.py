@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import jaccard, langid, licenses, mixing, packing, preference, rules, spotsigs, tokens, toxicity
+from loomstat.llm import audit, jaccard, langid, licenses, mixing, packing, preference, rules, spotsigs, tokens, toxicity
 from loomstat.llm.tables import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -265,3 +265,59 @@ SELECT conv_id, n_shared, prompt, chosen, rejected,
        CASE WHEN same THEN '' ELSE '0-' || length(rejected) END AS rejected_spans
 FROM p
 """
+
+
+@query
+def op13_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Five filters in every order, per language: what each step removes, and what each filter is worth."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return audit.audit(docs, table(spark, folder, "labels"))
+
+
+SQL["op13_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), least AS (
+  SELECT t, min(doc_id) AS first_id FROM d GROUP BY t
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, t, doc_id > first_id AS again,
+         regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w
+  FROM d JOIN least USING (t) LEFT JOIN marks USING (doc_id)
+), b AS (
+  SELECT part, good, toxic, map {
+    'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(again, false)} AS fails
+  FROM f
+), p AS (
+  SELECT part, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: fails[x]) AS fails, count(*) AS n,
+         count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM b GROUP BY ALL
+), l AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o
+  FROM l a JOIN l b ON b.x <> a.x JOIN l c ON c.x NOT IN (a.x, b.x)
+  JOIN l d ON d.x NOT IN (a.x, b.x, c.x) JOIN l e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), s AS (
+  SELECT part, o, step, o[step] AS filter, n, good, toxic,
+         list_contains(fails, o[step]) AS here, len(fails) AS many,
+         list_has_any(fails, o[1:step - 1]) AS earlier
+  FROM p, o, range(1, 6) AS r(step)
+), a AS (
+  SELECT part, array_to_string(o, '') AS filter_order, step, filter,
+         coalesce(sum(n) FILTER (NOT here AND NOT earlier), 0) AS kept,
+         coalesce(sum(n) FILTER (here AND NOT earlier), 0) AS removed,
+         coalesce(sum(n) FILTER (here AND earlier), 0) AS redundant,
+         coalesce(sum(n) FILTER (here AND many = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (here AND NOT earlier), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (here AND NOT earlier), 0) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley
+FROM a
+"""
