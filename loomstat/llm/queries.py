@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import audit, jaccard, langid, licenses, mixing, packing, preference, rules, spotsigs, tokens, toxicity
+from loomstat.llm import audit, jaccard, langid, licenses, mixing, packing, preference, rules, spotsigs, tokens, toxicity, whitening
 from loomstat.llm.tables import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -267,6 +267,16 @@ FROM p
 """
 
 
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the first sixteen whitening components of the distinct vectors.
+
+    A deviation beyond the longs is null; the operator gives it as a decimal.
+    """
+    found = whitening.whitened(table(spark, folder, "embeddings"), components=16)
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 @query
 def op13_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Five filters in every order, per language: what each step removes, and what each filter is worth."""
