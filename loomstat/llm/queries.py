@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import audit, jaccard, langid, licenses, mixing, packing, preference, rules, spotsigs, tokens, toxicity, whitening
+from loomstat.llm import audit, jaccard, langid, licenses, mixing, packing, preference, rules, spotsigs, tiles, tokens, toxicity, whitening
 from loomstat.llm.tables import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -277,6 +277,36 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
 
 
+@query
+def op12_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of embeddings whose cosine is nine tenths or more."""
+    return tiles.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"), threshold=0.9)
+
+
+SQL["op12_tiles"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), v AS (
+  SELECT r, e, list_dot_product(e, e) AS q FROM d
+  WHERE len(e) > 0 AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(e, lambda c: c <> 0)) > 0
+), l AS (
+  SELECT a.r AS x, b.r AS y FROM v a JOIN v b ON a.r <> b.r
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_dot_product(a.e, b.e) / sqrt(a.q * b.q) >= 0.9 ELSE false END
+), n AS (
+  SELECT x, count(*) AS n FROM l GROUP BY x
+), reach AS (
+  SELECT x, x AS y FROM n UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x
+), c AS (
+  SELECT x, min(vec_id) AS component_id FROM reach JOIN d ON d.r = reach.y GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0) AS n_links,
+       CASE WHEN n.x IS NULL THEN vec_id ELSE component_id END AS component_id,
+       CASE WHEN n.x IS NULL THEN true ELSE vec_id IS NOT DISTINCT FROM component_id END AS kept
+FROM d LEFT JOIN n ON n.x = d.r LEFT JOIN c ON c.x = d.r
+"""
+
+
 @query
 def op13_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Five filters in every order, per language: what each step removes, and what each filter is worth."""
