@@ -17,7 +17,7 @@ from loomstat.functions import (
 from loomstat.operators import relational
 from loomstat.operators.ordering import top_k, with_row_index
 from loomstat.operators.partitions import at_least_partitions
-from loomstat.operators.sampling import in_share
+from loomstat.operators.sampling import bottom_k, in_share
 from loomstat.plans.catalog.base import RATINGS_SQL, query, ratings, rounded, table
 
 WORDS_SQL = r"""
@@ -281,3 +281,14 @@ def split_80_20(spark, folder):
     return table(spark, folder, "orders").select(
         "o_orderkey", in_share(0.8, F.col("o_orderkey")).alias("training")
     )
+
+
+@query(
+    "sample_per_class",
+    """SELECT o_orderkey, o_orderstatus FROM orders
+       QUALIFY row_number() OVER (PARTITION BY o_orderstatus
+         ORDER BY concat('0x', substr(md5(o_orderkey::VARCHAR), 1, 13))::BIGINT, o_orderkey) <= 200""",
+)
+def sample_per_class(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    return bottom_k(orders, "o_orderkey", 200, by="o_orderstatus", tie=["o_orderkey"])
