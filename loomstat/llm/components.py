@@ -27,22 +27,22 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter(F.col("u") != F.col("v")).distinct()
 
 
-def components(links: DataFrame, max_steps: int = 100) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``(u, v)`` links to ``(u, v)`` rows that hang each node on the least node of its component.
 
     Nodes may be of any type with an order; the least node itself has no row. Self-links and repeated
-    links change nothing; an empty table gives an empty one. Every step is written to the checkpoint
+    links change nothing; an empty table gives an empty one. The steps go on until the edges are stars,
+    which they become after a number of steps that grows as the logarithm of the nodes. Every step is written to the checkpoint
     folder, so neither the plan nor what a lost executor costs grows with the number of steps.
     """
     ensure_checkpoint_dir(links.sparkSession)
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = down.filter(F.col("u") != F.col("v")).distinct().checkpoint()
     sign = None
-    for _ in range(max_steps):
+    while True:
         edges = _stars(_stars(edges, True), False).checkpoint()
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
         now = tuple(now.first())
         if now == sign:
             return edges
         sign = now
-    raise RuntimeError(f"components did not settle in {max_steps} steps")

@@ -15,13 +15,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from loomstat.llm.tables import map_texts
 from loomstat.llm.words import pieces, text_buffer
+from loomstat.operators.sampling import bottom_k, key_bucket
+from loomstat.session import scratch_path
 
 ORDER = 3
 START = 10  # a text begins as after line ends
@@ -135,32 +136,25 @@ def fit(texts: Sequence[tuple[str, str]]) -> PpmModel:
 
 
 def training_texts(
-    docs: DataFrame, usable: F.Column, text: str, lang: str, key: str, per_language: int, max_chars: int
+    docs: DataFrame, usable: Column, text: str, lang: str, key: str, per_language: int, max_chars: int
 ) -> list[tuple[str, str]]:
-    """At most ``per_language`` whole texts of each language, of up to ``max_chars`` characters.
+    """``per_language`` lower-cased texts of each language, of any length (fewer where there are fewer).
 
-    They are the usable rows with the smallest hashes of ``key``. Only hashes are ranked; texts are
-    read in one more pass that keeps rows below each language's cut.
+    They are the usable, non-empty texts with the smallest hashes of ``key``, of several texts of one key
+    the least. A text of more than ``max_chars`` characters gives a stretch of that length, from a place
+    that its hash chooses, so the sample is bounded and no length is left out. The same rows are
+    taken in every run, and no language is ranked in one task.
     """
-    rank = F.xxhash64(F.col(key).cast("string"))
-    known = usable & F.col(lang).isNotNull() & F.col(key).isNotNull()
-    short = docs.filter(known).select(F.col(lang).alias("l"), rank.alias("h"))
-    place = F.row_number().over(Window.partitionBy("l").orderBy("h"))
-    cuts = short.withColumn("n", place).filter(F.col("n") <= per_language).groupBy("l").agg(F.max("h").alias("h"))
-    cut = {r["l"]: r["h"] for r in cuts.collect()}
-    if not cut:
-        return []
-    below = F.create_map(*[F.lit(x) for pair in cut.items() for x in pair])[F.col(lang)]
-    body = F.lower(F.coalesce(F.col(text), F.lit("")))
-    fits = (rank <= below) & (F.length(F.col(text)) <= max_chars)
-    rows = docs.filter(known & fits).select(F.col(lang).alias("l"), body.alias("t"))
-    # repeated keys could tie at a cut: the bound holds for them too
-    kept, count = [], dict.fromkeys(cut, 0)
-    for r in sorted({(r["l"], r["t"]) for r in rows.limit(2 * per_language * len(cut)).collect()}):
-        if count[r[0]] < per_language and r[1]:
-            count[r[0]] += 1
-            kept.append((r[0], r[1]))
-    return kept
+    spark = docs.sparkSession
+    known = usable & F.col(lang).isNotNull() & F.col(key).isNotNull() & (F.col(text) != "")
+    named = docs.filter(known).select(F.col(lang).alias("l"), F.col(key).alias("i"), F.col(text).cast("string").alias("t"))
+    path = scratch_path(spark, "languages")
+    named.select("l", "i").distinct().write.parquet(path)
+    chosen = bottom_k(spark.read.parquet(path), "i", per_language, by="l", tie=["i"])
+    found = named.join(F.broadcast(chosen), ["l", "i"]).groupBy("l", "i").agg(F.min("t").alias("t"))
+    place = F.pmod(key_bucket(F.col("i")), F.greatest(F.length("t") - max_chars, F.lit(0)) + 1) + 1
+    stretch = F.lower(F.substring("t", place.cast("int"), F.lit(max_chars)))
+    return sorted((r["l"], r["t"]) for r in found.select("l", stretch.alias("t")).collect())
 
 
 def identify(docs: DataFrame, model: PpmModel, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:

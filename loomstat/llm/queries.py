@@ -70,8 +70,8 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-TOXIC_SAMPLE = {0: 2_000, 1: 1_000}
-TOXIC_CHARS = 10_000_000
+TOXIC_SAMPLE = {0: 3_000, 1: 1_500}
+TOXIC_CHARS = 20_000_000
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:

@@ -7,8 +7,8 @@ words' embeddings, where an immediate repeat and a missing word count as zero ve
 A document is toxic if any of its passages is, so it scores as its worst passage. A few insults thus
 weigh the same in a short and in a very long text, where an average over the whole text would drown
 them, and neutral passages add nothing, however many there are. Embeddings and softmax weights are
-trained together through the smooth form ``1 - prod(1 - p)`` by Adam on all sampled documents, which
-are of all lengths.
+trained together by Adam on all sampled documents, which are of all lengths: first through the smooth form
+``1 - prod(1 - p)``, then through the worst passage itself.
 """
 
 from __future__ import annotations
@@ -25,12 +25,14 @@ from pyspark.sql.window import Window
 
 from loomstat.llm.tables import map_texts
 from loomstat.llm.words import mixed
+from loomstat.operators.sampling import bottom_k, key_bucket
+from loomstat.session import scratch_path
 
 BUCKETS = 1 << 17
 DIM = 4
 PASSAGE = 16
 GRAMS = (3, 4, 5)
-PIECE_CHARS = 1 << 18
+STRETCH = 1 << 18
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 # Word characters: everything but white space, controls and ASCII punctuation.
@@ -54,24 +56,29 @@ def _words(text: str) -> list[str]:
 
 @dataclass
 class Bags:
-    """Words and passages of some texts; ``grams`` yields (bucket, word) arrays per n-gram length."""
+    """Words and passages of some texts; ``grams`` yields (bucket, word) arrays, a stretch of characters
+    and one n-gram length at a time, so that memory beside the texts follows the stretch."""
 
     chars: np.ndarray
     word_of: np.ndarray
+    fresh: np.ndarray
     passage_of_word: np.ndarray
     text_of_passage: np.ndarray
 
     def grams(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        v = self.chars.astype(np.uint64)
-        h = v[:-1] * MULTIPLIER + v[1:]
-        inside = self.chars > 0
-        solid = inside[1:-1].copy()
-        for n in range(2, max(GRAMS)):  # h holds n characters so far; solid: all but first and last are letters
-            h = h[:-1] * MULTIPLIER + v[n:]
-            if n + 1 in GRAMS:
-                at = np.flatnonzero(solid)
-                yield (mixed(h[at]) & np.uint64(BUCKETS - 1)).astype(np.int64), self.word_of[at + 1]
-            solid = solid[:-1] & inside[n : len(inside) - 1]
+        more = max(GRAMS) - 1  # an n-gram belongs to the stretch that it starts in
+        for start in range(0, len(self.chars), STRETCH):
+            chars = self.chars[start : start + STRETCH + more]
+            v = chars.astype(np.uint64)
+            h = v[:-1] * MULTIPLIER + v[1:]
+            inside = chars > 0
+            solid = inside[1:-1].copy()
+            for n in range(2, max(GRAMS)):  # h holds n characters so far; solid: all but first and last are letters
+                h = h[:-1] * MULTIPLIER + v[n:]
+                if n + 1 in GRAMS:
+                    at = np.flatnonzero(solid[:STRETCH])
+                    yield (mixed(h[at]) & np.uint64(BUCKETS - 1)).astype(np.int32), self.word_of[start + at + 1]
+                solid = solid[:-1] & inside[n : len(inside) - 1]
 
 
 def bags(texts: Sequence[str]) -> Bags:
@@ -79,10 +86,27 @@ def bags(texts: Sequence[str]) -> Bags:
     inside = chars > 0
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
-    word_of = np.cumsum(begins) - 1
-    words_before = np.searchsorted(np.flatnonzero(begins), first)
-    n_words = np.diff(words_before)
-    return Bags(chars, word_of, *_passages(n_words))
+    word_of = np.cumsum(begins, dtype=np.int32) - 1
+    starts = np.flatnonzero(begins)
+    n_words = np.diff(np.searchsorted(starts, first))
+    passage_of_word, text_of_passage = _passages(n_words)
+    fresh = _fresh(passage_of_word, _word_hashes(chars, word_of, starts))
+    return Bags(chars, word_of, fresh, passage_of_word, text_of_passage)
+
+
+def _word_hashes(chars: np.ndarray, word_of: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums, modulo 2**64, of one hash per character and its place in the word."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    total = np.zeros(len(starts), np.uint64)
+    for at in range(0, len(chars), STRETCH):
+        inside = np.flatnonzero(chars[at : at + STRETCH]) + at
+        word = word_of[inside]
+        if len(word):
+            hashed = mixed((inside - starts[word]).astype(np.uint64) * MULTIPLIER + chars[inside])
+            begins = np.flatnonzero(np.diff(word, prepend=-1))
+            total[word[begins]] += np.add.reduceat(hashed, begins)
+    return total
 
 
 def _passages(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +115,15 @@ def _passages(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     passage_start = np.concatenate([[0], np.cumsum(n_passages)])
     words_before = np.concatenate([[0], np.cumsum(n_words)])
     rank = np.arange(n_words.sum()) - np.repeat(words_before[:-1], n_words)
-    return np.repeat(passage_start[:-1], n_words) + rank // PASSAGE, np.repeat(np.arange(len(n_words)), n_passages)
+    of_word = np.repeat(passage_start[:-1], n_words) + rank // PASSAGE
+    return of_word.astype(np.int32), np.repeat(np.arange(len(n_words), dtype=np.int32), n_passages)
+
+
+def _fresh(passage_of_word: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """False for a word that repeats the one before it in its passage; equal words have equal kinds."""
+    fresh = np.ones(len(passage_of_word), bool)
+    fresh[1:] = (passage_of_word[1:] != passage_of_word[:-1]) | (kind[1:] != kind[:-1])
+    return fresh
 
 
 @dataclass
@@ -110,9 +142,7 @@ class ToxicityModel:
             count += np.bincount(word, minlength=n)
         m = len(b.text_of_passage)
         pull /= np.maximum(count, 1)
-        fresh = np.ones(n, bool)
-        fresh[1:] = (pull[1:] != pull[:-1]) | (count[1:] != count[:-1])
-        mean = np.bincount(b.passage_of_word, pull * fresh, m) / PASSAGE
+        mean = np.bincount(b.passage_of_word, pull * b.fresh, m) / PASSAGE
         worst = np.zeros(len(texts))
         np.maximum.at(worst, b.text_of_passage, np.exp(-np.logaddexp(0.0, -mean - self.bias)))
         return worst
@@ -126,7 +156,7 @@ class Sums:
         for key, other, size in ((target, source, n_target), (source, target, n_source)):
             order = np.argsort(key, kind="stable")
             at, first = np.unique(key[order], return_index=True)
-            self.ways.append((other[order], at, first, size))
+            self.ways.append((other[order].astype(np.int32), at, first, size))
         count = np.bincount(target, minlength=n_target)
         self.share = (1.0 / np.maximum(count, 1) if mean else np.ones(n_target)).astype(np.float32)[:, None]
 
@@ -145,29 +175,36 @@ class Sums:
 
 
 def fit(
-    texts: Sequence[str], toxic: Sequence[int], steps: int = 120, rate: float = 0.15, decay: float = 2e-7, seed: int = 7
+    texts: Sequence[str], toxic: Sequence[int], steps: int = 160, rate: float = 0.15, decay: float = 2e-7, seed: int = 7
 ) -> ToxicityModel:
-    """Train vectors and softmax weights on all given texts at once; the same input gives the same model."""
+    """Train vectors and softmax weights on all given texts at once; the same input gives the same model.
+
+    In the first half of the steps a document is toxic by ``1 - prod(1 - p)`` over its passages, which lets
+    every passage learn; in the second half by its worst passage, as it is scored, while all passages
+    of a clean one are still to be clean.
+    """
     rng = np.random.default_rng(seed)
     y = np.asarray(toxic, float)
     if not len(texts) or not 0 < y.sum() < len(y):  # nothing to tell apart
         return ToxicityModel(np.zeros(BUCKETS), 50.0 if len(texts) and y.sum() else -50.0)
     # equal words share their n-grams, which are taken from the distinct words alone
     place: dict[str, int] = {}
-    kinds = [np.array([place.setdefault(w, len(place)) for w in _words(t)], np.int64) for t in texts]
+    kinds = [np.array([place.setdefault(w, len(place)) for w in _words(t)], np.int32) for t in texts]
     passage_of_word, text_of_passage = _passages(np.array([len(k) for k in kinds]))
-    n, m = len(passage_of_word), len(text_of_passage)
+    m = len(text_of_passage)
     distinct = sorted(place)
-    order = np.empty(len(distinct), np.int64)
+    order = np.empty(len(distinct), np.int32)
     order[[place[w] for w in distinct]] = np.arange(len(distinct))
     kind = order[np.concatenate(kinds)]
     del kinds, place
     buckets, words = (np.concatenate(x) for x in zip(*bags(distinct).grams()))
     used, gram = np.unique(buckets, return_inverse=True)
-    fresh = np.ones(n, bool)
-    fresh[1:] = kind[1:] != kind[:-1]
+    fresh = _fresh(passage_of_word, kind)
     to_word = Sums(gram, words, len(used), len(distinct), mean=True)
     to_passage = Sums(kind[fresh], passage_of_word[fresh], len(distinct), m)
+    del buckets, words, gram, kind, passage_of_word, fresh
+    some = np.flatnonzero(np.bincount(text_of_passage, minlength=len(y)))  # texts with a word
+    starts = np.searchsorted(text_of_passage, some)
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     table = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
     soft = rng.normal(0, 0.5, (DIM, 2))
@@ -178,9 +215,14 @@ def fit(
         logits = passage @ soft + bias
         z = logits[:, 1] - logits[:, 0]
         p = 1 / (1 + np.exp(-z.clip(-60, 60)))
-        clean = np.bincount(text_of_passage, -np.logaddexp(0.0, z), len(y))
-        odds = np.exp(clean) / np.maximum(-np.expm1(clean), 1e-12)
-        dz = p * np.where(y > 0, -odds * weight, weight)[text_of_passage]
+        if 2 * step <= steps:
+            clean = np.bincount(text_of_passage, -np.logaddexp(0.0, z), len(y))
+            odds = np.exp(clean) / np.maximum(-np.expm1(clean), 1e-12)
+            dz = p * np.where(y > 0, -odds * weight, weight)[text_of_passage]
+        else:
+            highest = np.repeat(np.maximum.reduceat(z, starts), np.diff(np.append(starts, m)))
+            toxic_passage = y[text_of_passage] > 0
+            dz = np.where(toxic_passage, np.where(z == highest, p - 1, 0.0), p) * weight[text_of_passage]
         back = np.stack([-dz, dz], axis=1)
         d_soft, d_bias = passage.T @ back, back.sum(0)
         d_passage = (back @ soft.T / PASSAGE).astype(np.float32)
@@ -195,29 +237,19 @@ def fit(
     return ToxicityModel(worth, float(bias[1] - bias[0]))
 
 
-def _parts(text: str) -> list[str]:
-    """A text of many pieces, cut before white space where there is some."""
-    parts, at = [], 0
-    while len(text) - at > PIECE_CHARS:
-        cut = max(text.rfind(" ", at + 1, at + PIECE_CHARS), text.rfind("\n", at + 1, at + PIECE_CHARS))
-        cut = cut if cut > at else at + PIECE_CHARS
-        parts.append(text[at:cut])
-        at = cut
-    return [*parts, text[at:]]
-
-
 def score_texts(model: ToxicityModel, texts: Sequence[str | None]) -> np.ndarray:
-    """Scores of any number of texts of any length, in pieces of bounded size; 0 for null and empty."""
-    parts = [(i, part) for i, t in enumerate(texts) if t for part in _parts(t)]
+    """Scores of any number of texts of any length, some texts at a time; 0 for null and empty.
+
+    What a text scores does not depend on the texts beside it, nor on how long it is.
+    """
     worst = np.zeros(len(texts))
     at = 0
-    while at < len(parts):
+    while at < len(texts):
         size, to = 0, at
-        while to < len(parts) and (to == at or size + len(parts[to][1]) <= PIECE_CHARS):
-            size += len(parts[to][1])
+        while to < len(texts) and (to == at or size + len(texts[to] or "") <= STRETCH):
+            size += len(texts[to] or "")
             to += 1
-        found = model.score([p for _, p in parts[at:to]])
-        np.maximum.at(worst, [i for i, _ in parts[at:to]], found)
+        worst[at:to] = model.score([t or "" for t in texts[at:to]])
         at = to
     return worst
 
@@ -231,42 +263,47 @@ def training_rows(
     key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-) -> list[tuple[str, int]]:
-    """Whole labelled texts of any length, at most ``per_class`` of each label.
-
-    Per class they are those with the smallest hashes of ``key``, as many as fit into the class's share
-    of ``total_chars``; a text that no longer fits is passed over, and the next one tried. Ids are
-    ranked first, a bounded number of them is sent to the executors, and one pass measures their
-    texts, another picks them. A key with several labels counts as toxic if any of them says so. Null
-    keys, labels and texts are left out.
+) -> DataFrame:
+    """``t, y``: whole labelled texts of any length, at most ``per_class`` of each label.
+
+    Per class they are those with the smallest hashes of ``key`` among the labelled documents, up to the
+    first that no longer fits into the class's share of ``total_chars``; only texts longer than a
+    whole share are passed over. A key with several labels counts as toxic if any of them says so, and of
+    several texts of one key the least is taken. Null keys, labels and texts are left out. The rows are
+    the same in every run; no class is ranked in one task.
     """
+    spark = docs.sparkSession
     named = labels.select(F.col(key).alias("i"), F.col(label).cast("int").alias("y"))
     known = named.filter(usable("i") & F.col("i").isNotNull() & F.col("y").isin(0, 1))
-    one = known.groupBy("i").agg(F.max("y").alias("y"))
-    hashed = F.xxhash64(F.col("i").cast("string")).alias("h")
-    place = F.row_number().over(Window.partitionBy("y").orderBy("h", "i"))
-    most = F.when(F.col("y") == 1, per_class[1]).otherwise(per_class[0])
-    top = one.select("i", "y", hashed).withColumn("n", place)
-    top = top.filter(F.col("n") <= max(per_class.values())).filter(F.col("n") <= most)
-    body = docs.select(F.col(key).alias("i"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
-    found = body.join(F.broadcast(top), "i")
-    limit = 4 * sum(per_class.values())
-    sizes = found.groupBy("y", "n", "i").agg(F.max(F.length("t")).alias("c")).orderBy("y", "n").limit(limit).collect()
-    left = {y: total_chars * n // max(1, sum(per_class.values())) for y, n in per_class.items()}
-    chosen = []
-    for r in sizes:
-        if r["c"] <= left[r["y"]]:
-            left[r["y"]] -= r["c"]
-            chosen.append((r["i"], r["y"]))
-    if not chosen:
-        return []
-    picked = docs.sparkSession.createDataFrame(chosen, found.select("i", "y").schema)
-    rows = body.join(F.broadcast(picked), "i").select("y", "t")
-    return sorted({(r["t"], r["y"]) for r in rows.limit(limit).collect()})
-
-
-def fit_rows(rows: Sequence[tuple[str, int]]) -> ToxicityModel:
-    return fit([t for t, _ in rows], [y for _, y in rows])
+    body = docs.select(F.col(key).alias("i"), F.col(text).cast("string").alias("t")).filter(F.col("t").isNotNull())
+    there = known.groupBy("i").agg(F.max("y").alias("y")).join(body.select("i"), "i", "left_semi")
+    path, texts = scratch_path(spark, "labelled"), scratch_path(spark, "training")
+    there.write.parquet(path)
+    chosen = bottom_k(spark.read.parquet(path), "i", per_class, by="y", tie=["i"])
+    found = body.join(F.broadcast(chosen), "i").groupBy("y", "i").agg(F.min("t").alias("t"))
+    found.select("y", "i", "t", key_bucket(F.col("i")).alias("h"), F.length("t").alias("c")).write.parquet(texts)
+    rows = spark.read.parquet(texts)  # at most per_class rows
+    share = F.when(F.col("y") == 1, total_chars * per_class[1] // sum(per_class.values()))
+    share = share.otherwise(total_chars * per_class[0] // sum(per_class.values()))
+    sizes = rows.select("y", "i", "h", "c").filter(F.col("c") <= share)
+    so_far = F.sum("c").over(Window.partitionBy("y").orderBy("h", "i"))
+    fits = sizes.withColumn("sum", so_far).filter(F.col("sum") <= share)
+    return rows.join(F.broadcast(fits.select("y", "i")), ["y", "i"], "left_semi").select("t", "y")
+
+
+def fit_rows(rows: DataFrame) -> ToxicityModel:
+    """The model of the rows of ``training_rows``, trained in one task of an executor: the texts never come
+    to the driver, only the finished table does."""
+
+    def train(group: pa.Table) -> pa.Table:
+        pairs = sorted(zip(group.column("t").to_pylist(), group.column("y").to_pylist()))
+        model = fit([t for t, _ in pairs], [y for _, y in pairs])
+        return pa.table([pa.array([model.worth.tobytes()], pa.binary()), pa.array([model.bias])], ["worth", "bias"])
+
+    found = rows.groupBy(F.lit(0).alias("one")).applyInArrow(train, "worth binary, bias double").first()
+    if found is None:
+        return fit([], [])
+    return ToxicityModel(np.frombuffer(found["worth"], float), found["bias"])
 
 
 SCORE = [("score", T.DoubleType())]
@@ -287,6 +324,11 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: Seque
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows that score below ``threshold``, with all their columns."""
-    scored = map_texts(docs, [F.struct("*")], F.col(text), SCORE, _scorer(docs, model))
-    return scored.filter(F.col("score") < threshold).select("k0.*")
+    """The rows that score below ``threshold``, with all their columns; only the texts go to Python."""
+    work = _scorer(docs, model)
+
+    @F.arrow_udf("double")
+    def toxicity(texts: pa.Array) -> pa.Array:
+        return pa.array(work(texts)[0])
+
+    return docs.filter(toxicity(F.col(text).cast("string")) < threshold)

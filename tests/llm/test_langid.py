@@ -70,6 +70,17 @@ def test_training_rows_are_bounded_and_known(odd, none):
     assert langid.training_texts(none, F.lit(True), "text", "lang", "doc_id", 3, 10) == []
 
 
+def test_a_language_of_long_texts_is_learned_and_every_run_sees_the_same(spark):
+    rows = [(i, "word and tree " * (2 if i % 2 else 900), "en" if i % 2 else "fr") for i in range(40)] + [(3, "again", "en")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    first = langid.training_texts(docs, F.lit(True), "text", "lang", "doc_id", 15, 1000)
+    assert [sum(x == lang for x, _ in first) for lang in ("en", "fr")] == [15, 15]
+    assert {len(t) for lang, t in first if lang == "fr"} == {1000}
+    assert len({t[:20] for lang, t in first if lang == "fr"}) > 1  # not the texts' beginnings alone
+    again = langid.training_texts(docs.repartition(7, "text"), F.lit(True), "text", "lang", "doc_id", 15, 1000)
+    assert first == again
+
+
 def test_held_out_accuracy(spark):
     from loomstat.llm.queries import QUERIES
 

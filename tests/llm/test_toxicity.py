@@ -36,13 +36,44 @@ def test_learns_and_shares_subwords(model):
     assert near[0] > near[1]
 
 
-def test_pieces_do_not_change_scores_much_and_odd_texts_score_zero(model, monkeypatch):
-    texts, _ = corpus(30, 2)
-    whole = X.score_texts(model, [*texts, None, "", "...", " "])
-    assert list(whole[-4:]) == [0, 0, 0, 0]
-    monkeypatch.setattr(X, "PIECE_CHARS", 400)
-    assert np.allclose(X.score_texts(model, [t for t in texts if len(t) <= 400]), [p for p, t in zip(whole, texts) if len(t) <= 400])
-    assert len(X.score_texts(model, texts)) == 30
+def plain_score(model, text):
+    """Word by word and passage by passage, n-grams hashed one at a time."""
+    words, word = [], ""
+    for c in text.lower() + " ":
+        u = ord(c)
+        if u == 0xA0 or u < 128 and not (c.isdigit() or c.isalpha()):
+            words, word = words + [word] if word else words, ""
+        else:
+            word += c
+    best = 0.0
+    for at in range(0, len(words), X.PASSAGE):
+        total, before = 0.0, None
+        for w in words[at : at + X.PASSAGE]:
+            marked = "\0" + w + "\0"
+            pulls = []
+            for n in X.GRAMS:
+                for i in range(len(marked) - n + 1):
+                    h = 0
+                    for c in marked[i : i + n]:
+                        h = (h * int(X.MULTIPLIER) + ord(c)) % 2**64
+                    pulls.append(model.worth[int(X.mixed(np.array([h], np.uint64))[0]) & (X.BUCKETS - 1)])
+            if w != before and pulls:
+                total += sum(pulls) / len(pulls)
+            before = w
+        best = max(best, 1 / (1 + np.exp(-total / X.PASSAGE - model.bias)))
+    return best
+
+
+@pytest.mark.parametrize("stretch", [1 << 18, 400, 7])
+def test_scores_equal_the_plain_way_however_texts_are_cut(monkeypatch, stretch):
+    monkeypatch.setattr(X, "STRETCH", stretch)
+    rng = np.random.default_rng(stretch)
+    for _ in range(3):  # random worths: every word counts
+        model = X.ToxicityModel(rng.normal(0, 3, X.BUCKETS), -1.0)
+        texts = [*corpus(6, stretch)[0], "same same same word", "word", "word Ähre, a.b 𝔘𝔘𝔘𝔘", "x" * 900, "a b " * 40]
+        found = X.score_texts(model, [*texts, None, "", "...", " "])
+        assert found[:-4] == pytest.approx([plain_score(model, t) for t in texts], rel=1e-9)
+        assert list(found[-4:]) == [0, 0, 0, 0]
 
 
 def test_same_input_gives_the_same_model_and_no_labels_give_none():
@@ -60,8 +91,9 @@ def test_odd_rows(spark, odd, none, model):
     assert X.score(none, model).count() == 0 and X.without_toxic(none, model).columns == none.columns
     labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0), (None, 1), (100, None), (101, 0)], "doc_id long, toxic int")
     found = X.training_rows(odd, labels, lambda k: F.lit(True), {0: 5, 1: 5}, 10_000)
-    assert sorted(y for _, y in found) == [0, 0, 1]
-    assert X.training_rows(none, labels, lambda k: F.lit(True), {0: 5, 1: 5}, 10_000) == []
+    assert sorted(y for _, y in found.collect()) == [0, 0, 1]
+    nothing = X.training_rows(none, labels, lambda k: F.lit(True), {0: 5, 1: 5}, 10_000)
+    assert nothing.collect() == [] and X.fit_rows(nothing).bias < 0
 
 
 def test_long_clean_texts_stay_clean_and_long_texts_with_a_few_insults_do_not():
@@ -83,8 +115,22 @@ def test_long_clean_texts_stay_clean_and_long_texts_with_a_few_insults_do_not():
 def test_training_draws_texts_of_all_lengths(spark):
     docs = spark.createDataFrame([(i, f"text {i} " + "word " * (i % 10) * 400) for i in range(40)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
-    rows = X.training_rows(docs, labels, lambda k: F.lit(True), {0: 20, 1: 20}, 1_000_000)
+    rows = X.training_rows(docs, labels, lambda k: F.lit(True), {0: 20, 1: 20}, 1_000_000).collect()
     assert len(rows) == 40 and max(len(t) for t, _ in rows) > 15_000
-    few = X.training_rows(docs, labels, lambda k: F.lit(True), {0: 20, 1: 20}, 100_000)
+    few = X.training_rows(docs, labels, lambda k: F.lit(True), {0: 20, 1: 20}, 100_000).collect()
+    again = X.training_rows(docs.repartition(5), labels.repartition(3), lambda k: F.lit(True), {0: 20, 1: 20}, 100_000)
+    assert sorted(few) == sorted(again.collect())
     assert sum(len(t) for t, _ in few) <= 100_000 and {y for _, y in few} == {0, 1}
     assert max(len(t) for t, _ in few) > 2_500
+
+
+def test_trained_in_a_task_as_on_one_machine(spark):
+    texts, marks = corpus(40, 5)
+    df = spark.createDataFrame(list(zip(texts, marks)), "t string, y int").repartition(4)
+    there, here = X.fit_rows(df), X.fit(*zip(*sorted(zip(texts, marks))))
+    assert np.allclose(there.worth, here.worth) and there.bias == pytest.approx(here.bias)
+
+
+def test_only_texts_go_to_python(odd, model):
+    plan = X.without_toxic(odd, model)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
