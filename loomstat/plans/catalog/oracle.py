@@ -360,3 +360,35 @@ def _held_out(rows: str, features: Sequence[str], train: str) -> str:
                      sum(pos * (tp / (tp + fp)
                          + coalesce((tp - pos) / nullif(tp + fp - pos - neg, 0), tp / (tp + fp))) / 2)
                        / any_value(np) AS auc_pr FROM cum)"""
+
+
+def _half_step_sql(pairs: str, fixed: str, by: str, other: str, reg_param: float, implicit: bool) -> str:
+    """Two factors per key, by Cramer's rule."""
+    weight, right, counted = ("abs(r)", "CASE WHEN r > 0 THEN 1 + abs(r) ELSE 0 END", "count(*) FILTER (r > 0)") if implicit else ("1", "r", "count(*)")
+    base = {c: f"(SELECT sum({e}) FROM {fixed})" if implicit else "0" for c, e in (("a", "f0*f0"), ("b", "f0*f1"), ("c", "f1*f1"))}
+    return f"""
+        SELECT id, (c*p - b*q) / (a*c - b*b) AS f0, (a*q - b*p) / (a*c - b*b) AS f1
+        FROM (SELECT {by} AS id, {base['a']} + sum({weight}*f0*f0) + {reg_param} * {counted} AS a,
+                     {base['b']} + sum({weight}*f0*f1) AS b,
+                     {base['c']} + sum({weight}*f1*f1) + {reg_param} * {counted} AS c,
+                     sum(f0 * ({right})) AS p, sum(f1 * ({right})) AS q
+              FROM {pairs} JOIN {fixed} ON {fixed}.id = {other} GROUP BY {by})"""
+
+
+def als_sql(pairs_sql: str, half_steps: int, reg_param: float, implicit: bool = False) -> str:
+    """CTEs ``pairs(u, p, r)`` and the factors of rank two: ``users0``, ``items0``, then ``items1``, ``users1``
+    and so on, one table per half-step."""
+    start = lambda side, seed: ", ".join(
+        f"concat('0x', substr(md5(concat({seed}, ':', id, ':', {j})), 1, 13))::BIGINT / ({BUCKETS} * sqrt(2.0::DOUBLE)) AS f{j}"
+        for j in range(2)
+    )
+    ctes = [f"pairs AS ({pairs_sql})"]
+    for name, side, seed in (("users0", "u", 0), ("items0", "p", 1)):
+        ctes.append(f"{name} AS MATERIALIZED (SELECT id, {start(side, seed)} FROM (SELECT DISTINCT {side} AS id FROM pairs))")
+    last = {"users": "users0", "items": "items0"}
+    for k in range(half_steps):
+        to, of, by, other = ("items", "users", "p", "u") if k % 2 == 0 else ("users", "items", "u", "p")
+        name = f"{to}{k // 2 + 1}"
+        ctes.append(f"{name} AS MATERIALIZED ({_half_step_sql('pairs', last[of], by, other, reg_param, implicit)})")
+        last[to] = name
+    return "WITH " + ",\n".join(ctes)
