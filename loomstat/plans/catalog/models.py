@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomstat.functions import clip_unit, implicit_confidence, words
-from loomstat.operators import classify, clustering, descent, recommend
+from loomstat.operators import classify, clustering, descent, recommend, trees
 from loomstat.operators.features import assemble
 from loomstat.operators.partitions import at_least_partitions
 from loomstat.operators.sampling import split_by_key
@@ -317,6 +317,51 @@ _tree_job("tree_holdout_entropy", "flag", "Classification", "Entropy", "accuracy
 _tree_job("tree_holdout_regression", "price", "Regression", "Variance", "mse")
 
 
+CLASSES_SQL = """
+    SELECT l_quantity / 50 AS x0, l_discount * 10 AS x1, l_tax * 10 AS x2,
+           CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y
+    FROM lineitem
+"""
+_MODE = "CASE WHEN s0 >= greatest(s1, s2) THEN 0.0::DOUBLE WHEN s1 >= s2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END"
+
+
+def _classes(spark, folder) -> DataFrame:
+    lines = table(spark, folder, "lineitem")
+    label = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
+    return lines.select(
+        (F.col("l_quantity") / 50).alias("x0"), (F.col("l_discount") * 10).alias("x1"), (F.col("l_tax") * 10).alias("x2"), label.alias("y")
+    )
+
+
+def _nodes(spark, tree) -> DataFrame:
+    found = trees.node_table(spark, tree)
+    return found.select("node", "feature", *[rounded(c).alias(c) for c in ("threshold", "gain")], "n", rounded("prediction").alias("prediction"))
+
+
+def _tree_nodes(name: str, impurity: str, depth: int) -> None:
+    counts = [f"count(*) FILTER (y = {c})::DOUBLE" for c in range(3)]
+
+    @query(name, oracle.tree_nodes_sql(CLASSES_SQL, counts, _MODE, FEATURES, impurity, depth))
+    def nodes(spark, folder):
+        """Every node of a tree over three features and three classes."""
+        return _nodes(spark, trees.grow(_classes(spark, folder), "y", FEATURES, "Classification", depth, impurity))
+
+
+_tree_nodes("tree_nodes", "Gini", 3)
+_tree_nodes("tree_nodes_entropy", "Entropy", 2)
+
+
+@query(
+    "tree_nodes_regression",
+    oracle.tree_nodes_sql(
+        ROWS_SQL, ["count(*)::DOUBLE", "sum(price)::DOUBLE", "sum(price * price)::DOUBLE"], "s1 / s0", FEATURES, "Variance", 3
+    ),
+)
+def tree_nodes_regression(spark, folder):
+    """Every node of a regression tree over three features."""
+    return _nodes(spark, trees.grow(rows(spark, folder), "price", FEATURES, "Regression", 3, "Variance"))
+
+
 START = [(0.1, 0.1), (0.5, 0.5), (0.9, 0.9)]
 
 

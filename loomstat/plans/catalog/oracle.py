@@ -392,3 +392,61 @@ def als_sql(pairs_sql: str, half_steps: int, reg_param: float, implicit: bool =
         ctes.append(f"{name} AS MATERIALIZED ({_half_step_sql('pairs', last[of], by, other, reg_param, implicit)})")
         last[to] = name
     return "WITH " + ",\n".join(ctes)
+
+
+def _sums_impurity(kind: str, sums: Sequence[str]) -> tuple[str, str]:
+    """Rows and impurity from sums per class, or from count, sum and square sum."""
+    if kind == "Variance":
+        n, s, s2 = sums
+        return n, f"({s2} / nullif({n}, 0) - ({s} / nullif({n}, 0)) ** 2)"
+    n = f"({' + '.join(sums)})"
+    shares = [f"({s} / nullif({n}, 0))" for s in sums]
+    if kind == "Gini":
+        return n, f"(1 - {' - '.join(f'{p} ** 2' for p in shares)})"
+    return n, "-(" + " + ".join(f"CASE WHEN {p} > 0 THEN {p} * log2({p}) ELSE 0 END" for p in shares) + ")"
+
+
+def tree_nodes_sql(rows: str, stats: Sequence[str], value: str, features: Sequence[str], impurity: str, depth: int) -> str:
+    """The splits of a tree over several features of few values, with any number of classes.
+
+    ``stats`` are SQL sums per class (or count, sum, square sum); ``value`` gives a node's prediction from
+    the columns s0, s1, ... of its sums.
+    """
+    xs, m = ", ".join(features), range(len(stats))
+    names = ", ".join(f"s{i}" for i in m)
+    parts = [f"""f AS MATERIALIZED (SELECT * FROM ({rows})),
+    t0 AS MATERIALIZED (SELECT 1 AS node, {xs}, {", ".join(f"{e} AS s{i}" for i, e in enumerate(stats))} FROM f GROUP BY {xs})"""]
+    for j, x in enumerate(features):
+        parts.append(f"""m{j} AS MATERIALIZED (
+            SELECT x, (x + lead(x) OVER (ORDER BY x)) / 2 AS threshold FROM (SELECT DISTINCT {x} AS x FROM f))""")
+    total, left = [f"t{i}" for i in m], [f"l{i}" for i in m]
+    (n, whole), (low_n, low) = _sums_impurity(impurity, total), _sums_impurity(impurity, left)
+    high_n, high = _sums_impurity(impurity, [f"(t{i} - l{i})" for i in m])
+    gain = f"({whole}) - (coalesce({low}, 0) * {low_n} + coalesce({high}, 0) * {high_n}) / {n}"
+    for k in range(depth):
+        options = []
+        for j, x in enumerate(features):
+            running = ", ".join(
+                f"sum(s{i}) OVER (PARTITION BY node ORDER BY threshold NULLS LAST) AS l{i}, sum(s{i}) OVER (PARTITION BY node) AS t{i}" for i in m
+            )
+            sums = ", ".join(f"sum(s{i}) AS s{i}" for i in m)
+            options.append(f"""SELECT {j} AS j, node, threshold, {gain} AS gain, {whole} AS before FROM (
+                SELECT node, threshold, {running}
+                FROM (SELECT node, threshold, {sums} FROM t{k} JOIN m{j} ON m{j}.x = {x} GROUP BY node, threshold))
+                WHERE threshold IS NOT NULL AND {low_n} < {n}""")
+        side = "CASE j " + " ".join(f"WHEN {j} THEN {x} > threshold" for j, x in enumerate(features)) + " END"
+        parts.append(f"""b{k} AS MATERIALIZED (SELECT node, j, threshold, gain FROM (
+            SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain / nullif(before, 0), 12) DESC, j, threshold) AS r
+            FROM ({" UNION ALL ".join(options)}) WHERE gain > 1e-12 * before) WHERE r = 1)""")
+        parts.append(f"""t{k + 1} AS MATERIALIZED (
+            SELECT 2 * t.node + CASE WHEN {side} THEN 1 ELSE 0 END AS node, {xs}, {names}
+            FROM t{k} t JOIN b{k} b ON b.node = t.node)""")
+    every = " UNION ALL ".join(
+        f"SELECT node, {', '.join(f'sum(s{i}) AS s{i}' for i in m)} FROM t{k} GROUP BY node" for k in range(depth + 1)
+    )
+    splits = " UNION ALL ".join(f"SELECT * FROM b{k}" for k in range(depth)) or "SELECT 0 AS node, 0 AS j, 0 AS threshold, 0 AS gain"
+    cells, size = ", ".join(f"'{x}'" for x in features), _sums_impurity(impurity, [f"s{i}" for i in m])[0]
+    return "WITH " + ",\n    ".join(parts) + f"""
+    SELECT e.node::BIGINT AS node, [{cells}][j + 1] AS feature, round(threshold, 6) + 0.0::DOUBLE AS threshold,
+           round(gain, 6) + 0.0::DOUBLE AS gain, {size}::DOUBLE AS n, round({value}, 6) + 0.0::DOUBLE AS prediction
+    FROM ({every}) e LEFT JOIN ({splits}) b ON b.node = e.node"""
