@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.operators.partitions import held
+from loomstat.operators.sampling import BUCKETS, key_bucket
 
 INIT_MODES = {"Random": "random", "Parallel": "k-means||"}
 # A center whose squared distance is within this share of the least one is as near; the lowest number wins.
@@ -73,12 +74,7 @@ def assign(rows: DataFrame, point: Sequence[str] | str, centers: Centers) -> Dat
 
 def cost(rows: DataFrame, point: Sequence[str] | str, centers: Centers) -> DataFrame:
     """Sum of squared distances to the nearest center."""
-    found = _distances(point, centers)
-    if isinstance(found, Column):
-        least = F.array_min(found)
-    else:
-        least = found[0] if len(found) == 1 else F.least(*found)
-    return rows.agg(F.sum(least).alias("cost"))
+    return rows.agg(F.sum(_least_distance(point, centers)).alias("cost"))
 
 
 def lloyd(
@@ -101,3 +97,57 @@ def lloyd(
                 break
             centers = moved
     return centers
+
+
+def oversampled_seeds(
+    rows: DataFrame, dims: Sequence[str], key: str, k: int, rounds: int = 5, per_round: float | None = None, seed: int = 0
+) -> list[list[float]]:
+    """``k`` starting centers by oversampling: a few rounds that draw many, then a weighted choice of k.
+
+    The first candidate is the point with the least hash. Each round draws every point with the
+    probability ``per_round`` (default 2k) times its share of the squared distance to the candidates so
+    far. Draws are hashes of ``key``, which should be unique per row, and the round, so they depend on no
+    partitioning. Every candidate then weighs as many points as are nearest to it, the heaviest is the
+    first center, and each further center is the candidate of the largest weight times squared distance
+    to the centers chosen (lowest key among equals). Candidates are some ``per_round * rounds`` rows; only
+    they leave the executors. Rows with a null key or coordinate are left out; fewer distinct points
+    than k give fewer centers.
+    """
+    per_round = 2.0 * k if per_round is None else float(per_round)
+    points = rows.select(F.col(key).alias("_k"), *[F.col(d).cast("double").alias(d) for d in dims])
+    with held(points) as kept:
+        data = kept.dropna(subset=["_k", *dims])
+
+        def draw(r: int) -> Column:
+            return key_bucket(F.lit(seed), F.lit(r), F.col("_k"))
+
+        first = data.orderBy(draw(0), "_k").limit(1).collect()
+        chosen = {row["_k"]: [row[d] for d in dims] for row in first}
+        for r in range(1, rounds + 1) if chosen else ():
+            near = _least_distance(dims, list(chosen.values()))
+            total = data.agg(F.sum(near).alias("t")).first()["t"]
+            if not total:
+                break
+            share = near * F.lit(per_round / total)
+            for row in data.filter(draw(r) / F.lit(float(BUCKETS)) < share).collect():
+                chosen[row["_k"]] = [row[d] for d in dims]
+        keys = sorted(chosen)
+        centers = np.array([chosen[c] for c in keys], dtype=float).reshape(len(keys), len(dims))
+        weight = np.zeros(len(keys))
+        if keys:
+            for row in assign(data, dims, centers.tolist()).groupBy("cluster").count().collect():
+                weight[row["cluster"]] = row["count"]
+    picked: list[int] = []
+    worth = weight
+    while len(picked) < min(k, len(keys)) and worth.max() > 0:
+        picked.append(int(np.argmax(worth)))
+        away = ((centers[:, None] - centers[picked][None]) ** 2).sum(2).min(1)
+        worth = weight * away
+    return centers[picked].tolist()
+
+
+def _least_distance(point: Sequence[str] | str, centers: Centers) -> Column:
+    found = _distances(point, centers)
+    if isinstance(found, Column):
+        return F.array_min(found)
+    return found[0] if len(found) == 1 else F.least(*found)

@@ -8,7 +8,8 @@ The weights enter the next step's plan as constants, so the plan does not grow.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -77,7 +78,15 @@ def _hinge(label: Column, margin: Column):
     return F.when(room > 0, -side).otherwise(0.0), F.greatest(room, F.lit(0.0))
 
 
+def _log_loss(label: Column, margin: Column):
+    away = F.log1p(F.exp(-F.abs(margin)))
+    share = F.when(margin >= 0, 1.0 / (1.0 + F.exp(-margin))).otherwise(F.exp(margin) / (1.0 + F.exp(margin)))
+    return share - label, F.greatest(margin, F.lit(0.0)) + away - label * margin
+
+
 least_squares = LinearGradient(_squared_error)
+# Labels 0 and 1; the loss is minus the log probability of the label.
+log_loss = LinearGradient(_log_loss)
 # Labels 0 and 1; the loss is zero once a row lies on its side of the margin.
 hinge = LinearGradient(_hinge)
 
@@ -154,6 +163,27 @@ def descend(
         return _sampled(_loop(_from_rows(data, len(features), gradient, batch_share), update, weights, *steps), batch_share)
 
 
+@contextmanager
+def evaluations(
+    rows: DataFrame, label: str, features: str | Sequence[str], gradient: Gradient, width: int | None = None
+) -> Iterator[tuple[Callable[[np.ndarray], tuple[np.ndarray, float] | None], int]]:
+    """Holds the complete rows and gives a function from weights to (mean gradient, mean loss), one aggregate
+    a call and None without rows, beside the number of weights."""
+    target = F.col(label).cast("double").alias("_label")
+    if isinstance(features, str):
+        if not isinstance(gradient, LinearGradient):
+            raise ValueError("a vector column needs a linear gradient")
+        with held(rows.select(target, F.col(features).alias("_x"))) as kept:
+            data = kept.dropna(subset=["_label", "_x"])
+            measure = _from_vectors(data, gradient, 1.0)
+            yield lambda weights: measure(weights, 1), width if width is not None else _width(data)
+        return
+    named = [f"_x{j}" for j in range(len(features))]
+    with held(rows.select(target, *[F.col(f).cast("double").alias(x) for f, x in zip(features, named)])) as kept:
+        measure = _from_rows(kept.dropna(subset=["_label", *named]), len(named), gradient, 1.0)
+        yield lambda weights: measure(weights, 1), len(named)
+
+
 def _sampled(found: Descent, batch_share: float) -> Descent:
     if batch_share < 1.0 and not found.losses:
         raise ValueError(f"no step's sample of {batch_share} of the rows held a row")

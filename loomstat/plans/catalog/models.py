@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomstat.functions import clip_unit, implicit_confidence, words
-from loomstat.operators import classify, clustering, descent, recommend, trees
+from loomstat.operators import classify, clustering, descent, quasi_newton, recommend, trees
 from loomstat.operators.features import assemble
 from loomstat.operators.partitions import at_least_partitions
 from loomstat.operators.sampling import split_by_key
@@ -134,6 +134,18 @@ def _logistic(name: str, reg_type: str, reg_param: float) -> None:
         return spark.createDataFrame(cells, "term string, weight double")
 
 
+def _quasi_newton(name: str, reg_type: str, reg_param: float) -> None:
+    @query(name, oracle.logistic_sql(ROWS_SQL, "flag", FEATURES, reg_type, reg_param, 400))
+    def fit(spark, folder):
+        model = quasi_newton.fit(
+            rows(spark, folder), "flag", FEATURES, descent.log_loss, reg_type, reg_param, tolerance=1e-9
+        )
+        cells = [(f"w{j}", round(w, 4) + 0.0) for j, w in enumerate(model.weights)]
+        return spark.createDataFrame(cells, "term string, weight double")
+
+
+_quasi_newton("quasi_newton_l2", "L2", 0.1)
+_quasi_newton("quasi_newton_l1", "L1", 0.01)
 _logistic("logreg_l2", "L2", 0.1)
 _logistic("logreg_l1", "L1", 0.01)
 
@@ -394,6 +406,20 @@ _kmeans("kmeans_fit", "Parallel")
 _kmeans("kmeans_random", "Random")
 
 
+_PARTS_SQL = "SELECT p_partkey AS k, p_size / 50.0::DOUBLE AS x, p_retailprice / 2000 AS y FROM part"
+
+
+@query("kmeans_seeds", oracle.seeds_sql(_PARTS_SQL, 4, 3, 8.0))
+def kmeans_seeds(spark, folder):
+    """Four starting centers by oversampling."""
+    points = table(spark, folder, "part").select(
+        "p_partkey", (F.col("p_size") / F.lit(50.0)).alias("x"), (F.col("p_retailprice") / 2000).alias("y")
+    )
+    seeds = clustering.oversampled_seeds(points, ["x", "y"], "p_partkey", 4, 3)
+    cells = [(i, round(x, 6), round(y, 6)) for i, (x, y) in enumerate(seeds)]
+    return spark.createDataFrame(cells, "cluster int, x double, y double")
+
+
 def _als(spark, folder, implicit: bool):
     data = ratings(spark, folder)
     if implicit:

@@ -450,3 +450,25 @@ def tree_nodes_sql(rows: str, stats: Sequence[str], value: str, features: Sequen
     SELECT e.node::BIGINT AS node, [{cells}][j + 1] AS feature, round(threshold, 6) + 0.0::DOUBLE AS threshold,
            round(gain, 6) + 0.0::DOUBLE AS gain, {size}::DOUBLE AS n, round({value}, 6) + 0.0::DOUBLE AS prediction
     FROM ({every}) e LEFT JOIN ({splits}) b ON b.node = e.node"""
+
+
+def seeds_sql(points: str, k: int, rounds: int, per_round: float) -> str:
+    """Oversampled seeding of points (k, x, y): the same draws, weights and choices."""
+
+    def draw(r: int) -> str:
+        return f"concat('0x', substr(md5(concat('0:', {r}, ':', k)), 1, 13))::BIGINT"
+
+    away = "(p.x - c.x) ** 2 + (p.y - c.y) ** 2"
+    parts = [f"p AS MATERIALIZED ({points})", f"c0 AS MATERIALIZED (SELECT * FROM p ORDER BY {draw(0)}, k LIMIT 1)"]
+    for r in range(1, rounds + 1):
+        parts.append(f"d{r} AS MATERIALIZED (SELECT p.k, p.x, p.y, min({away}) AS d FROM p, c{r - 1} c GROUP BY ALL)")
+        parts.append(f"""c{r} AS MATERIALIZED (SELECT * FROM c{r - 1} UNION SELECT k, x, y FROM d{r}
+            WHERE {draw(r)} / {BUCKETS}::DOUBLE < d * ({per_round} / (SELECT sum(d) FROM d{r})))""")
+    parts.append(f"""n AS (SELECT p.k, c.k AS c, row_number() OVER (PARTITION BY p.k ORDER BY {away}, c.k) AS r
+        FROM p, c{rounds} c)""")
+    parts.append(f"w AS MATERIALIZED (SELECT c.*, count(*) AS w FROM c{rounds} c JOIN n ON n.c = c.k AND r = 1 GROUP BY ALL)")
+    parts.append("s1 AS MATERIALIZED (SELECT 0 AS i, k, x, y FROM w ORDER BY w DESC, k LIMIT 1)")
+    for i in range(2, k + 1):
+        parts.append(f"""s{i} AS MATERIALIZED (SELECT * FROM s{i - 1} UNION ALL (
+            SELECT {i - 1}, p.k, p.x, p.y FROM w p, s{i - 1} c GROUP BY p.k, p.x, p.y, p.w ORDER BY p.w * min({away}) DESC, p.k LIMIT 1))""")
+    return "WITH " + ", ".join(parts) + f" SELECT i AS cluster, round(x, 6) + 0.0::DOUBLE AS x, round(y, 6) + 0.0::DOUBLE AS y FROM s{k}"
