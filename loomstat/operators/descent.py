@@ -13,12 +13,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions import doubles
 from loomstat.operators.partitions import held
 from loomstat.operators.sampling import in_share
+from loomstat.session import scratch_path
 
 # (label, features, weights) -> (one gradient column per weight, loss column)
 Gradient = Callable[[Column, list[Column], list[float]], tuple[list[Column], Column]]
@@ -109,9 +111,11 @@ def l2_penalty(weights: np.ndarray, gradient: np.ndarray, step: float, reg_param
 
 UPDATERS: dict[str, Updater] = {"NONE": no_penalty, "L1": l1_penalty, "L2": l2_penalty}
 
-# A gram matrix of d features costs d * d / 2 aggregates in one pass; beyond this many features
-# the passes of the step-wise loop are cheaper to plan.
+# A gram matrix of d features costs d * d / 2 aggregates in one pass, as columns up to this many features.
 GRAM_LIMIT = 40
+# Up to so many features the matrix is added up in numpy, one per task, and put together by blocks.
+WIDE_GRAM_LIMIT = 2000
+GRAM_BLOCK = 128
 
 
 def descend(
@@ -150,17 +154,22 @@ def descend(
             data = kept.dropna(subset=["_label", "_x"])
             width = len(initial) if initial is not None else _width(data)
             weights = np.array(initial if initial is not None else [0.0] * width, dtype=float)
-            return _sampled(_loop(_from_vectors(data, gradient, batch_share), update, weights, *steps), batch_share)
+            batch = _batches(data, batch_share, num_iterations)
+            return _sampled(_loop(_from_vectors(batch, gradient), update, weights, *steps), batch_share)
     weights = np.array(initial if initial is not None else [0.0] * len(features), dtype=float)
-    if gradient is least_squares and batch_share >= 1.0 and len(features) <= GRAM_LIMIT:
+    whole = gradient is least_squares and batch_share >= 1.0
+    if whole and len(features) <= GRAM_LIMIT:
         complete = rows.dropna(subset=[label, *features])
         return _loop(_from_products(complete, label, features), update, weights, *steps)
+    if whole and len(features) <= WIDE_GRAM_LIMIT:
+        cells = F.array(*[F.col(c).cast("double") for c in [*features, label]])
+        return _loop(_from_blocks(rows.select(cells.alias("_x")), len(features)), update, weights, *steps)
     named = [f"_x{j}" for j in range(len(features))]
     columns += [F.col(f).cast("double").alias(x) for f, x in zip(features, named)]
     with held(rows.select(*columns)) as kept:
         # filtered after they are held: a filter below would be worked out on the features' definitions
-        data = kept.dropna(subset=["_label", *named])
-        return _sampled(_loop(_from_rows(data, len(features), gradient, batch_share), update, weights, *steps), batch_share)
+        batch = _batches(kept.dropna(subset=["_label", *named]), batch_share, num_iterations)
+        return _sampled(_loop(_from_rows(batch, len(features), gradient), update, weights, *steps), batch_share)
 
 
 @contextmanager
@@ -175,12 +184,13 @@ def evaluations(
             raise ValueError("a vector column needs a linear gradient")
         with held(rows.select(target, F.col(features).alias("_x"))) as kept:
             data = kept.dropna(subset=["_label", "_x"])
-            measure = _from_vectors(data, gradient, 1.0)
+            measure = _from_vectors(lambda i: data, gradient)
             yield lambda weights: measure(weights, 1), width if width is not None else _width(data)
         return
     named = [f"_x{j}" for j in range(len(features))]
     with held(rows.select(target, *[F.col(f).cast("double").alias(x) for f, x in zip(features, named)])) as kept:
-        measure = _from_rows(kept.dropna(subset=["_label", *named]), len(named), gradient, 1.0)
+        data = kept.dropna(subset=["_label", *named])
+        measure = _from_rows(lambda i: data, len(named), gradient)
         yield lambda weights: measure(weights, 1), len(named)
 
 
@@ -207,10 +217,37 @@ def _loop(measure, update, weights, step_size, num_iterations, reg_param, tolera
     return Descent([float(w) for w in weights], losses)
 
 
-def _batch(data: DataFrame, batch_share: float, i: int) -> DataFrame:
+def _batches(data: DataFrame, batch_share: float, num_iterations: int) -> Callable[[int], DataFrame]:
+    """The rows of each step: all of them, or its sample.
+
+    Samples are dealt ahead for as many steps as fill about one copy of the table: one pass writes every row
+    under the steps whose sample it is in, and a step reads its own files only. Many steps of small
+    samples thus cost one pass, not one each.
+    """
     if batch_share >= 1.0:
-        return data
-    return data.filter(in_share(batch_share, F.col("_key"), F.lit(i)))
+        return lambda i: data
+    ahead = max(1, int(1 / batch_share))
+    dealt: dict[int, DataFrame] = {}
+
+    def batch(i: int) -> DataFrame:
+        first = (i - 1) // ahead * ahead + 1
+        if first not in dealt:
+            dealt.clear()
+            dealt[first] = _dealt(data, batch_share, first, min(num_iterations, first + ahead - 1))
+        return dealt[first].filter(F.col("_step") == i).drop("_step")
+
+    return batch
+
+
+def _dealt(data: DataFrame, batch_share: float, first: int, last: int) -> DataFrame:
+    """Every row once per step from ``first`` to ``last`` that samples it, written by step."""
+    path = scratch_path(data.sparkSession, "batches")
+    own = F.filter(F.sequence(F.lit(first), F.lit(last)), lambda i: in_share(batch_share, F.col("_key"), i))
+    each = data.select("*", F.explode(own).alias("_step"))
+    parts = max(1, round(data.rdd.getNumPartitions() * batch_share))  # files per step, as large as the table's
+    spread = F.pmod(F.xxhash64("_key"), F.lit(parts))
+    each.repartition(F.col("_step"), spread).write.partitionBy("_step").parquet(path)
+    return data.sparkSession.read.schema(each.schema).parquet(path)
 
 
 def _width(data: DataFrame) -> int:
@@ -218,7 +255,7 @@ def _width(data: DataFrame) -> int:
     return first["_x"].size if first else 0
 
 
-def _from_vectors(data, gradient, batch_share):
+def _from_vectors(batch, gradient):
     """Sums of number times vector by slot: each task adds up its slots, and these are added by slot
     number. A slot's sum is one row, so no task ever holds the whole gradient of all partitions."""
     vector = F.unwrap_udt("_x")
@@ -229,7 +266,7 @@ def _from_vectors(data, gradient, batch_share):
 
     def measure(weights: np.ndarray, i: int):
         number, loss = gradient.pull(F.col("_label"), margin("_x", [float(w) for w in weights]))
-        scored = _batch(data, batch_share, i).select(cells.alias("_s"), number.alias("_c"), loss.alias("_l"))
+        scored = batch(i).select(cells.alias("_s"), number.alias("_c"), loss.alias("_l"))
         # slot -1 carries the row itself: its count and its loss
         each = scored.select("_c", "_l", F.explode(F.concat(F.array(nothing), "_s")).alias("_e"))
         own = F.col("_e.i") < 0
@@ -250,14 +287,13 @@ def _from_vectors(data, gradient, batch_share):
     return measure
 
 
-def _from_rows(data, width, gradient, batch_share):
+def _from_rows(batch, width, gradient):
     xs = [F.col(f"_x{j}") for j in range(width)]
 
     def measure(weights: np.ndarray, i: int):
-        batch = _batch(data, batch_share, i)
         parts, loss = gradient(F.col("_label"), xs, [float(w) for w in weights])
         named = [F.sum(g).alias(f"g{j}") for j, g in enumerate(parts)]
-        row = batch.agg(F.count(loss).alias("n"), F.sum(loss).alias("loss"), *named).collect()[0]
+        row = batch(i).agg(F.count(loss).alias("n"), F.sum(loss).alias("loss"), *named).collect()[0]
         if row["n"] == 0:
             return None
         return np.array([row[f"g{j}"] for j in range(len(parts))]) / row["n"], row["loss"] / row["n"]
@@ -276,7 +312,12 @@ def _from_products(rows, label, features):
     product = np.zeros((d + 1, d + 1))
     for a, b in pairs:
         product[a, b] = product[b, a] = row[f"p{a}_{b}"]
-    gram, cross, square = product[:d, :d], product[:d, d], product[d, d]
+    return _measure_of(product)
+
+
+def _measure_of(product: np.ndarray):
+    """Mean gradient and loss of least squares from the mean products of features and label."""
+    gram, cross, square = product[:-1, :-1], product[:-1, -1], product[-1, -1]
 
     def measure(weights: np.ndarray, i: int):
         pull = gram @ weights
@@ -286,6 +327,46 @@ def _from_products(rows, label, features):
     return measure
 
 
+def _from_blocks(rows: DataFrame, width: int):
+    """The mean products of wide rows ``_x`` (features, then label) in one pass.
+
+    Each task adds up the outer products of its rows and sends them as blocks; the sum over all tasks is
+    taken per (block, cell), so no task holds more than one matrix of its own and a share of the blocks.
+    """
+    d = width + 1
+    starts = range(0, d, GRAM_BLOCK)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, np.zeros((d, d))
+        for batch in batches:
+            flat = batch.column(0).flatten()
+            x = flat.to_numpy(zero_copy_only=False).reshape(-1, d)  # nulls come as NaN
+            null = np.asarray(flat.is_null()).reshape(-1, d).any(1) | np.isnan(x).any(1)
+            x = x[~null]
+            n += len(x)
+            total += x.T @ x
+        cells = [(a, b, total[a : a + GRAM_BLOCK, b : b + GRAM_BLOCK].ravel()) for a in starts for b in starts if a <= b]
+        cells.append((-1, -1, np.array([float(n)])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int32()),
+             pa.array([c[2] for c in cells], pa.list_(pa.float64()))], ["a", "b", "cells"]
+        )
+
+    parts = rows.mapInArrow(work, "a int, b int, cells array<double>")
+    each = parts.select("a", "b", F.posexplode("cells").alias("i", "v")).groupBy("a", "b", "i").agg(F.sum("v").alias("v"))
+    product, n = np.zeros((d, d)), 0.0
+    for r in each.collect():
+        if r["a"] < 0:
+            n = r["v"]
+            continue
+        wide = min(GRAM_BLOCK, d - r["b"])
+        i, j = r["a"] + r["i"] // wide, r["b"] + r["i"] % wide
+        product[i, j] = product[j, i] = r["v"]
+    if not n:
+        return lambda weights, i: None
+    return _measure_of(product / n)
+
+
 def linear_regression(
     rows: DataFrame,
     label: str,

@@ -8,6 +8,7 @@ from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
 from pyspark.sql import functions as F
 
 from loomstat.operators import descent
+from loomstat.operators.sampling import in_share
 from loomstat.operators.features import assemble
 from loomstat.plans.catalog.models import EDGE, huber
 
@@ -122,3 +123,37 @@ def test_sparse_wide_vectors(spark):
     model = descent.linear_svm(df, "label", "features", 5, 1.0, reg_param=0.0)
     assert len(model.weights) == 5000 and sum(w != 0 for w in model.weights) <= 10
     assert model.losses[-1] < model.losses[0]
+
+
+def test_a_small_sample_reads_its_share_of_the_rows_only(spark):
+    data = spark.range(20_000).select(F.col("id").alias("_key"), F.lit(1.0).alias("_label")).repartition(8)
+    batch = descent._batches(data, 0.01, 100)
+    sizes = []
+    for i in (1, 2, 77, 100):
+        step = batch(i)
+        keys = {r["_key"] for r in step.collect()}
+        want = data.filter(in_share(0.01, F.col("_key"), F.lit(i)))
+        assert keys == {r["_key"] for r in want.collect()}
+        scan = step._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        sizes.append(scan.metrics().get("numOutputRows").get().value())
+        assert sizes[-1] == len(keys)
+    assert all(100 < n < 320 for n in sizes)
+
+
+def test_wide_rows_take_one_pass(spark, monkeypatch):
+    """500 features: the same weights as step by step, and every step but the first costs no job."""
+    rng = np.random.default_rng(3)
+    names = [f"f{j}" for j in range(500)]
+    x = rng.normal(size=(120, 500)) / 10
+    cells = [(*map(float, r), float(y)) for r, y in zip(x, x @ rng.normal(size=500))] + [(None, *[1.0] * 499, 1.0)]
+    df = spark.createDataFrame(cells, [*names, "y"]).repartition(3)
+    monkeypatch.setattr(descent, "_from_rows", None)  # not reached
+    wide = descent.linear_regression(df, "y", names, 30, 0.5, "L1", 0.001, 0.0)
+    w, losses = np.zeros(500), []
+    y = np.array([c[-1] for c in cells[:-1]])
+    for i in range(1, 31):
+        error = x @ w - y
+        losses.append(float((error @ error) / 240 + 0.001 * np.abs(w).sum()))
+        w, _ = descent.l1_penalty(w, x.T @ error / 120, 0.5 / np.sqrt(i), 0.001)
+    assert wide.weights == pytest.approx(list(w), abs=1e-9) and wide.losses == pytest.approx(losses)
+    assert descent.linear_regression(df.limit(0), "y", names, 3).losses == []
