@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomstat.functions import doubles
 from loomstat.operators.joins import join_lookup
 from loomstat.operators.partitions import held
 
@@ -118,30 +119,54 @@ def word_bayes(words: DataFrame, label: str, word: str, key: str, smoothing: flo
     """Multinomial naive Bayes over whole texts and their whole vocabulary: ``key, prediction``.
 
     ``words`` has one row per word of a text, with the text's key and label; a null word stands for a
-    text without words. The model is a table of one row per word with a count per class, joined to
-    each text's distinct words, so the vocabulary is never part of a plan. The classes are; more than
-    a hundred are refused. Ties are broken as in ``naive_bayes_score``.
+    text without words, a text without a label is predicted but not learned from.
+
+    The model is long: for each word, the classes that hold it and how far its log weight there lies
+    above that of an absent word. A text's score under a class is the class's prior, plus the weight of
+    as many absent words as the text is long, plus these differences, which are never negative. So
+    the best class is the better one of two: the best of those that share a word with the text, found
+    among (text, class) rows, and the best by prior and length alone, found from one number per class.
+    No class is a column, and there may be as many as fit into one array. Ties are broken as in
+    ``naive_bayes_score``: the smallest label within a billionth of the best score.
     """
-    texts = words.groupBy(key).agg(F.first(label).alias(label))
-    sizes = {r[0]: r[1] for r in texts.groupBy(label).agg(F.count("*")).limit(102).collect()}
+    if smoothing <= 0:
+        raise ValueError("word_bayes needs a smoothing above zero")
+    texts = words.groupBy(key).agg(F.first(label).alias(label), F.count(word).cast("double").alias("_length"))
+    sizes = {r[0]: r[1] for r in texts.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*")).collect()}
     labels = sorted(sizes)
-    if len(labels) > 100:
-        raise ValueError("word_bayes is meant for up to a hundred classes")
+    kind = words.schema[label].dataType
+    if not labels:
+        return texts.select(key, F.lit(None).cast(kind).alias("prediction"))
     named = words.filter(F.col(word).isNotNull())
-    counts = named.groupBy(word).agg(*[F.count_if(F.col(label) == c).alias(f"c{i}") for i, c in enumerate(labels)])
-    sums = counts.agg(F.count("*").alias("v"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(labels))]).first()
-    lam, total = float(smoothing), sum(sizes.values()) + float(smoothing) * len(labels)
-
-    def log(i: int) -> Column:
-        return F.log((F.col(f"c{i}") + lam) / ((sums[f"c{i}"] or 0) + lam * sums["v"])).alias(f"l{i}")
-
-    model = counts.select(word, *[log(i) for i in range(len(labels))])
+    number = F.broadcast(words.sparkSession.createDataFrame(list(enumerate(labels)), f"_c int, {label} {kind.simpleString()}"))
+    counts = named.join(number, label).groupBy(word, "_c").agg(F.count("*").cast("double").alias("_n"))
+    totals = {r["_c"]: r["n"] for r in counts.groupBy("_c").agg(F.sum("_n").alias("n")).collect()}
+    vocabulary = named.select(word).distinct().count()
+    lam = float(smoothing)
+    every = sum(sizes.values()) + lam * len(labels)
+    prior = [math.log((sizes[c] + lam) / every) for c in labels]
+    mass = [totals.get(i, 0.0) + lam * vocabulary for i in range(len(labels))]
+    absent = [math.log(lam / m) if m else 0.0 for m in mass]
+    gain = F.log((F.col("_n") + lam) / F.lit(lam)).alias("gain")
+    model = counts.groupBy(word).agg(F.collect_list(F.struct("_c", gain)).alias("_classes"))
     own = named.groupBy(key, word).agg(F.count("*").alias("_tf"))
-    met = join_lookup(own, model, word, F.col(key), 8 * len(labels) + 64)
-    scored = met.groupBy(key).agg(*[F.sum(F.col("_tf") * F.col(f"l{i}")).alias(f"l{i}") for i in range(len(labels))])
-    every = texts.select(key).join(scored, key, "left")
-    scores = [F.coalesce(f"l{i}", F.lit(0.0)) + math.log((sizes[c] + lam) / total) for i, c in enumerate(labels)]
-    return every.select(key, _first_near_best(scores, [F.lit(c) for c in labels]).alias("prediction"))
+    met = join_lookup(own, model, word, F.col(key), 16 * min(len(labels), 64) + 64)
+    each = met.select(key, "_tf", F.explode("_classes").alias("_m"))
+    above = each.groupBy(key, F.col("_m._c").alias("_c")).agg(F.sum(F.col("_tf") * F.col("_m.gain")).alias("_above"))
+    lengths = texts.select(key, "_length")
+    base = F.get(doubles(prior), F.col("_c")) + F.col("_length") * F.get(doubles(absent), F.col("_c"))
+    shared = above.join(lengths, key).select(key, "_c", (base + F.col("_above")).alias("_score"))
+    first = shared.groupBy(key).agg(F.max("_score").alias("_best"))
+    lines = F.zip_with(doubles(prior), doubles(absent), lambda p, a: p + F.col("_length") * a)
+    alone = lengths.withColumn("_alone", lines)
+    best = alone.join(first, key, "left").withColumn("_best", F.greatest(F.array_max("_alone"), "_best"))
+    best = best.withColumn("_near", F.col("_best") - F.abs("_best") * NEAR)
+    by_length = F.array_position(F.transform("_alone", lambda x: x >= F.col("_near")), True) - 1
+    best = best.select(key, "_near", F.when(by_length >= 0, by_length).cast("int").alias("_lone"))
+    near = shared.join(best.select(key, "_near"), key).filter(F.col("_score") >= F.col("_near"))
+    found = best.select(key, "_lone").join(near.groupBy(key).agg(F.min("_c").alias("_c")), key, "left")
+    known = F.array(*[F.lit(c) for c in labels])
+    return found.select(key, F.get(known, F.least("_lone", "_c")).alias("prediction"))
 
 
 def check_tree(algo: str, impurity: str) -> None:

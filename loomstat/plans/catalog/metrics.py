@@ -144,6 +144,35 @@ def eval_auc_pr(spark, folder):
     return area.select(rounded("auc_pr").alias("auc_pr"))
 
 
+_BIN = "floor((e + 1075 + s / 2.0::DOUBLE ** e - 1) * 1024) + 1"
+SUMMARY_SQL = f"""
+    WITH b AS (SELECT CASE WHEN s > 0 THEN {_BIN} ELSE 0 END AS bin, y FROM (
+             SELECT *, floor(log2(nullif(abs(s), 0))) AS e FROM ({{rows}}))),
+    c AS (SELECT bin, sum(y)::DOUBLE AS p, sum(1 - y)::DOUBLE AS n FROM b GROUP BY bin),
+    d AS (SELECT *, coalesce(sum(p) OVER w, 0) AS tp, coalesce(sum(n) OVER w, 0) AS fp,
+                 sum(p) OVER () AS all_p, sum(n) OVER () AS all_n
+          FROM c WINDOW w AS (ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    r AS (SELECT *, coalesce(tp / nullif(tp + fp + n, 0), 0) AS low, coalesce((tp + p) / nullif(tp + p + fp, 0), 0) AS high FROM d)
+"""
+
+
+@query(
+    "eval_areas_summary",
+    SUMMARY_SQL.format(rows="SELECT l_extendedprice AS s, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem")
+    + """SELECT round(sum(n * (tp + p / 2)) / first(all_p * all_n), 6) AS auc_roc,
+                round(sum(n * p / 2) / first(all_p * all_n), 6) AS roc_error,
+                round(sum(p * (low + high) / 2) / first(all_p), 6) AS auc_pr,
+                round(sum(p * (high - low) / 2) / first(all_p), 6) AS pr_error FROM r""",
+)
+def eval_areas_summary(spark, folder):
+    """Both areas of the price as a score for returns, from a summary of bounded size, with their errors."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_extendedprice").alias("prediction"), F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label")
+    )
+    found = evaluate.summary_areas(evaluate.score_summary(lines))
+    return found.select(*[rounded(c).alias(c) for c in found.columns])
+
+
 @query(
     "eval_threshold_curve",
     f"SELECT score, pos, neg, tp::BIGINT AS tp, fp::BIGINT AS fp FROM (SELECT * FROM ({CURVE_SQL} SELECT * FROM c))",

@@ -1,5 +1,9 @@
 """Results that must not depend on a table's size, a label's scale or a switch between ways."""
 
+import math
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +102,25 @@ def test_word_bayes_equals_counting_by_hand(spark):
     each = rows.select("id", "label", F.explode_outer(F.filter(F.split("text", " "), lambda w: w != "")).alias("w"))
     found = {r["id"]: r["prediction"] for r in classify.word_bayes(each, "label", "w", "id").collect()}
     assert found == {1: "a", 2: "b", 3: "a", 4: "a", 5: "c"}
+
+
+def test_word_bayes_with_a_thousand_classes(spark):
+    """Against counting and scoring every class for every text."""
+    rng = random.Random(4)
+    texts = [(i, f"c{i % 1000:04}", [f"w{rng.randrange(30) + i % 1000 % 40 * 5}" for _ in range(rng.randrange(6))]) for i in range(2100)]
+    texts += [(5000, None, ["w3", "new"]), (5001, None, [])]
+    rows = spark.createDataFrame(texts, "id int, label string, w array<string>").select("id", "label", F.explode_outer("w").alias("w"))
+    found = {r["id"]: r["prediction"] for r in classify.word_bayes(rows, "label", "w", "id").collect()}
+    n, words, total = Counter(), Counter(), Counter()
+    for _, c, ws in texts:
+        if c is not None:
+            n[c] += 1
+            total[c] += len(ws)
+            words.update((c, w) for w in ws)
+    v = len({w for _, _, ws in texts for w in ws})
+    prior = {c: math.log((n[c] + 1) / (sum(n.values()) + len(n))) for c in n}
+    assert len(found) == len(texts)
+    for i, _, ws in rng.sample(texts, 150) + texts[-2:]:
+        scores = {c: prior[c] + sum(math.log((words[c, w] + 1) / (total[c] + v)) for w in ws) for c in n}
+        best = max(scores.values())
+        assert found[i] == min(c for c, s in scores.items() if s >= best - abs(best) * 1e-9)
