@@ -205,11 +205,16 @@ def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.edited_counts(trees, vocabulary, edits).drop("text_edited")
 
 
+def token_length(spark: SparkSession, path: str = TOKENIZER) -> Column:
+    """Number of tokens of the column ``text``, by the vocabulary at this path of the driver."""
+    return tokens.token_count(spark, tokens.Vocabulary.read(path))(F.col("text"))
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents, as UTF-8 byte tokens, packed into sequences of four permitted lengths."""
+    """All documents, as tokens, packed into sequences of four permitted lengths."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return packing.pack(docs, F.octet_length("text"))
+    return packing.pack(docs, token_length(spark))
 
 
 @query

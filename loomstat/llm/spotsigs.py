@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from loomstat.llm.jaccard import SimilarSets
 from loomstat.llm.words import BASE, mixed, shingle_hashes, slices, word_hashes
-from loomstat.operators.ordering import with_ordered_chunks
+from loomstat.operators.ordering import with_ordered_chunks, with_row_index
 
 # Frequent function words of English, German, French and Spanish.
 ANCHORS = (
@@ -99,15 +99,21 @@ def edited(text: str, following: str) -> str:
 def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Rows ``part, last, key, text``: in sorted partitions every row's successor comes next.
 
-    The keys' range is cut into parts of some thousand rows. The first row of the next part with rows
-    (after the last part: of the first) is added behind each part's own rows, marked ``last``. Null
-    keys come first; repeated keys go by a hash of the text. The texts are shuffled once.
+    The keys' range is cut into parts of some thousand rows, and a key with many rows is cut again. The
+    first row of the next part with rows (after the last part: of the first) is added behind each
+    part's own rows, marked ``last``. Null keys come first; repeated keys go by a hash of the text. Keys
+    are numbers, dates or times, and the texts are then shuffled once; keys of any other ordered type are
+    numbered in their order first, which joins the texts to their keys' numbers.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("place", F.col("key"))
+    if not isinstance(rows.schema["key"].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        numbers = with_row_index(rows.select("key").filter("key is not null").distinct(), [F.col("key")], "place")
+        rows = rows.drop("place").join(numbers, "key", "left").select("key", "text", "tie", "place")
     count = docs.count()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // 20_000)) if count else 1
-    placed = with_ordered_chunks(rows, "key", None, parts, "part").withColumn("tie", F.xxhash64("text"))
+    placed = with_ordered_chunks(rows, "place", "tie", parts, "part").drop("place")
     own = F.struct(F.col("key").isNotNull().alias("known"), "key", "tie")
     heads = placed.groupBy("part").agg(F.min(own).alias("head")).collect()
     heads.sort(key=lambda r: r["part"])

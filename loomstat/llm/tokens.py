@@ -11,13 +11,13 @@ are joined, encoded again and put in the place of the old ones, and only the sum
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,6 +166,21 @@ def apply_edits(
     return text, encoded
 
 
+def token_count(spark: SparkSession, vocabulary: Vocabulary) -> Callable[[Column], Column]:
+    """A function from a text column to its number of tokens; 0 for null and empty.
+
+    Texts are encoded leaf by leaf, so memory beside the text does not grow with it.
+    """
+    sent = spark.sparkContext.broadcast(vocabulary)
+
+    @F.arrow_udf("long")
+    def count(texts: pa.Array) -> pa.Array:
+        enc = encoding(sent.value)
+        return pa.array([TokenTree.build(t or "", enc).total for t in texts.to_pylist()], pa.int64())
+
+    return lambda text: count(text.cast("string"))
+
+
 def token_trees(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, text, n_tokens`` and the tree's leaves: ``leaf_chars`` and ``leaf_tokens``.
 

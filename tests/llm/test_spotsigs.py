@@ -53,6 +53,21 @@ def test_odd_rows_follow_the_next_document(odd, none, odd_rows):
     assert len(alone) == 1 and alone[0]["near_next"] == 1.0
 
 
+def test_keys_of_any_order_and_one_key_with_most_rows(spark, odd_rows):
+    named = [(f"k{d:05}" if d is not None else None, t) for d, t, *_ in odd_rows if d not in (8, 12)]
+    named = [r for i, r in enumerate(named) if r[0] is not None or named[i - 1][0] is not None]  # one null
+    rows = S.compared(spark.createDataFrame(named, "doc_id string, text string").repartition(3)).collect()
+    docs = sorted(((d, t or "") for d, t in named), key=lambda r: (r[0] is not None, r[0] or ""))
+    found = {r["doc_id"]: r["edited_sha256"] for r in rows}
+    assert len(rows) == len(docs)
+    for (d, text), (_, following) in zip(docs, docs[1:] + docs[:1]):
+        half = len(text) // 2
+        assert found[d] == hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()
+    many = spark.range(60_000).select(F.lit(5).alias("doc_id"), F.concat(F.lit("the "), F.col("id").cast("string")).alias("text"))
+    parts = S.with_next(many, "doc_id", "text").groupBy("part").agg(F.count_if(F.col("last") == 0).alias("n")).collect()
+    assert len(parts) >= 3 and sum(r["n"] for r in parts) == 60_000 and max(r["n"] for r in parts) < 35_000
+
+
 def test_near_duplicates_by_fingerprint(spark, odd, none):
     rng = random.Random(9)
     base = [rng.choice(["the", "of", "is"]) if i % 3 == 0 else f"w{rng.randrange(500)}" for i in range(300)]
