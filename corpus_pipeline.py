@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import jaccard, mixing, packing, rules, toxicity
-from loomstat.llm.queries import toxicity_model
+from loomstat.llm.queries import token_length, toxicity_model
 from loomstat.llm.tables import packed, table, unpacked
 from loomstat.session import scratch_path
 
@@ -35,7 +35,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of permitted lengths, each filled from one stretch of the mix.
+    """Pieces of documents, in tokens, in sequences of permitted lengths, each filled from one stretch of the mix.
 
     The mix was written in order, so rows that follow each other in a file are neighbours in it.
     Rows that come from no file are packed in groups dealt at random.
@@ -46,7 +46,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         file = F.col("_metadata.file_name")
         part = F.regexp_extract(file, r"^part-(\d+)", 1)  # what follows it is another text in every run
         stretch = F.concat_ws("/", F.when(part != "", part).otherwise(file), chunk)
-    return packing.pack(docs, F.octet_length("text"), group=stretch)
+    return packing.pack(docs, token_length(spark), group=stretch)
 
 
 STAGES = [
