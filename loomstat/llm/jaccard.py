@@ -34,13 +34,14 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from loomstat.llm.components import components
-from loomstat.llm.tables import BROADCAST_BYTES, row_hash, small
+from loomstat.llm.tables import row_hash, small
 from loomstat.llm.words import mixed, shingle_hashes, slices, word_hashes
 from loomstat.session import scratch_path
 
 SKETCH = 1 << 18
 LIST_ROWS = 100_000
 SEEN_SETS = 200_000
+BITMAP_BITS = 1 << 22
 
 Grams = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
@@ -228,10 +229,7 @@ class SimilarSets:
         count = names.count()
         if not count:
             return pairs
-        wanted = None
-        if count * 8 <= BROADCAST_BYTES:
-            ids = np.sort(np.array([r["a"] for r in names.select("a").toLocalIterator()], np.int64))
-            wanted = self.spark.sparkContext.broadcast(ids)
+        wanted = self.spark.sparkContext.broadcast(_bitmap(names))
         grams = self.grams
         schema = T.StructType([T.StructField(n, T.LongType()) for n in "ab"] + [T.StructField("s", T.ArrayType(T.LongType()))])
 
@@ -240,9 +238,8 @@ class SimilarSets:
             for batch in batches:
                 for i, j in slices(batch.column(0)):
                     flat, begins, a, b = gram_sets(batch.column(0).slice(i, j - i), grams)
-                    ok = np.diff(begins) > 0
-                    if wanted is not None:
-                        ok &= np.isin(a, wanted.value)
+                    bit = np.mod(a, BITMAP_BITS)
+                    ok = (np.diff(begins) > 0) & ((wanted.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) > 0)
                     rows = []
                     for d in np.flatnonzero(ok):
                         name = (int(a[d]), int(b[d]))
@@ -315,6 +312,19 @@ def _batch(columns: Sequence, schema: T.StructType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema.fieldNames())
 
 
+def _bitmap(names: DataFrame) -> np.ndarray:
+    """A bit per remainder of the names: most sets that nobody asks for are told by it and not built.
+
+    Of any number of names the driver gets this fixed number of bits; the join on names decides.
+    """
+    bit = F.pmod("a", F.lit(BITMAP_BITS))
+    cells = names.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(a, {BITMAP_BITS}) % 64 as int))").alias("v"))
+    out = np.zeros(BITMAP_BITS // 64, np.int64)
+    for r in cells.groupBy("w").agg(F.bit_or("v").alias("v")).collect():
+        out[r["w"]] = r["v"]
+    return out.view(np.uint64)
+
+
 def _with_main(placed: DataFrame) -> DataFrame:
     """The rows of lists with more than one ``home``, and ``main``, the home of most of a list's rows.
 

@@ -95,3 +95,12 @@ def test_components_of_links(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
     path = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r["v"] for r in components(path).collect()} == {0}
+
+
+def test_the_bitmap_holds_every_name(spark):
+    names = spark.createDataFrame([(a,) for a in (0, 1, -1, 63, 64, -(2**63), 2**63 - 1, J.BITMAP_BITS, 12345678901)], "a long")
+    bits = J._bitmap(names)
+    for r in names.collect():
+        place = r["a"] % J.BITMAP_BITS
+        assert int(bits[place >> 6]) >> (place & 63) & 1
+    assert sum(int(b).bit_count() for b in bits) == len({r["a"] % J.BITMAP_BITS for r in names.collect()})
