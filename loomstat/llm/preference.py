@@ -82,20 +82,15 @@ def preference_pairs(
     Tables without rows give none. A row of the result holds the two conversations of one pair.
     """
     rows = segments(chosen, rejected, pair, turn, role, text)
-    turns = rows.groupBy("pair", "part").agg(F.sort_array(F.collect_list(F.struct("n", "body", "learned"))).alias("t"))
-    size = F.transform("t", lambda x: F.length(x["body"]).cast("long"))
-    sized = turns.select("pair", "part", "t", size.alias("size"))
     zero = F.lit(0).cast("long")
-    span = F.transform(
-        "t",
-        lambda x, i: F.struct(
-            F.aggregate(F.slice("size", F.lit(1), i), zero, lambda a, s: a + s).alias("start"),
-            F.aggregate(F.slice("size", F.lit(1), i + 1), zero, lambda a, s: a + s).alias("end"),
-            x["learned"].alias("learned"),
-        ),
+    so_far = Window.partitionBy("pair", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.length("body").cast("long")
+    ends = rows.withColumn("end", F.sum(size).over(so_far)).withColumn("start", F.col("end") - size)
+    turns = ends.groupBy("pair", "part").agg(
+        F.sort_array(F.collect_list(F.struct("n", "body", "start", "end", "learned"))).alias("t")
     )
-    learned = F.transform(F.filter(span, lambda x: x["learned"]), lambda x: F.struct(x["start"], x["end"]))
-    parts = sized.select(
+    learned = F.transform(F.filter("t", lambda x: x["learned"]), lambda x: F.struct(x["start"], x["end"]))
+    parts = turns.select(
         "pair",
         "part",
         F.array_join(F.transform("t", lambda x: x["body"]), "").alias("body"),

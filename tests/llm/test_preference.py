@@ -41,3 +41,16 @@ def test_foreign_endings_differ_in_the_last_answer_only(spark):
     found = P.preference_pairs(chosen, rejected).collect()
     assert len(found) == 5 and all(r["n_shared"] == 1 and r["chosen"] != r["rejected"] for r in found)
     assert sorted(r["chosen"] for r in found) == sorted(r["rejected"] for r in found)
+
+
+def test_very_long_texts_and_very_many_turns(spark):
+    rows = [("long", 0, "user", "x" * 3_000_000), ("long", 1, "assistant", "y" * 2_000_000)]
+    many = [("many", t, ("user", "assistant")[t % 2], f"turn {t}") for t in range(20_000)]
+    chosen = table(spark, [*rows, *many])
+    rejected = table(spark, [*rows[:1], ("long", 1, "assistant", "z"), *many[:1], *[(p, t, r, x + "!") for p, t, r, x in many[1:]]])
+    found = {r["pair_id"]: r for r in P.preference_pairs(chosen, rejected).collect()}
+    assert found["long"]["n_shared"] == 1 and len(found["long"]["chosen"]) == 2_000_000 + len("<|assistant|>\n<|end|>\n")
+    r = found["many"]
+    assert r["n_shared"] == 1 and len(r["chosen_spans"]) == len(r["rejected_spans"]) == 10_000
+    for s, (_, _, _, text) in list(zip(r["rejected_spans"], many[1::2]))[::997]:
+        assert r["rejected"][s["start"] : s["end"]] == f"<|assistant|>\n{text}!<|end|>\n"
