@@ -62,6 +62,13 @@ def svm_sgd_l1(spark, folder):
     return weights_table(spark, model)
 
 
+@query("linreg_hundred_steps", oracle.Steps(ROWS_SQL, "price", FEATURES, "least_squares", "L2", 1.0, 0.1, 100).weights())
+def linreg_hundred_steps(spark, folder):
+    """As many steps as the jobs take by default, none left out by an early stop."""
+    model = descent.linear_regression(rows(spark, folder), "price", FEATURES, 100, tolerance=0.0)
+    return weights_table(spark, model)
+
+
 EDGE = 0.2
 
 
@@ -361,6 +368,7 @@ def _tree_nodes(name: str, impurity: str, depth: int) -> None:
 
 _tree_nodes("tree_nodes", "Gini", 3)
 _tree_nodes("tree_nodes_entropy", "Entropy", 2)
+_tree_nodes("tree_nodes_deep", "Gini", 5)  # the default depth of the jobs
 
 
 @query(
@@ -483,6 +491,16 @@ def recommend_top10(spark, folder):
     )
 
 
+@query("recommender_default")
+def recommender_default(spark, folder):
+    """Ten best products of the first user after the jobs' default fit: rank ten, twenty iterations."""
+    data = ratings(spark, folder).withColumn("pair", F.concat_ws(":", "user", "product"))
+    user = data.agg(F.min("user")).first()[0]
+    _, _, top = jobs.recommender(data, "pair", user=user, seed=7)
+    order = Window.orderBy(F.col("rating").desc(), "product")  # ten rows
+    return top.select(F.row_number().over(order).cast("long").alias("place"), "product", rounded("rating", 3).alias("rating"))
+
+
 @query(
     "recommender_job",
     f"""{_SPLIT_SQL}, p AS (SELECT count(*) AS ratings, count(DISTINCT user_id) AS users,
