@@ -170,8 +170,9 @@ def _best_splits(histogram: DataFrame, kind: str, stats: list[str]) -> DataFrame
 
 def _counted(rows: DataFrame, node: Column, wanted: list[int], stats: dict[str, Column]) -> DataFrame:
     """Histogram of the wanted nodes: ``node, f, bin`` and the sums; one aggregate."""
-    own = rows.select("_bins", "_y", node.alias("node")).filter(F.col("node").isin(wanted))
-    each = own.select("node", "_y", F.posexplode("_bins").alias("f", "bin"))
+    own = rows.select("_bins", "_y", node.alias("node"))
+    # rows of other nodes have no cells; a filter would be pushed below and walk the tree a second time
+    each = own.select("node", "_y", F.posexplode(F.when(F.col("node").isin(wanted), F.col("_bins"))).alias("f", "bin"))
     return each.groupBy("node", "f", "bin").agg(*[F.sum(c).alias(s) for s, c in stats.items()])
 
 
