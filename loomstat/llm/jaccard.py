@@ -18,8 +18,9 @@ overlap of ``t / (1 + t) * (|x| + |y|)``, and sizes within a factor of t.
   across components. After it every pair over the threshold is linked or already connected, so the
   components are exact, and a group of m near copies costs about m products, not m * m.
 
-Long lists are cut into parts of bounded size, by the counts known from the sketch; the parts' first
-rows are then joined the same way. Everything that is used twice is written to the shared folder.
+Long lists are cut into parts of bounded size, by the counts known from the sketch above its typical
+cell; the parts' first rows are then joined the same way, and the second round meets part by part.
+Everything that is used twice is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -98,6 +99,23 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def list_parts(counts: np.ndarray, typical: float) -> np.ndarray:
+    """Into how many parts the lists with these sketch counts are cut.
+
+    A cell counts its column and all others that fall on it, which the typical cell tells: however large
+    the table, only columns that stand out are cut.
+    """
+    return np.maximum(1, np.ceil((counts - typical) / LIST_ROWS)).astype(np.int64)
+
+
+def _room(least: str | Column, percent: int) -> Column:
+    """Whether what is left of a row (size n, place p) can match a row of this size, or of the least fitting one."""
+    least = F.col(least) if isinstance(least, str) else least
+    n = F.col("n")
+    size = n * 100 + F.greatest(least * 100, n * percent)
+    return (n - F.col("p")) * (100 + percent) * 100 >= size * percent
+
+
 def _fits(percent: int) -> Column:
     """Whether two rows that meet at a column (x, y: size n and place p) can still reach the bound."""
     nx, ny = F.col("x.n"), F.col("y.n")
@@ -157,6 +175,7 @@ class SimilarSets:
     def _entries(self) -> DataFrame:
         """First-block entries of every distinct set: column, list part, place p, size and name."""
         sent = self.spark.sparkContext.broadcast(self.weights)
+        typical = float(np.median(self.weights))
         grams, percent = self.grams, self.percent
         schema = T.StructType([T.StructField(n, T.LongType()) for n in ("g", "part", "parts", "p", "n", "a", "b")])
 
@@ -176,7 +195,7 @@ class SimilarSets:
                         own = flat[begins[d] : begins[d + 1]]
                         weight = weights[_bucket(own)]
                         order = np.lexsort((own, weight))[: prefix_length(n[d : d + 1], percent)[0]]
-                        parts = -(-weight[order] // LIST_ROWS)
+                        parts = list_parts(weight[order], typical)
                         part = (np.uint64(a[d].view(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
                         rest = [np.full(len(order), v, np.int64) for v in (n[d], a[d], b[d])]
                         out.append([own[order].view(np.int64), part, parts, np.arange(len(order)), *rest])
@@ -189,20 +208,28 @@ class SimilarSets:
         """Lists of rows that may have a partner: each row ``x`` beside the first row ``y`` of its list.
 
         In order of size, a row needs a neighbour before it within the threshold's factor, or one after
-        it that what is left of the row past this column can still match; else it has no partner in
-        the list. Most lists of rows that share a passage only end here. Parts of a long list are not
-        looked at alone and keep all their rows.
+        it, that what is left of the row past this column can still match; else it has no partner in
+        the list. The least size that can stand before it is the list's least, so in a list of rows of
+        one size those whose place is too late for each other all go. Most lists of rows that share a
+        passage end here. Of a long list only the least size of all its parts is known, and rows that
+        cannot match this or the least fitting size go.
         """
         by_size = Window.partitionBy("g", "part").orderBy("n", "a", "b")
         same = (F.lag("a").over(by_size) == F.col("a")) & (F.lag("b").over(by_size) == F.col("b"))
         once = self._entries().withColumn("same", same).filter(~F.coalesce("same", F.lit(False))).drop("same")
         before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+        whole = Window.partitionBy("g", "part")
         n, t = F.col("n"), self.percent
-        beside = (before * 100 >= n * t) | ((n - F.col("p")) * (100 + t) >= (n + after) * t)
+        ahead = (before * 100 >= n * t) & _room(F.min("n").over(whole), t)
+        beside = ahead | ((n - F.col("p")) * (100 + t) >= (n + after) * t)
         some = once.withColumn("beside", (F.col("parts") > 1) | F.coalesce(beside, F.lit(False))).filter("beside")
         row = F.struct("p", "n", "a", "b")
-        first = F.min(row).over(Window.partitionBy("g", "part"))
-        return self._written(some.select("g", "parts", row.alias("x"), first.alias("y")), "lists")
+        first = F.min(row).over(whole)
+        lists = self._written(some.select("g", "part", "parts", row.alias("x"), first.alias("y")), "lists")
+        long = lists.filter(F.col("parts") > 1)
+        least = long.groupBy("g").agg(F.min("x.n").alias("least"))
+        long = long.join(small(least, least.count(), 32), "g").select(*lists.columns, "x.n", "x.p", "least")
+        return lists.filter(F.col("parts") == 1).union(long.filter(_room("least", t)).select(*lists.columns))
 
     def _possible(self, pairs: DataFrame) -> DataFrame:
         """The pairs (xa, xb, ya, yb) that sizes and parities do not rule out."""
@@ -277,16 +304,19 @@ class SimilarSets:
         home = tree.select(F.col("u.a").alias("ua"), F.col("u.b").alias("ub"), F.col("v").alias("home"))
         home = small(home, home.count(), 64)
         own = F.struct(F.col("x.a").alias("a"), F.col("x.b").alias("b"))
-        placed = lists.select("g", "parts", "x").join(
+        placed = lists.select("g", "part", "parts", "x").join(
             home, (F.col("x.a") == F.col("ua")) & (F.col("x.b") == F.col("ub")), "left"
         )
-        placed = placed.select("g", "parts", "x", F.coalesce("home", own).alias("home"))
+        placed = placed.select("g", "part", "parts", "x", F.coalesce("home", own).alias("home"))
         dealt = self._written(_with_main(placed), "mixed")
         minor = dealt.filter(F.col("home") != F.col("main"))
-        one = minor.select("g", F.col("x").alias("x"), F.col("home").alias("hx"))
-        two = dealt.select("g", F.col("x").alias("y"), F.col("home").alias("hy"), (F.col("home") == F.col("main")).alias("big"))
+        # each part of a list meets each other part, so a long list is as many tasks as it has part pairs
+        others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+        one = minor.select("g", F.col("part").alias("xpart"), others.alias("ypart"), "x", F.col("home").alias("hx"))
+        big = (F.col("home") == F.col("main")).alias("big")
+        two = dealt.select("g", others.alias("xpart"), F.col("part").alias("ypart"), F.col("x").alias("y"), F.col("home").alias("hy"), big)
         # two minor rows meet once, from the lesser component; a main row meets every minor row
-        met = one.join(two, "g").filter(F.col("big") | (F.col("hx") < F.col("hy"))).filter(_fits(self.percent))
+        met = one.join(two, ["g", "xpart", "ypart"]).filter(F.col("big") | (F.col("hx") < F.col("hy"))).filter(_fits(self.percent))
         more = _pairs(met).join(first, ["xa", "xb", "ya", "yb"], "left_anti")
         second = self._written(more, "across")
         late = _as_links(self._exact(second))
@@ -337,12 +367,12 @@ def _with_main(placed: DataFrame) -> DataFrame:
     )
     short = short.filter(F.col("lo") != F.col("hi")).withColumn("c", F.count("*").over(of_home))
     main = F.max(F.struct("c", "home")).over(of_list)["home"]
-    short = short.select("g", "x", "home", main.alias("main"))
+    short = short.select("g", "part", "parts", "x", "home", main.alias("main"))
     long = placed.filter(F.col("parts") > 1)
     counts = long.groupBy("g", "home").agg(F.count("*").alias("c"))
     largest = counts.groupBy("g").agg(F.max(F.struct("c", "home"))["home"].alias("main"), F.count("*").alias("homes"))
     largest = largest.filter(F.col("homes") > 1).drop("homes")
-    return short.union(long.join(largest, "g").select("g", "x", "home", "main"))
+    return short.union(long.join(largest, "g").select("g", "part", "parts", "x", "home", "main"))
 
 
 def _pairs(met: DataFrame) -> DataFrame:

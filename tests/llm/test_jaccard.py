@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,33 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert sorted((tuple(r) for r in J.jaccard_components(docs).collect()), key=str) == plain(rows, 3, 90)
 
 
+@pytest.mark.parametrize("list_rows", [100_000, 40])
+def test_rows_just_below_the_threshold_are_not_multiplied(spark, monkeypatch, list_rows):
+    monkeypatch.setattr(J, "LIST_ROWS", list_rows)
+    common, met = [f"c{i}" for i in range(952)], []
+    rows = [(i, " ".join(common + [f"r{i}x{k}" for k in range(60 + i % 3)])) for i in range(240)]
+    rows.append((500, rows[7][1] + " more"))  # and one near copy
+    exact = J.SimilarSets._exact
+
+    def counted(self, pairs):
+        met.append(pairs.count())
+        return exact(self, pairs)
+
+    monkeypatch.setattr(J.SimilarSets, "_exact", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(docs).collect()}
+    assert found == {**{i: i for i in range(240)}, 500: 7}
+    assert sum(met) <= 2 * len(rows)  # all pairs: 28,920
+
+
+def test_only_columns_that_stand_out_are_cut(monkeypatch):
+    monkeypatch.setattr(J, "LIST_ROWS", 100)
+    counts = np.full(1000, 5_000) + np.arange(1000) % 50
+    counts[7] += 950
+    parts = J.list_parts(counts, float(np.median(counts)))
+    assert parts[7] == 10 and np.delete(parts, 7).max() == 1
+
+
 def test_odd_rows(odd, none, odd_rows):
     found = J.jaccard_components(odd).collect()
     assert sorted((tuple(r) for r in found), key=str) == plain([r[:2] for r in odd_rows], 3, 90)
