@@ -43,6 +43,7 @@ SKETCH = 1 << 18
 LIST_ROWS = 100_000
 SEEN_SETS = 200_000
 BITMAP_BITS = 1 << 22
+_OWN_AND_NEXT = (np.uint64(0), np.uint64(1 << 48))
 
 Grams = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
@@ -99,6 +100,17 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def length_bands(n: np.ndarray, percent: int) -> np.ndarray:
+    """The band of each set length: a set and any one similar to it are in the same or neighbouring bands.
+
+    A band ends at the greatest length that its least length can be similar to.
+    """
+    edges = [1]
+    while edges[-1] <= n.max(initial=0):
+        edges.append(edges[-1] * 100 // percent + 1)
+    return np.searchsorted(np.array(edges), n, "right")
+
+
 def list_parts(counts: np.ndarray, typical: float) -> np.ndarray:
     """Into how many parts the lists with these sketch counts are cut.
 
@@ -125,12 +137,18 @@ def _fits(percent: int) -> Column:
 
 
 class SimilarSets:
-    """The steps of one join over ``docs``: sets, posting lists, links and components."""
+    """The steps of one join over ``docs``: sets, posting lists, links and components.
+
+    With ``banded`` sets there is a list per column and band of set lengths. A set is listed in its
+    own band and the next, so two similar sets share one, and a frequent column is many lists.
+    """
 
-    def __init__(self, docs: DataFrame, keep: dict[str, Column], text: Column, grams: Grams, percent: int):
+    def __init__(
+        self, docs: DataFrame, keep: dict[str, Column], text: Column, grams: Grams, percent: int, banded: bool = False
+    ):
         if not 50 < percent <= 100:
             raise ValueError("the threshold is a whole percentage above 50")
-        self.docs, self.text, self.grams, self.percent = docs, text, grams, percent
+        self.docs, self.text, self.grams, self.percent, self.banded = docs, text, grams, percent, banded
         self.spark = docs.sparkSession
         self.keep = list(keep)
         self.rows, self.weights = self._describe(keep)
@@ -176,7 +194,7 @@ class SimilarSets:
         """First-block entries of every distinct set: column, list part, place p, size and name."""
         sent = self.spark.sparkContext.broadcast(self.weights)
         typical = float(np.median(self.weights))
-        grams, percent = self.grams, self.percent
+        grams, percent, banded = self.grams, self.percent, self.banded
         schema = T.StructType([T.StructField(n, T.LongType()) for n in ("g", "part", "parts", "p", "n", "a", "b")])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +203,7 @@ class SimilarSets:
                 for i, j in slices(batch.column(0)):
                     flat, begins, a, b = gram_sets(batch.column(0).slice(i, j - i), grams)
                     n = np.diff(begins)
+                    bands = length_bands(n, percent).astype(np.uint64) << np.uint64(48)
                     out = []
                     for d in np.flatnonzero(n):
                         name = (int(a[d]), int(b[d]))
@@ -198,7 +217,9 @@ class SimilarSets:
                         parts = list_parts(weight[order], typical)
                         part = (np.uint64(a[d].view(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
                         rest = [np.full(len(order), v, np.int64) for v in (n[d], a[d], b[d])]
-                        out.append([own[order].view(np.int64), part, parts, np.arange(len(order)), *rest])
+                        place = np.arange(len(order))
+                        lists = [mixed(own[order] ^ (bands[d] + k)) for k in _OWN_AND_NEXT] if banded else [own[order]]
+                        out += [[g.view(np.int64), part, parts, place, *rest] for g in lists]
                     if out:
                         yield _batch([np.concatenate(c) for c in zip(*out)], schema)
 

@@ -223,6 +223,63 @@ def op10_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.compared(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def spotsigs_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents whose sets of spot signatures overlap by four fifths of their union."""
+    return spotsigs.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), percent=80)
+
+
+SQL["spotsigs_classes"] = r"""
+WITH RECURSIVE stop AS (
+  SELECT string_split('""" + " ".join(sorted(set(spotsigs.ANCHORS))) + r"""', ' ') AS s
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^ 	-]+') AS w
+  FROM documents
+), w AS (
+  SELECT r, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM d
+), m AS (
+  SELECT r, i, w, list_contains(s, w) AS anchor FROM w, stop
+), c AS (
+  SELECT r, w, row_number() OVER (PARTITION BY r ORDER BY i) AS k FROM m WHERE NOT anchor
+), a AS (
+  SELECT * FROM (
+    SELECT r, w, anchor, count(*) FILTER (NOT anchor) OVER (PARTITION BY r ORDER BY i) AS before FROM m
+  ) WHERE anchor
+), chain AS (
+  SELECT DISTINCT a.r, concat_ws(' ', a.w, x.w, y.w) AS g
+  FROM a JOIN c x ON x.r = a.r AND x.k = before + 1 JOIN c y ON y.r = a.r AND y.k = before + 2
+), g AS (
+  SELECT r, g FROM chain
+  UNION ALL
+  SELECT r, array_to_string(w, ' ') FROM d WHERE len(w) > 0 AND r NOT IN (SELECT r FROM chain)
+), n AS (
+  SELECT r, count(*) AS n FROM g GROUP BY r
+), same AS (
+  -- texts with equal sets are compared once
+  SELECT r, n, min(r) OVER (PARTITION BY s) AS f FROM (
+    SELECT r, n, string_agg(g, chr(10) ORDER BY g) AS s FROM g JOIN n USING (r) GROUP BY ALL)
+), u AS (
+  SELECT g.r, g.g, n FROM g JOIN same ON same.r = g.r AND same.f = g.r
+), o AS (
+  SELECT x.r AS x, y.r AS y, any_value(x.n) AS xn, any_value(y.n) AS yn, count(*) AS c
+  FROM u x JOIN u y ON x.g = y.g AND x.r < y.r AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY x.r, y.r
+), l AS (
+  SELECT x, y FROM o WHERE 100 * c >= 80 * (xn + yn - c)
+), e AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), reach AS (
+  SELECT DISTINCT f AS x, f AS y FROM same UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x
+), least AS (
+  SELECT x, min(doc_id) AS component_id FROM reach JOIN same ON same.f = reach.y JOIN d ON d.r = same.r GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_signatures, coalesce(component_id, doc_id) AS component_id
+FROM d LEFT JOIN same USING (r) LEFT JOIN least ON least.x = f
+"""
+
+
 @query
 def op5_preference(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation with an answer, against the same one with a foreign last answer."""

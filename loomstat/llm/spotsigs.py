@@ -4,8 +4,10 @@ An anchor is a function word; its signature is the anchor with the next content
 are no anchors) after it. Boilerplate without running text has few anchors, and an edit changes only
 the signatures around it. A text's fingerprint is its set of signatures; a text that has words but no
 whole chain has one signature, of all its words, and an empty text has none. Two fingerprints are
-compared by their Jaccard index. ``near_duplicates`` finds all similar ones: sets are met only by sets
-of a length within the threshold and through their rarest signatures.
+compared by their Jaccard index. ``near_duplicates`` finds all similar ones: sets are partitioned into
+bands of set lengths, so that similar ones are in the same or neighbouring bands, and in a band a set
+is compared only with sets that share one of its rarest signatures and whose lengths, places in the
+list and parities leave the threshold within reach.
 """
 
 from __future__ import annotations
@@ -180,9 +182,9 @@ def _compare(table: pa.RecordBatch, schema: T.StructType) -> pa.RecordBatch | No
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``(key, n_signatures, component_id)``: classes of fingerprints with this Jaccard index or more.
 
-    Null and empty texts, repeated rows and null keys are treated as in ``jaccard_components``.
+    ``component_id`` is the least key that can be reached, the own included. Null and empty texts, repeated rows and null keys are treated as in ``jaccard_components``.
     """
-    join = SimilarSets(docs, {"rank": F.col(key)}, F.col(text), spot_grams, percent)
+    join = SimilarSets(docs, {"rank": F.col(key)}, F.col(text), spot_grams, percent, banded=True)
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("rank"))
     return join.components().select(
         F.col("rank").alias(key), F.col("n").alias("n_signatures"), component.alias("component_id")

@@ -2,8 +2,10 @@ import hashlib
 import random
 from itertools import islice
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from loomstat.llm import jaccard as J
 from loomstat.llm import spotsigs as S
 
 
@@ -83,3 +85,39 @@ def test_near_duplicates_by_fingerprint(spark, odd, none):
     assert found == {**{i: 0 for i in range(8)}, 50: 50}
     assert S.near_duplicates(odd).count() == odd.count() and S.near_duplicates(none).count() == 0
     assert S.near_duplicates(odd).filter(F.col("doc_id") == 8).first()["component_id"] == 7
+
+
+def test_classes_equal_all_pairs(spark, monkeypatch):
+    rng = random.Random(10)
+    rows = []
+    for _ in range(14):
+        base = [rng.choice(["the", "of", "is"]) if rng.random() < 0.3 else f"w{rng.randrange(900)}" for _ in range(rng.choice([4, 30, 90, 300]))]
+        for _ in range(rng.choice([1, 2, 9])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 2, 6])):
+                copy[rng.randrange(len(copy))] = f"e{rng.randrange(9000)}"
+            if rng.random() < 0.4:  # longer sets, over the edges of the bands
+                copy += ["the", *[f"t{rng.randrange(50)}" for _ in range(len(copy) // 9)], "of", "some", "more"]
+            rows.append(" ".join(copy))
+    rows = list(enumerate(rows)) + [(900, None), (901, "")]
+    sets = [plain_set(t or "") for _, t in rows]
+    home = list(range(len(rows)))
+    for i, x in enumerate(sets):
+        for k in range(i):
+            if x and sets[k] and plain_likeness(x, sets[k]) >= 0.8 and home[i] != home[k]:
+                low, high = sorted((home[i], home[k]))
+                home = [low if h == high else h for h in home]
+    wish = {rows[i][0]: (len(sets[i]), rows[h][0]) for i, h in enumerate(home)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for list_rows in (100_000, 3):
+        monkeypatch.setattr(J, "LIST_ROWS", list_rows)
+        found = {r["doc_id"]: (r["n_signatures"], r["component_id"]) for r in S.near_duplicates(docs).collect()}
+        assert found == wish
+
+
+def test_similar_lengths_are_in_neighbouring_bands():
+    for percent in (51, 80, 90, 99, 100):
+        band = J.length_bands(np.arange(1, 3000), percent)
+        for n in range(1, 1500):
+            far = min(n * 100 // percent, 2999)
+            assert band[far - 1] - band[n - 1] in (0, 1)
