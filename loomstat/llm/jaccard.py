@@ -355,8 +355,12 @@ class SimilarSets:
         own = F.struct("a", "b")
         name = F.when(F.col("n") > 0, F.coalesce("home", own))
         placed = placed.select("k", "n", name.alias("home"))
-        least = placed.filter(F.col("home").isNotNull()).groupBy("home").agg(F.min("k.rank").alias("least"))
-        return placed.join(least, "home", "left").select("k.*", "n", "least")
+        least = placed.filter(F.col("home").isNotNull()).groupBy("home").agg(F.min("k.rank").alias("least"), F.count("*").alias("c"))
+        # only components of several rows are looked up, from a table that is sent or joined in split parts
+        least = self._written(least.filter(F.col("c") > 1).drop("c"), "least")
+        found = placed.join(small(least, least.count(), 96), "home", "left")
+        alone = F.when(F.col("home").isNotNull(), F.col("k.rank"))
+        return found.select("k.*", "n", F.coalesce("least", alone).alias("least"))
 
 
 def _batch(columns: Sequence, schema: T.StructType) -> pa.RecordBatch:
