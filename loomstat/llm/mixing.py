@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from loomstat.llm.tables import row_hash
+from loomstat.llm.tables import row_hash, small
 from loomstat.session import scratch_path
 
 # Cells of all period tables together; they are worked out on the driver and sent to every task.
@@ -33,6 +33,8 @@ from loomstat.session import scratch_path
 MAX_CELLS = 4_000_000
 LINE_ROWS = 100_000
 BUCKET_ROWS = 10_000
+# Distinct keys never fill a bucket beyond this multiple of its size; one that is fuller holds a repeated key.
+HEAVY = 8
 
 
 def period(parts: Sequence[int]) -> list[list[int]]:
@@ -168,6 +170,36 @@ def tempered(counts: Sequence[int], power: float = 0.5) -> list[float]:
     return [c**power for c in counts]
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``sid, cell, h, tie`` with cells of bounded size, and the number of rows in each cell.
+
+    A cell, an array that starts with the bucket, is a range of a source's rows in the order of ``h, tie``,
+    and cells are in the order of their arrays. One that a repeated key fills is cut by the hash, by ranges
+    of the tie, by the tie, and at last, when its rows are equal, by where they were written.
+    """
+    shift = F.lit(64) - F.ceil(F.log2(F.col("c") / BUCKET_ROWS)).cast("int")
+    finer = [F.col("h"), F.expr("shiftright(tie, shift)"), F.col("tie"), F.floor(F.col("n") / BUCKET_ROWS)]
+    cut = rows.withColumn("n", F.lit(0).cast("long"))
+    for depth, level in enumerate(finer):
+        counts = _written(cut.groupBy("sid", "cell").agg(F.count("*").alias("c")), "mixing-cells")
+        heavy = counts.filter(F.col("c") > HEAVY * BUCKET_ROWS).select("sid", "cell", shift.alias("shift"))
+        found = heavy.count()
+        if not found:
+            return cut, counts
+        if depth == 0:
+            cut = _written(rows.withColumn("n", F.monotonically_increasing_id()), "mixing-rows")
+        longer = F.concat("cell", F.array(level.cast("long")))
+        cut = cut.join(small(heavy, found, 64), ["sid", "cell"], "left")
+        cut = cut.withColumn("cell", F.when(F.col("shift").isNull(), F.col("cell")).otherwise(longer)).drop("shift")
+    return cut, _written(cut.groupBy("sid", "cell").agg(F.count("*").alias("c")), "mixing-cells")
+
+
 def mix(
     docs: DataFrame,
     source: str = "source",
@@ -189,7 +221,8 @@ def mix(
     resolution a source below one part gets one.
 
     Only counts per source reach the driver. A source of any size is numbered in hash buckets of
-    about 10,000 rows, so that none of them meets in one task.
+    about 10,000 rows, so that none of them meets in one task; a bucket that a repeated key fills is cut
+    again, equal rows too.
     """
     spark = docs.sparkSession
     body = row if row is not None else F.struct(F.col(key), F.col(source))
@@ -220,12 +253,11 @@ def mix(
     known = rows.join(ids, F.col("src").eqNullSafe(F.col("s"))).drop("s", "src")
     # the top bits of the hash cut a source into ranges of hash order
     top = F.floor(F.shiftright("h", 30) / F.pow(F.lit(2.0), 30 - F.col("bits"))).cast("long")
-    known = known.withColumn("bucket", top)
-    per = known.groupBy("sid", "bucket").agg(F.count("*").alias("c"))
-    before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per.select("sid", "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("sid", "bucket").orderBy("h", "tie"))
-    ranked = known.withColumn("r", place).join(starts, ["sid", "bucket"])
+    known, per = _cells(known.select("row", "sid", "h", "tie", F.array(top).alias("cell")))
+    before = Window.partitionBy("sid").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per.select("sid", "cell", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("sid", "cell").orderBy("h", "tie", "n"))
+    ranked = known.withColumn("r", place).join(starts, ["sid", "cell"])
     ranked = ranked.withColumn("r", F.col("r") - 1 + F.col("before"))
     block = F.floor(F.col("r") / block_rows)
     ranked = ranked.select("row", "sid", block.alias("block"), (F.col("r") % block_rows).cast("int").alias("place"))

@@ -23,7 +23,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents interleaved by source, at weights between their own shares and equal ones."""
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    return mixing.mix(docs, resolution=1000).select("row.doc_id", "row.source", "slot", "place", "position")
+    return mixing.mix(docs).select("row.doc_id", "row.source", "slot", "place", "position")
 
 
 SQL["op1_mixing"] = r"""
@@ -31,7 +31,8 @@ WITH RECURSIVE c AS (
   SELECT source AS s, count(*) AS c, (count(*) + 15) // 16 AS b FROM documents GROUP BY source
 ), p AS (
   SELECT *, row_number() OVER (ORDER BY s IS NULL, s) AS i,
-         greatest(1, round(sqrt(c) / sum(sqrt(c)) OVER () * 1000))::BIGINT AS p
+         greatest(1, round(sqrt(c) / sum(sqrt(c)) OVER ()
+           * greatest(1000, ceil(10 * sum(sqrt(c)) OVER () / min(sqrt(c)) OVER ()))))::BIGINT AS p
   FROM c
 ), k AS MATERIALIZED (
   SELECT list(p ORDER BY i) AS ps, list(b ORDER BY i) AS bs, sum(b)::BIGINT AS n FROM p
@@ -235,7 +236,8 @@ WITH RECURSIVE stop AS (
 ), d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^ 	-]+') AS w
+    '[^ 	-
+]+') AS w
   FROM documents
 ), w AS (
   SELECT r, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM d

@@ -3,6 +3,7 @@ from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomstat.llm import mixing as M
 
@@ -51,6 +52,25 @@ def test_all_rows_in_whole_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["position"]) for r in again} == {(r["doc_id"], r["position"]) for r in rows}
 
 
+def test_a_bucket_filled_by_one_key_is_cut(spark, monkeypatch):
+    sizes = []
+    cells = M._cells
+
+    def seen(rows):
+        cut, counts = cells(rows)
+        sizes.append(max(r["c"] for r in counts.collect()))
+        return cut, counts
+
+    key = "case when id % 3 = 0 then null when id % 3 = 1 then 5 else id end as doc_id"
+    docs = spark.range(3_000).selectExpr(key, "case when id < 2700 then 'hot' else 's' || id % 2 end as source", "if(id % 3 = 1, id, 0) as extra")
+    plain = [tuple(r) for r in M.mix(docs, row=F.struct("*")).orderBy("position").select("row.*", "position").collect()]
+    monkeypatch.setattr(M, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(M, "_cells", seen)
+    for rows in (docs, docs.repartition(5)):
+        assert [tuple(r) for r in M.mix(rows, row=F.struct("*")).orderBy("position").select("row.*", "position").collect()] == plain
+    assert len({p for *_, p in plain}) == 3_000 and max(sizes) <= M.HEAVY * 10
+
+
 def test_named_weights_and_odd_rows(odd, none):
     rows = M.mix(odd, weights={"a": 3, "b": 1}, block_rows=1).select("row.source", "position").orderBy("position").collect()
     assert len(rows) == odd.count()
