@@ -10,11 +10,12 @@ from loomstat.functions import above, clip_unit
 from loomstat.operators.evaluate import rmse_over_pairs
 from loomstat.operators.joins import join_lookup
 from loomstat.operators.relational import mean_per_pair
-from loomstat.session import ensure_checkpoint_dir
+from loomstat.session import ensure_checkpoint_dir, written
 
 PAIR = ["user", "product"]
-# A block of ratings is held by one task while its factors are solved.
-RATINGS_PER_BLOCK = 5_000_000
+# A block of ratings is held by one task while its factors are solved. Every block is sent the factors it
+# needs in each half-step, so more blocks than cores only add to what is shuffled.
+RATINGS_PER_BLOCK = 20_000_000
 
 
 def fit_als(
@@ -28,14 +29,15 @@ def fit_als(
 ) -> ALSModel:
     """Alternating least squares on ``user int, product int, rating double``.
 
-    Repeated pairs are averaged first, so no user holds more rows than there are items. The factor
+    Repeated pairs are averaged first, so no user holds more rows than there are items. The averaged pairs
+    are written to the shared folder, as the library's fit reads its rows several times. The factor
     tables' lineage is cut every ten steps in the session's checkpoint folder.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    pairs = mean_per_pair(ratings, PAIR)
+    pairs = written(mean_per_pair(ratings, PAIR), "pairs")
     if blocks is None:
-        blocks = max(10, spark.sparkContext.defaultParallelism, -(-ratings.count() // RATINGS_PER_BLOCK))
+        blocks = max(10, spark.sparkContext.defaultParallelism, -(-pairs.count() // RATINGS_PER_BLOCK))
     als = ALS(
         rank=rank, maxIter=num_iterations, regParam=reg_param, implicitPrefs=implicit, alpha=1.0,
         userCol="user", itemCol="product", ratingCol="rating", coldStartStrategy="drop",
@@ -68,11 +70,12 @@ def recommender_rmse(model: ALSModel, test: DataFrame, implicit: bool = False) -
     """RMSE over the predicted pairs; implicit mode compares clipped scores with 0 and 1.
 
     Predictions join ratings on the pair, so a pair rated k times weighs k * k. Each pair is scored
-    once and its copies enter as a count.
+    once and its copies enter as a count. The pairs are written to the shared folder, as looking them up
+    reads them several times.
     """
     rating = above(F.col("rating")) if implicit else F.col("rating")
-    actual = test.groupBy(*PAIR, rating.alias("rating")).agg(F.count("*").alias("_same"))
-    pairs = actual.groupBy(*PAIR).agg(F.sum("_same").alias("_all"))
+    actual = written(test.groupBy(*PAIR, rating.alias("rating")).agg(F.count("*").alias("_same")), "tested")
+    pairs = written(actual.groupBy(*PAIR).agg(F.sum("_same").alias("_all")), "tested")
     scored = score_pairs(model, pairs)
     if implicit:
         scored = scored.withColumn("prediction", clip_unit(F.col("prediction")))

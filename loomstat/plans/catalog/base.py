@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.operators.sampling import BUCKETS
+from loomstat.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,14 +49,16 @@ RATINGS_SQL = """
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders' lines as ratings, joined once and written to the shared folder for all later passes."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.select(
+    rated = joined.select(
         F.col("o_custkey").cast("int").alias("user"),
         F.col("l_partkey").cast("int").alias("product"),
         (F.floor((F.col("l_quantity") - 1) / 10) + F.lit(1.0)).alias("rating"),
     )
+    return written(rated, "ratings")
 
 
 # Rows for regression and classification: three features, a price label and a class label.

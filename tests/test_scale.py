@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from loomstat.operators import classify, clustering, descent, evaluate, ordering, sampling, series
+from loomstat.operators import classify, clustering, descent, evaluate, ordering, recommend, sampling, series
 from loomstat.sources import read_csv_by_name
 
 
@@ -124,3 +124,20 @@ def test_word_bayes_with_a_thousand_classes(spark):
         scores = {c: prior[c] + sum(math.log((words[c, w] + 1) / (total[c] + v)) for w in ws) for c in n}
         best = max(scores.values())
         assert found[i] == min(c for c, s in scores.items() if s >= best - abs(best) * 1e-9)
+
+
+def test_ratings_are_read_once(spark):
+    """A fit and its error take several passes over the ratings, which may be a costly join."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    pairs = spark.range(300).selectExpr("cast(id % 30 as int) user", "cast(id / 30 as int) product", "1.0 + id % 5 rating")
+    rows = pairs.selectExpr("user", "product", "cast(rating as double) rating")
+    model = recommend.fit_als(rows.mapInArrow(count, rows.schema), 2, 2, seed=1)
+    assert seen.value == 300
+    assert recommend.recommender_rmse(model, rows.mapInArrow(count, rows.schema)).count() == 1
+    assert seen.value == 600
