@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomstat.functions import doubles
-from loomstat.operators.joins import join_lookup
+from loomstat.operators.joins import BROADCAST_BYTES
 from loomstat.operators.partitions import held
+from loomstat.session import written
 
 CLASS_IMPURITIES = ("Gini", "Entropy")
 VALUE_IMPURITIES = ("Variance",)
@@ -115,7 +116,20 @@ def _first_near_best(scores: Sequence[Column], labels: Sequence[Column]) -> Colu
     return chosen
 
 
-def word_bayes(words: DataFrame, label: str, word: str, key: str, smoothing: float = 1.0) -> DataFrame:
+def _frequent(sums: DataFrame, most: int) -> int:
+    """The least power of two that at most ``most`` of the sums ``_n`` reach; one row per power is fetched."""
+    power = F.floor(F.log2("_n")).cast("int").alias("p")
+    found = {r["p"]: r["c"] for r in sums.groupBy(power).agg(F.count("*").alias("c")).collect()}
+    least = max(found, default=0) + 1
+    while least > 0 and found.get(least - 1, 0) <= most:
+        least -= 1
+        most -= found.get(least, 0)
+    return 1 << least
+
+
+def word_bayes(
+    words: DataFrame, label: str, word: str, key: str, smoothing: float = 1.0, model_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Multinomial naive Bayes over whole texts and their whole vocabulary: ``key, prediction``.
 
     ``words`` has one row per word of a text, with the text's key and label; a null word stands for a
@@ -128,10 +142,17 @@ def word_bayes(words: DataFrame, label: str, word: str, key: str, smoothing: flo
     among (text, class) rows, and the best by prior and length alone, found from one number per class.
     No class is a column, and there may be as many as fit into one array. Ties are broken as in
     ``naive_bayes_score``: the smallest label within a billionth of the best score.
+
+    The most frequent words, as many as ``model_bytes`` hold, are sent to every task, so their differences are
+    added up where the texts are read. Only the other words, which have few occurrences each, are shuffled to
+    the rest of the model. What several passes need is written to the shared folder.
     """
     if smoothing <= 0:
         raise ValueError("word_bayes needs a smoothing above zero")
-    texts = words.groupBy(key).agg(F.first(label).alias(label), F.count(word).cast("double").alias("_length"))
+    # by label too, as a first string cannot be kept in a hash table and would have every word sorted
+    lengths = words.groupBy(key, label).agg(F.count(word).cast("double").alias("_length"))
+    lengths = lengths.groupBy(key).agg(F.first(label).alias(label), F.sum("_length").alias("_length"))
+    texts = written(lengths, "bayes-texts")
     sizes = {r[0]: r[1] for r in texts.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*")).collect()}
     labels = sorted(sizes)
     kind = words.schema[label].dataType
@@ -139,23 +160,30 @@ def word_bayes(words: DataFrame, label: str, word: str, key: str, smoothing: flo
         return texts.select(key, F.lit(None).cast(kind).alias("prediction"))
     named = words.filter(F.col(word).isNotNull())
     number = F.broadcast(words.sparkSession.createDataFrame(list(enumerate(labels)), f"_c int, {label} {kind.simpleString()}"))
-    counts = named.join(number, label).groupBy(word, "_c").agg(F.count("*").cast("double").alias("_n"))
+    counted = named.join(number, label, "left").groupBy(word, "_c").agg(F.count("*").cast("double").alias("_n"))
+    counted = written(counted, "bayes-counts")
+    counts = counted.filter(F.col("_c").isNotNull())
     totals = {r["_c"]: r["n"] for r in counts.groupBy("_c").agg(F.sum("_n").alias("n")).collect()}
-    vocabulary = named.select(word).distinct().count()
+    vocabulary = counted.select(word).distinct().count()
     lam = float(smoothing)
     every = sum(sizes.values()) + lam * len(labels)
     prior = [math.log((sizes[c] + lam) / every) for c in labels]
     mass = [totals.get(i, 0.0) + lam * vocabulary for i in range(len(labels))]
     absent = [math.log(lam / m) if m else 0.0 for m in mass]
     gain = F.log((F.col("_n") + lam) / F.lit(lam)).alias("gain")
-    model = counts.groupBy(word).agg(F.collect_list(F.struct("_c", gain)).alias("_classes"))
-    own = named.groupBy(key, word).agg(F.count("*").alias("_tf"))
-    met = join_lookup(own, model, word, F.col(key), 16 * min(len(labels), 64) + 64)
-    each = met.select(key, "_tf", F.explode("_classes").alias("_m"))
-    above = each.groupBy(key, F.col("_m._c").alias("_c")).agg(F.sum(F.col("_tf") * F.col("_m.gain")).alias("_above"))
+    model = counts.groupBy(word).agg(F.collect_list(F.struct("_c", gain)).alias("_classes"), F.sum("_n").alias("_n"))
+    model = written(model, "bayes-model")
+    least = _frequent(model, model_bytes // (16 * min(len(labels), 64) + 64))
+    frequent = F.broadcast(model.filter(F.col("_n") >= least).drop("_n"))
+    met = named.select(key, word).join(frequent, word).select(key, "_classes")
+    if least > 1:
+        others = named.select(key, word).join(frequent.select(word), word, "left_anti")
+        met = met.union(others.join(model.filter(F.col("_n") < least), word).select(key, "_classes"))
+    each = met.select(key, F.explode("_classes").alias("_m"))
+    above = each.groupBy(key, F.col("_m._c").alias("_c")).agg(F.sum("_m.gain").alias("_above"))
     lengths = texts.select(key, "_length")
     base = F.get(doubles(prior), F.col("_c")) + F.col("_length") * F.get(doubles(absent), F.col("_c"))
-    shared = above.join(lengths, key).select(key, "_c", (base + F.col("_above")).alias("_score"))
+    shared = written(above.join(lengths, key).select(key, "_c", (base + F.col("_above")).alias("_score")), "bayes-scores")
     first = shared.groupBy(key).agg(F.max("_score").alias("_best"))
     lines = F.zip_with(doubles(prior), doubles(absent), lambda p, a: p + F.col("_length") * a)
     alone = lengths.withColumn("_alone", lines)

@@ -126,6 +126,38 @@ def test_word_bayes_with_a_thousand_classes(spark):
         assert found[i] == min(c for c, s in scores.items() if s >= best - abs(best) * 1e-9)
 
 
+@pytest.mark.parametrize("model_bytes", [0, 6 * 96, 1 << 20])
+def test_word_bayes_with_part_of_the_model_at_the_tasks(spark, model_bytes):
+    """No word, the six most frequent words or all words are looked up where the texts are read."""
+    rng = random.Random(5)
+    rows = [(i, rng.choice("abc"), f"w{int(rng.expovariate(0.2))}") for i in range(60) for _ in range(rng.randrange(1, 30))]
+    rows = [(i, {0: None}.get(i % 9, "abc"[i % 3]), w) for i, _, w in rows] + [(60, "a", None), (None, "b", "w1"), (None, "b", "w90")]
+    each = spark.createDataFrame(rows, "id int, label string, w string").repartition(3)
+    texts = {}
+    for i, y, w in rows:
+        texts.setdefault(i, (y, []))[1].append(w)
+    docs = {i: (y, [w for w in ws if w]) for i, (y, ws) in texts.items()}
+    labels = sorted({y for y, _ in docs.values() if y})
+    words = {w for _, ws in docs.values() for w in ws}
+    n = {c: Counter(w for y, ws in docs.values() if y == c for w in ws) for c in labels}
+    known = [y for y, _ in docs.values() if y]
+    score = {
+        (i, c): math.log((known.count(c) + 1) / (len(known) + len(labels)))
+        + sum(math.log((n[c][w] + 1) / (n[c].total() + len(words))) for w in ws)
+        for i, (_, ws) in docs.items() for c in labels
+    }
+    found = classify.word_bayes(each, "label", "w", "id", model_bytes=model_bytes).collect()
+    assert len(found) == len(docs)
+    for row in found:
+        if row["id"] is not None:  # a null key meets no scores: prior and length alone decide
+            assert score[row["id"], row["prediction"]] == pytest.approx(max(score[row["id"], c] for c in labels))
+
+
+def test_frequent_words_fit(spark):
+    sums = spark.createDataFrame([(float(n),) for n in [1, 1, 1, 2, 3, 4, 9, 17]], "_n double")
+    assert [classify._frequent(sums, most) for most in (0, 1, 2, 3, 4, 5, 7, 8)] == [32, 16, 8, 4, 4, 2, 2, 1]
+
+
 def test_ratings_are_read_once(spark):
     """A fit and its error take several passes over the ratings, which may be a costly join."""
     seen = spark.sparkContext.accumulator(0)
