@@ -155,8 +155,12 @@ class Sums:
         self.ways = []
         for key, other, size in ((target, source, n_target), (source, target, n_source)):
             order = np.argsort(key, kind="stable")
-            at, first = np.unique(key[order], return_index=True)
-            self.ways.append((other[order].astype(np.int32), at, first, size))
+            key = key[order]
+            begins = np.ones(len(key), bool)
+            begins[1:] = key[1:] != key[:-1]
+            first = np.flatnonzero(begins)
+            self.ways.append((other[order].astype(np.int32, copy=False), key[first], first, size))
+            del order, key, begins
         count = np.bincount(target, minlength=n_target)
         self.share = (1.0 / np.maximum(count, 1) if mean else np.ones(n_target)).astype(np.float32)[:, None]
 
@@ -198,11 +202,15 @@ def fit(
     kind = order[np.concatenate(kinds)]
     del kinds, place
     buckets, words = (np.concatenate(x) for x in zip(*bags(distinct).grams()))
-    used, gram = np.unique(buckets, return_inverse=True)
+    used = np.flatnonzero(np.bincount(buckets, minlength=BUCKETS))
+    place_of = np.zeros(BUCKETS, np.int32)
+    place_of[used] = np.arange(len(used))
+    gram = place_of[buckets]
+    del buckets
     fresh = _fresh(passage_of_word, kind)
     to_word = Sums(gram, words, len(used), len(distinct), mean=True)
     to_passage = Sums(kind[fresh], passage_of_word[fresh], len(distinct), m)
-    del buckets, words, gram, kind, passage_of_word, fresh
+    del words, gram, kind, passage_of_word, fresh
     some = np.flatnonzero(np.bincount(text_of_passage, minlength=len(y)))  # texts with a word
     starts = np.searchsorted(text_of_passage, some)
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -134,3 +135,16 @@ def test_trained_in_a_task_as_on_one_machine(spark):
 def test_only_texts_go_to_python(odd, model):
     plan = X.without_toxic(odd, model)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+
+
+def test_sums_take_few_bytes_per_entry():
+    """Training holds a sum over every n-gram of every distinct word, in one task of an executor."""
+    n = 1 << 20
+    source, target = (np.arange(n) * 7919 % 1000).astype(np.int32), (np.arange(n) // 16).astype(np.int32)
+    tracemalloc.start()
+    sums = X.Sums(source, target, 1000, n // 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    values = np.arange(1000, dtype=np.float32)[:, None]
+    assert (sums.forward(values)[:, 0] == values[source, 0].reshape(-1, 16).sum(1)).all()
+    assert peak < 28 * n
