@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomstat.llm.jaccard import SimilarSets
-from loomstat.llm.words import BASE, mixed, shingle_hashes, slices, word_hashes
+from loomstat.llm.words import BASE, mixed, run_hash, slices, word_hashes
 from loomstat.operators.ordering import with_ordered_chunks, with_row_index
 
 # Frequent function words of English, German, French and Spanish.
@@ -65,8 +65,7 @@ def spot_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     # texts with words but without a chain: all their words as one signature
     bare = np.flatnonzero((count == 0) & (np.diff(first) > 0))
     if len(bare):
-        extra = [shingle_hashes(words[first[d] : first[d + 1]], np.array([0, n]), int(n))[0][0]
-                 for d in bare for n in [first[d + 1] - first[d]]]
+        extra = [run_hash(words[first[d] : first[d + 1]]) for d in bare]
         h, doc = np.concatenate([h, np.array(extra, np.uint64)]), np.concatenate([doc, bare])
         order = np.argsort(doc, kind="stable")
         h, count = h[order], np.bincount(doc, minlength=len(first) - 1)

@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
 SLICE_BYTES = 4 << 20
+RUN_WORDS = 1 << 16
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -23,6 +24,7 @@ LOWER[65:91] += 32
 # Odd base of the polynomial hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+_LONG = (1 << 64) - 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -133,6 +135,22 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.
     return out, begins
 
 
+def run_hash(words: np.ndarray) -> int:
+    """The hash that ``shingle_hashes`` gives a single run of all these words.
+
+    Every step needs the one before. A numpy call for one number costs some fifty such steps, so they are
+    done on Python's whole numbers, from a bounded piece of the words at a time.
+    """
+    h = (0x51ED270B * (len(words) + 1)) & _LONG
+    for start in range(0, len(words), RUN_WORDS):
+        for word in words[start : start + RUN_WORDS].tolist():
+            h = (h * BASE + word) & _LONG
+            h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & _LONG
+            h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & _LONG
+            h ^= h >> 31
+    return h
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of about 4 MB of text, one row at least."""
     lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)

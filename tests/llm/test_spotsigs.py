@@ -3,10 +3,12 @@ import random
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from loomstat.llm import jaccard as J
 from loomstat.llm import spotsigs as S
+from loomstat.llm import words as W
 
 
 def plain_set(text):
@@ -121,3 +123,15 @@ def test_similar_lengths_are_in_neighbouring_bands():
         for n in range(1, 1500):
             far = min(n * 100 // percent, 2999)
             assert band[far - 1] - band[n - 1] in (0, 1)
+
+
+def test_whole_texts_as_signatures_take_no_array_step_per_word(monkeypatch):
+    rng = random.Random(11)
+    steps = []
+    monkeypatch.setattr(W, "mixed", lambda h, plain=W.mixed: steps.append(1) or plain(h))
+    texts = [" ".join(f"w{rng.randrange(99)}" for _ in range(n)) for n in (3000, 1, 0, 7, 2000)]
+    values, first = S.spot_grams(pa.array(texts))
+    assert list(np.diff(first)) == [1, 1, 0, 1, 1] and len(steps) < 100
+    monkeypatch.setattr(W, "RUN_WORDS", 64)
+    wish = [W.shingle_hashes(*W.word_hashes(pa.array([t])), len(t.split()))[0][0] for t in texts if t]
+    assert list(values) == wish and list(S.spot_grams(pa.array(texts))[0]) == wish
