@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +72,24 @@ def gram_sets(texts: pa.Array, grams: Grams) -> tuple[np.ndarray, np.ndarray, np
     return flat, begins, names[0], names[1]
 
 
+def _sets(batch: pa.RecordBatch, grams: Grams) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The sets of a batch as ``gram_sets`` gives them: of its texts, or of written hashes beside their names."""
+    column = batch.column(0)
+    for i, j in slices(column):
+        part = column.slice(i, j - i)
+        if batch.num_columns == 1:
+            yield gram_sets(part, grams)
+            continue
+        n = pc.list_value_length(part).to_numpy(zero_copy_only=False)
+        a, b = (batch.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) for c in (1, 2))
+        flat = part.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        yield flat, np.concatenate([[0], np.cumsum(n)]).astype(np.int64), a, b
+
+
+def _lists(flat: np.ndarray, begins: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(flat.view(np.int64)))
+
+
 def parities(flat: np.ndarray, begins: np.ndarray) -> pa.Array:
     """Each set's parity bits as longs: whether an odd number of its hashes fall on each bit.
 
@@ -141,17 +160,23 @@ class SimilarSets:
 
     With ``banded`` sets there is a list per column and band of set lengths. A set is listed in its
     own band and the next, so two similar sets share one, and a frequent column is many lists.
+
+    With ``stored`` the hashes of every set are written in the first pass, and the others read these and
+    not the texts: for n-grams that take more time to find, and less room, than the words.
     """
 
     def __init__(
-        self, docs: DataFrame, keep: dict[str, Column], text: Column, grams: Grams, percent: int, banded: bool = False
+        self, docs: DataFrame, keep: dict[str, Column], text: Column, grams: Grams, percent: int,
+        banded: bool = False, stored: bool = False,
     ):
         if not 50 < percent <= 100:
             raise ValueError("the threshold is a whole percentage above 50")
-        self.docs, self.text, self.grams, self.percent, self.banded = docs, text, grams, percent, banded
+        self.docs, self.text, self.grams, self.percent, self.banded, self.stored = docs, text, grams, percent, banded, stored
         self.spark = docs.sparkSession
         self.keep = list(keep)
-        self.rows, self.weights = self._describe(keep)
+        found, self.weights = self._describe(keep)
+        self.rows = found.select("k", "n", "a", "b", "bits")
+        self.source = found.select("s", "a", "b") if stored else docs.select(text.alias("t"))
 
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"jaccard-{name}")
@@ -160,10 +185,10 @@ class SimilarSets:
 
     def _describe(self, keep: dict[str, Column]) -> tuple[DataFrame, np.ndarray]:
         """One pass: size and name of every row's set, and how many sets touch each sketch bucket."""
-        grams = self.grams
+        grams, stored = self.grams, self.stored
         texts = self.docs.select(F.struct(*[c.alias(n) for n, c in keep.items()]).alias("k"), self.text.alias("t"))
         fields = [texts.schema["k"], *[T.StructField(n, T.LongType()) for n in ("n", "a", "b", "bucket", "count")]]
-        fields.append(T.StructField("bits", T.ArrayType(T.LongType())))
+        fields += [T.StructField(n, T.ArrayType(T.LongType())) for n in (("bits", "s") if stored else ("bits",))]
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,20 +200,20 @@ class SimilarSets:
                     flat, begins, a, b = gram_sets(column.slice(i, j - i), grams)
                     counts += np.bincount(_bucket(flat), minlength=SKETCH)
                     none = pa.nulls(j - i, pa.int64())
-                    bits = parities(flat, begins)
-                    yield _batch([kept.slice(i, j - i), np.diff(begins), a, b, none, none, bits], schema)
+                    more = [parities(flat, begins), *([_lists(flat, begins)] if stored else [])]
+                    yield _batch([kept.slice(i, j - i), np.diff(begins), a, b, none, none, *more], schema)
             at = np.flatnonzero(counts)
             if kind is not None and len(at):
                 none = pa.nulls(len(at), pa.int64())
-                no_bits = pa.nulls(len(at), pa.list_(pa.int64()))
-                yield _batch([pa.nulls(len(at), kind), none, none, none, at, counts[at], no_bits], schema)
+                more = [pa.nulls(len(at), pa.list_(pa.int64()))] * (2 if stored else 1)
+                yield _batch([pa.nulls(len(at), kind), none, none, none, at, counts[at], *more], schema)
 
         found = self._written(texts.mapInArrow(run, schema), "sets")
         weights = np.zeros(SKETCH, np.int64)
         summed = found.filter(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("count").alias("c"))
         for r in summed.collect():  # at most one row per bucket
             weights[r["bucket"]] = r["c"]
-        return found.filter(F.col("bucket").isNull()).select("k", "n", "a", "b", "bits"), weights
+        return found.filter(F.col("bucket").isNull()), weights
 
     def _entries(self) -> DataFrame:
         """First-block entries of every distinct set: column, list part, place p, size and name."""
@@ -200,8 +225,7 @@ class SimilarSets:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weights, seen = sent.value, set()
             for batch in batches:
-                for i, j in slices(batch.column(0)):
-                    flat, begins, a, b = gram_sets(batch.column(0).slice(i, j - i), grams)
+                for flat, begins, a, b in _sets(batch, grams):
                     n = np.diff(begins)
                     bands = length_bands(n, percent).astype(np.uint64) << np.uint64(48)
                     out = []
@@ -223,7 +247,7 @@ class SimilarSets:
                     if out:
                         yield _batch([np.concatenate(c) for c in zip(*out)], schema)
 
-        return self.docs.select(self.text.alias("t")).mapInArrow(run, schema)
+        return self.source.mapInArrow(run, schema)
 
     def _postings(self) -> DataFrame:
         """Lists of rows that may have a partner: each row ``x`` beside the first row ``y`` of its list.
@@ -284,8 +308,7 @@ class SimilarSets:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = set()
             for batch in batches:
-                for i, j in slices(batch.column(0)):
-                    flat, begins, a, b = gram_sets(batch.column(0).slice(i, j - i), grams)
+                for flat, begins, a, b in _sets(batch, grams):
                     bit = np.mod(a, BITMAP_BITS)
                     ok = (np.diff(begins) > 0) & ((wanted.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) > 0)
                     rows = []
@@ -298,10 +321,9 @@ class SimilarSets:
                     if rows:
                         sets = [flat[begins[d] : begins[d + 1]].view(np.int64) for d in rows]
                         ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-                        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
-                        yield _batch([a[rows], b[rows], lists], schema)
+                        yield _batch([a[rows], b[rows], _lists(np.concatenate(sets), ends)], schema)
 
-        found = self.docs.select(self.text.alias("t")).mapInArrow(run, schema)
+        found = self.source.mapInArrow(run, schema)
         found = found.join(small(names, count, 48), ["a", "b"], "left_semi")
         sets = self._written(found.dropDuplicates(["a", "b"]), "rows")
         left = sets.select(F.col("a").alias("xa"), F.col("b").alias("xb"), F.col("s").alias("xs"))

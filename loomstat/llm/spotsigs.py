@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
     ``component_id`` is the least key that can be reached, the own included. Null and empty texts, repeated rows and null keys are treated as in ``jaccard_components``.
     """
-    join = SimilarSets(docs, {"rank": F.col(key)}, F.col(text), spot_grams, percent, banded=True)
+    join = SimilarSets(docs, {"rank": F.col(key)}, F.col(text), spot_grams, percent, banded=True, stored=True)
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("rank"))
     return join.components().select(
         F.col("rank").alias(key), F.col("n").alias("n_signatures"), component.alias("component_id")

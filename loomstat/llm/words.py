@@ -152,8 +152,9 @@ def run_hash(words: np.ndarray) -> int:
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about 4 MB of text, one row at least."""
-    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    """Row ranges of about 4 MB of text, or of lists of longs, one row at least."""
+    lengths = pc.multiply(pc.list_value_length(column), 8) if pa.types.is_list(column.type) else pc.binary_length(column)
+    lengths = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
     sizes = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
     at = 0
     while at < len(column):

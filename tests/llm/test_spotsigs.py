@@ -135,3 +135,14 @@ def test_whole_texts_as_signatures_take_no_array_step_per_word(monkeypatch):
     monkeypatch.setattr(W, "RUN_WORDS", 64)
     wish = [W.shingle_hashes(*W.word_hashes(pa.array([t])), len(t.split()))[0][0] for t in texts if t]
     assert list(values) == wish and list(S.spot_grams(pa.array(texts))[0]) == wish
+
+
+def test_the_texts_of_the_classes_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda t: read.add(1) or t, "string").asNondeterministic()
+    base = " ".join(f"the w{i} v{i}" for i in range(40))
+    rows = [(3, base), (5, base + " the end of"), (6, base), (7, "no chain"), (8, "No chain"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", counted("text").alias("text"))
+    found = S.near_duplicates(docs).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {3: 3, 5: 3, 6: 3, 7: 7, 8: 7, 9: 9}
+    assert read.value == len(rows)
