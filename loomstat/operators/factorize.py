@@ -102,7 +102,12 @@ def _solutions(sums: np.ndarray, rank: int, reg_param: float, base: np.ndarray)
     a = np.empty((len(sums), rank, rank))
     a[:, i, j] = a[:, j, i] = sums[:, :half]
     a += base + reg_param * sums[:, -1][:, None, None] * np.eye(rank)
-    b = sums[:, half:-1][:, :, None]
+    return _solve(a, sums[:, half:-1])
+
+
+def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Solves a stack of equations."""
+    b = b[:, :, None]
     try:
         return np.linalg.solve(a, b)[:, :, 0]
     except np.linalg.LinAlgError:  # without regularisation a matrix may be singular: least norm

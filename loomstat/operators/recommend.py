@@ -7,15 +7,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions import above, clip_unit
+from loomstat.operators import factor_blocks
 from loomstat.operators.evaluate import rmse_over_pairs
 from loomstat.operators.joins import join_lookup
 from loomstat.operators.relational import mean_per_pair
-from loomstat.session import ensure_checkpoint_dir, written
+from loomstat.session import ensure_checkpoint_dir, scratch_path, written
 
 PAIR = ["user", "product"]
 # A block of ratings is held by one task while its factors are solved. Every block is sent the factors it
 # needs in each half-step, so more blocks than cores only add to what is shuffled.
 RATINGS_PER_BLOCK = 20_000_000
+# The library sends factors in every half-step, for each rating at most once. Where that may be more than so many
+# bytes in a whole fit, the half-steps read them from the shared folder instead.
+SENT_BYTES = 40_000_000_000
 
 
 def fit_als(
@@ -26,18 +30,24 @@ def fit_als(
     implicit: bool = False,
     seed: int | None = None,
     blocks: int | None = None,
+    sent_bytes: int = SENT_BYTES,
 ) -> ALSModel:
     """Alternating least squares on ``user int, product int, rating double``.
 
     Repeated pairs are averaged first, so no user holds more rows than there are items. The averaged pairs
     are written to the shared folder, as the library's fit reads its rows several times. The factor
     tables' lineage is cut every ten steps in the session's checkpoint folder.
+
+    If the library might send more than ``sent_bytes``, it draws the start only and ``factor_blocks`` makes the same
+    iterations from it; the factors are the same up to the rounding of single precision.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
     pairs = written(mean_per_pair(ratings, PAIR), "pairs")
+    n = pairs.count()
+    cores = spark.sparkContext.defaultParallelism
     if blocks is None:
-        blocks = max(10, spark.sparkContext.defaultParallelism, -(-pairs.count() // RATINGS_PER_BLOCK))
+        blocks = max(10, cores, -(-n // RATINGS_PER_BLOCK))
     als = ALS(
         rank=rank, maxIter=num_iterations, regParam=reg_param, implicitPrefs=implicit, alpha=1.0,
         userCol="user", itemCol="product", ratingCol="rating", coldStartStrategy="drop",
@@ -45,7 +55,16 @@ def fit_als(
     )
     if seed is not None:
         als = als.setSeed(seed)
-    return als.fit(pairs)
+    if 8 * rank * num_iterations * n <= sent_bytes:
+        return als.fit(pairs)
+    path = scratch_path(spark, "model")
+    als.setMaxIter(0).fit(pairs).save(path)
+    start = spark.read.parquet(f"{path}/userFactors")
+    dealt = factor_blocks.block_count(n, rank, cores)
+    users, items = factor_blocks.iterate(pairs, start, rank, num_iterations, reg_param, implicit, 1.0, dealt)
+    users.write.mode("overwrite").parquet(f"{path}/userFactors")
+    items.write.mode("overwrite").parquet(f"{path}/itemFactors")
+    return ALSModel.load(path)
 
 
 def _dot(a: str | Column, b: str | Column) -> Column:
